@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, secrets, warc
+from . import bpe, decontaminate, licenses, secrets, toxicity, warc
 
 
 def queries():
     return {
         "op1_licenses": licenses.op1_licenses,
         "op2_secrets": secrets.op2_secrets,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_bpe": bpe.op5_bpe,
         "op9_warc": warc.op9_warc,
     }
 
