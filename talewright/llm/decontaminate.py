@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, table, text_or_empty
+from .common import maybe_broadcast, staged, table, text_or_empty
 
 WINDOW = 10
 #: Separators of the words, after A-Z are lower-cased.
@@ -44,7 +44,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     windows = item_windows(benchmark, item_col, item_text_col, window)
     distinct = windows.select("win", "words").dropDuplicates(["win"])
     vocabulary = maybe_broadcast(distinct.select(F.explode("words").alias("word")).distinct())
-    seen = base.select(F.explode("_w").alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("seen"))
+    # each pass over the texts is written once, for what follows reads it more than once
+    seen = staged(base.select(F.explode("_w").alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("seen")), "seen")
     tokens = distinct.select("win", "words", F.posexplode("words").alias("at", "word")).join(seen, "word", "left")
     rarest = tokens.groupBy("win").agg(F.min_by(F.struct("word", "at", "words"), F.struct(F.coalesce("seen", F.lit(0)), "word", "at")).alias("t"))
     prefixes = rarest.select("win", "t.*").groupBy("word").agg(F.collect_list(F.struct("win", "at", "words")).alias("wins"))
@@ -54,6 +55,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     fits = lambda x: (start(x) >= 0) & (start(x) + F.size(x["words"]) <= F.size("_w"))
     same = lambda x: F.when(fits(x), F.slice("_w", start(x) + 1, F.size(x["words"])) == x["words"]).otherwise(False)
     hits = found.select("digest", F.explode(F.transform(F.filter("wins", same), lambda x: F.struct(start(x).alias("start"), (start(x) + F.size(x["words"])).alias("end"), x["win"].alias("win")))).alias("h")).select("digest", "h.*").distinct()
+    hits = staged(hits, "hits")
     before = Window.partitionBy("digest").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = hits.select("digest", "start", "end").distinct().withColumn("till", F.max("end").over(before))
     counted = spans.groupBy("digest").agg(F.sum(F.greatest(F.col("end") - F.greatest("start", F.coalesce("till", F.lit(0))), F.lit(0))).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
