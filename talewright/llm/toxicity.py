@@ -153,14 +153,14 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, r
 
 def _unlike(texts: list[set[str]], toxic: list[int]) -> tuple[list[set[str]], list[int]]:
     """The texts without near copies of earlier ones, which would count one author's words many times over."""
-    seen: set[tuple[int, int, int]] = set()
+    seen: set[tuple[int, ...]] = set()
     kept: list[int] = []
     for i, words in enumerate(texts):
         raw = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
         bands = set()
         for b in range(12 if len(raw) >= 20 else 0):
             mixed = raw * np.uint64(2 * _MIX[b] + 1) + np.uint64(_MIX[b + 12]) & np.uint64(0xFFFFFFFF)
-            bands.add((b, *map(int, np.sort(mixed)[:2])))
+            bands.add((b, *map(int, np.sort(mixed)[:5])))
         if not bands & seen:
             kept.append(i)
         seen |= bands
