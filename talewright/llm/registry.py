@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, secrets, toxicity, warc
+from . import bpe, decontaminate, licenses, minhash, secrets, toxicity, warc
 
 
 def queries():
@@ -12,9 +12,10 @@ def queries():
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_bpe": bpe.op5_bpe,
+        "op8_minhash": minhash.op8_minhash,
         "op9_warc": warc.op9_warc,
     }
 
 
 def oracle_sql():
-    return {"op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}
+    return {"op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}
