@@ -1,7 +1,59 @@
-"""Corpus pipeline; its stages follow."""
+"""Corpus pipeline: toxicity, near-duplicates, benchmark leaks, secrets, tokens.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of documents.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+
+from talewright.llm import bpe, decontaminate, minhash, secrets, toxicity
+from talewright.llm.common import drop_staged, staged, staging_path, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel classifier rejects go."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: five-word shingles, similarity 0.8 or more."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced; every document stays."""
+    return secrets.redact_secrets(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and digests of the ids and of what they decode to."""
+    return bpe.encode(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("bpe", tokenize),
+]
+
+#: The stages fit classifiers, hash and merge; SQL does not express them.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        path = staging_path(spark, name)
+        docs = staged(stage(spark, docs, sf_dir), name, path)
+        if last:
+            drop_staged(spark, last)
+        last = path
+    return docs

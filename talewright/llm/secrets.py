@@ -156,20 +156,33 @@ def _random_spans(text: Column, order: int) -> Column:
     return _let(F.transform(spans, lambda s: F.struct(s.alias("span"), _let(token(s), _battery).alias("t"))), controlled)
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def _with_spans(df: DataFrame, text_col: str) -> DataFrame:
+    """df with _base_spans and _random_spans of a column that has no nulls."""
+    text, none = F.col(text_col), F.array().cast(SPAN)
+    for i, (kind, pattern, group, least) in enumerate(KINDS):
+        df = df.withColumn(f"_found_{kind}", F.when(text.rlike(HINTS[kind]), _places(text, kind, pattern, group, least, i)).otherwise(none))
+    df = df.withColumn("_random_spans", F.when(text.rlike(CANDIDATE), _random_spans(text, len(KINDS))).otherwise(none))
+    found = [f"_found_{kind}" for kind, *_ in KINDS]
+    return df.withColumn("_base_spans", F.array_sort(F.concat(*found))).drop(*found)
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, base_spans, random_spans (arrays of start, ord, end, kind; start order).
 
     Null texts count as empty and have no spans. Repeated rows and null or repeated ids give a row each; other
     columns, whatever their names, are not read. No shuffle: each text is searched whole where it is read.
     """
-    text = F.col("_text")
-    none = F.array().cast(SPAN)
-    df = docs.select(F.col(id_col).alias("_id"), text_or_empty(docs[text_col]).alias("_text"))
-    for i, (kind, pattern, group, least) in enumerate(KINDS):
-        df = df.withColumn(f"_{kind}", F.when(text.rlike(HINTS[kind]), _places(text, kind, pattern, group, least, i)).otherwise(none))
-    df = df.withColumn("_random", F.when(text.rlike(CANDIDATE), _random_spans(text, len(KINDS))).otherwise(none))
-    base = F.array_sort(F.concat("_assign", "_access", "_hex"))
-    return df.select(F.col("_id").alias(id_col), base.alias("base_spans"), F.col("_random").alias("random_spans"), *([text.alias("text")] if keep_text else []))
+    df = _with_spans(docs.select(F.col(id_col).alias("_id"), text_or_empty(docs[text_col]).alias("_text")), "_text")
+    return df.select(F.col("_id").alias(id_col), F.col("_base_spans").alias("base_spans"), F.col("_random_spans").alias("random_spans"))
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """`docs` with the secrets of its texts replaced; `length_col`, if there, is brought in line. A null text stays null."""
+    df = _with_spans(docs.withColumn("_text", text_or_empty(docs[text_col])), "_text")
+    df = df.withColumn("_spans", F.array_sort(F.concat("_base_spans", "_random_spans"))).withColumn("_clean", redact(F.col("_text"), F.col("_spans")))
+    hit = F.size("_spans") > 0
+    out = {c: F.when(hit, F.col("_clean")).otherwise(F.col(c)) if c == text_col else F.when(hit, F.length("_clean").cast(docs.schema[c].dataType)).otherwise(F.col(c)) if c == length_col else F.col(c) for c in docs.columns}
+    return df.select(*(v.alias(k) for k, v in out.items()))
 
 
 def _joined(spans: Column) -> Column:

@@ -246,47 +246,68 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([words_of(r["_text"]) for r in got], [r["_y"] for r in got], share)
 
 
+class Scorer:
+    """Probabilities of texts, a few millions of characters at a time; remembers the decisions of words."""
+
+    def __init__(self, model: Model):
+        self.model, self.memo = model, {}
+
+    def _evidence(self, group: list[set[str]]) -> list[tuple[float, float, float]]:
+        words = set().union(*group)
+        fresh = list(words.difference(self.memo))
+        if len(self.memo) + len(fresh) > MEMO:
+            self.memo.clear()
+            fresh = list(words)
+        self.memo.update(zip(fresh, self.model.decisions(fresh).tolist()))
+        return [evidence([*map(self.memo.__getitem__, own)]) for own in group]
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        found: list[tuple[float, float, float]] = []
+        group: list[set[str]] = []
+        size = 0
+        for text in texts:
+            text = text.as_py() or ""
+            group.append(words_of(text))
+            size += len(text)
+            if size >= AT_ONCE:
+                found += self._evidence(group)
+                group, size = [], 0
+        found += self._evidence(group) if group else []
+        return self.model.probability(np.array(found, float).reshape(-1, 3))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, score (0 to 1), predicted (1 from 0.5).
 
-    Only the text is an input. Null, empty and letterless texts get the lowest score that the model gives. Repeated
+    Only the text is an input. Null, empty and letterless texts get the score of a text without evidence. Repeated
     rows and null or repeated ids give a row each; other columns, whatever their names, are not read. Texts are read
     whole; no shuffle.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of 27^3 numbers
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of 41^3 numbers
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = sent.value, {}
+        scorer = Scorer(sent.value)
         for batch in batches:
-            best: list[tuple[float, float, float]] = []
-            group: list[set[str]] = []
-            size = 0
-
-            def flush() -> None:
-                nonlocal size
-                if fresh := list(set().union(*group).difference(memo)):
-                    if len(memo) + len(fresh) > MEMO:
-                        memo.clear()
-                        fresh = list(set().union(*group))
-                    memo.update(zip(fresh, model.decisions(fresh).tolist()))
-                best.extend(evidence([*map(memo.__getitem__, words)]) for words in group)
-                group.clear()
-                size = 0
-
-            for text in batch.column(1):
-                text = text.as_py() or ""
-                group.append(words_of(text))
-                size += len(text)
-                if size >= AT_ONCE:
-                    flush()
-            flush()
-            p = model.probability(np.array(best, float).reshape(-1, 3))
+            p = scorer(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], names=["id", "score", "predicted"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
 
 
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that are not predicted toxic, all columns kept; the cases of score() hold."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer(batch.column(at)) < 0.5, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))
