@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, minhash, secrets, toxicity, warc
+from . import bpe, decontaminate, jpeg, licenses, minhash, secrets, toxicity, warc
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_bpe": bpe.op5_bpe,
+        "op6_media": jpeg.op6_media,
         "op8_minhash": minhash.op8_minhash,
         "op9_warc": warc.op9_warc,
     }
