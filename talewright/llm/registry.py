@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jpeg, licenses, minhash, secrets, toxicity, warc
+from . import bpe, decontaminate, jpeg, licenses, minhash, secrets, tokenfile, toxicity, warc
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_bpe": bpe.op5_bpe,
         "op6_media": jpeg.op6_media,
+        "op7_tokens": tokenfile.op7_tokens,
         "op8_minhash": minhash.op8_minhash,
         "op9_warc": warc.op9_warc,
     }
