@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jpeg, licenses, minhash, secrets, tokenfile, toxicity, warc
+from . import bpe, decontaminate, jpeg, licenses, minhash, secrets, suffix, tokenfile, toxicity, warc
 
 
 def queries():
@@ -16,6 +16,7 @@ def queries():
         "op7_tokens": tokenfile.op7_tokens,
         "op8_minhash": minhash.op8_minhash,
         "op9_warc": warc.op9_warc,
+        "op10_suffix": suffix.op10_suffix,
     }
 
 
