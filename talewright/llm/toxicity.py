@@ -81,24 +81,40 @@ def self_kernel(words: list[str]) -> np.ndarray:
     return np.where(norm > 0, norm, 1.0)
 
 
-def features(words: list[str]) -> np.ndarray:
-    """Dense normalised subsequence features, for landmarks."""
-    out = np.zeros((len(words), _CODES))
-    for o, c, w in subsequences(words):
-        np.add.at(out, (o, c), w)
-    return out / self_kernel(words)[:, None]
-
-
-def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of words with landmark features."""
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    by_code = np.ascontiguousarray(landmarks.T, np.float32)
+@dataclass(frozen=True)
+class Landmarks:
+    """Normalised subsequence features of some words; only codes that any of them has take a column."""
+
+    words: list[str]
+    column: np.ndarray  # of each code; the last column is empty
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[str]) -> Landmarks:
+        found = list(subsequences(words))
+        codes = np.unique(np.concatenate([c for _, c, _ in found])) if found else np.empty(0, np.int64)
+        column = np.full(_CODES, len(codes), np.int32)
+        column[codes] = np.arange(len(codes))
+        values = np.zeros((len(words), len(codes) + 1), np.float32)
+        for o, c, w in found:
+            np.add.at(values, (o, column[c]), w)
+        return cls(words, column, values / self_kernel(words)[:, None].astype(np.float32))
+
+    def table(self, weights: np.ndarray) -> np.ndarray:
+        """Weighted sum of the landmarks' features, as a table over all codes."""
+        return (weights @ self.values)[self.column].astype(float)
+
+
+def kernel(words: list[str], landmarks: Landmarks) -> np.ndarray:
+    """Normalised kernel of words with landmarks."""
+    out = np.zeros((len(words), len(landmarks.words)), np.float32)
+    by_code = np.ascontiguousarray(landmarks.values.T)
     for at in range(0, len(words), 500):
         part = words[at : at + 500]
         for o, c, w in subsequences(part):
             if len(o):
                 starts = np.flatnonzero(np.diff(o, prepend=-1))
-                out[at + o[starts]] += w * np.add.reduceat(by_code[c], starts)
+                out[at + o[starts]] += np.float32(w) * np.add.reduceat(by_code[landmarks.column[c]], starts)
         out[at : at + 500] /= self_kernel(part)[:, None]
     return out.astype(float)
 
@@ -193,19 +209,19 @@ def train(texts: list[set[str]], toxic: list[int], share: float | None = None, l
     pool = sorted(w for w in df[0] if z.get(w, 0) <= least and _THREE.search(w))
     if not top or not pool:
         return NOTHING
-    toxic_marks = features(top[: landmarks // 2])
+    toxic_marks = Landmarks.of(top[: landmarks // 2])
     # clean words that are most like the toxic landmarks, and the most common ones
-    near = [pool[i] for i in np.argsort(-folded(pool, toxic_marks.sum(axis=0), -1.0), kind="stable")[:4000]]
+    near = [pool[i] for i in np.argsort(-folded(pool, toxic_marks.table(np.ones(len(toxic_marks.words))), -1.0), kind="stable")[:4000]]
     common = sorted(pool, key=lambda w: (-df[0][w], w))[:1000]
-    phi = np.vstack([toxic_marks, features(near[:: max(1, len(near) // (landmarks // 2))][: landmarks // 2])])
-    value, vector = np.linalg.eigh(phi @ phi.T)
+    marks = Landmarks.of(toxic_marks.words + near[:: max(1, len(near) // (landmarks // 2))][: landmarks // 2])
+    value, vector = np.linalg.eigh(kernel(marks.words, marks))
     whiten = vector[:, value > 1e-4] / np.sqrt(value[value > 1e-4])
     words = top + sorted({*near, *common})
     y = np.where(np.arange(len(words)) < len(top), 1.0, -1.0)
     weight = np.array([np.sqrt(df[int(k > 0)][w]) for w, k in zip(words, y)])
     weight *= np.where(y > 0, 1 / weight[y > 0].sum(), 1 / weight[y < 0].sum())
-    theta, bias = _svm(kernel(words, phi) @ whiten, y, weight)
-    beta = (whiten @ theta) @ phi
+    theta, bias = _svm(kernel(words, marks) @ whiten, y, weight)
+    beta = marks.table(whiten @ theta)
     known = sorted(set().union(*rest))
     decision = dict(zip(known, folded(known, beta, bias).tolist())) if known else {}
     found = np.array([evidence([decision[w] for w in t]) for t in rest])
