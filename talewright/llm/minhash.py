@@ -153,6 +153,7 @@ def _verify_stars(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bits in which every sketch of a differs from every one of b."""
+    a, b = a.view(np.uint64), b.view(np.uint64)  # of signed numbers numpy counts the bits of the absolute value
     out = np.zeros((len(a), len(b)), np.int32)
     for k in range(a.shape[1]):
         out += np.bitwise_count(a[:, k][:, None] ^ b[:, k][None, :])
