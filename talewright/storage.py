@@ -14,5 +14,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the cluster's shared folder (spark.checkpoint.dir), or in a temporary one where none is set."""
-    there = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}"
+    there = spark.conf.get("spark.checkpoint.dir", "") or f"file://{tempfile.gettempdir()}"
     return f"{there}/talewright-{uuid.uuid4().hex}/{name}"
