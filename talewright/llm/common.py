@@ -18,8 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
-    sc = spark.sparkContext
-    there = sc.getConf().get("spark.checkpoint.dir") or getattr(spark, "_talewright_shared", None)
+    there = spark.conf.get("spark.checkpoint.dir", "") or getattr(spark, "_talewright_shared", None)
     if not there:
         there = f"file://{tempfile.mkdtemp(prefix='talewright-')}"
         spark._talewright_shared = there
