@@ -82,15 +82,13 @@ def compile_template(label: str, template: str) -> Automaton:
         elif token == "]]":
             skips[opened.pop()].add(here)
         elif token[0] == "<":
-            starts = here
-            for k in range(int(token[1:-1].split(":")[1])):
+            before = None
+            for _ in range(int(token[1:-1].split(":")[1])):
                 there = state()
                 steps[here].append((None, there))
-                here = there
-                if k:
-                    skips[last].add(here)
-                last = here
-            del starts
+                if before is not None:
+                    skips[before].add(there)
+                here = before = there
         else:
             there = state()
             steps[here].append((token.encode(), there))
