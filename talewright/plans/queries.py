@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from .. import inference
 from ..functions import align, audio, text
-from ..operators import rules, split, summary
+from ..functions import types as _types
+from ..operators import requests, rules, split, summary
 from ..operators import terms as T
 from ..sources import readers, sinks
 from ..storage import staging_path, table
@@ -483,12 +484,7 @@ def au3(spark, sf):
 @query("au4_canonical_audio")
 def au4(spark, sf):
     """Embeddings as short WAV files, canonicalised and inspected again."""
-
-    @F.pandas_udf("binary")
-    def as_wav(wave: pd.Series) -> pd.Series:
-        return wave.map(lambda w: audio.encode_wav(np.asarray(w, float).reshape(-1, 2), 44_100))
-
-    files = views.waves(spark, sf).select("vec_id", as_wav("wave").alias("content"))
+    files = _clips(spark, sf)
     info = readers.audio_info(sinks.canonical_wav("content"))
     return files.select("vec_id", info.alias("i")).select("vec_id", "i.sample_rate", "i.channels", "i.frames", "i.subtype", "i.error")
 
@@ -509,11 +505,9 @@ def ud6(spark, sf):
 
 @query("sv4_transcription_batch")
 def sv4(spark, sf):
-    from ..operators.requests import answer
-
     clips = readers.smoke_entries(spark, 3).select(F.col("audio").alias("filename"), F.lit("audio/wav").alias("content_type"), F.lit("id").alias("language"), "content")
     broken = clips.limit(1).withColumn("filename", F.lit("broken.wav")).withColumn("content", F.lit(b"no audio"))
-    return answer(clips.unionByName(broken), lambda: inference.FixedModel("placeholder"), {}).drop("body")
+    return requests.answer(clips.unionByName(broken), lambda: inference.FixedModel("placeholder"), {}).drop("body")
 
 
 @query("snk3_report")
@@ -521,3 +515,166 @@ def snk3(spark, sf):
     """The report's text for all utterances, a line in a row."""
     found = summary.summary(views.records(spark, sf), tm2(spark, sf), _events(spark, sf), model_id="disturbed")
     return spark.createDataFrame(list(enumerate(sinks.markdown(found).split("\n"))), "line_no int, line string")
+
+
+# ---------------------------------------------------------------- the rest of the inventory, operator by operator
+
+
+@F.pandas_udf(_types.of("binary"))
+def _stereo_wav(wave: pd.Series) -> pd.Series:
+    return wave.map(lambda w: audio.encode_wav(np.asarray(w, float).reshape(-1, 2), 44_100))
+
+
+def _clips(spark, sf):
+    return views.waves(spark, sf).select("vec_id", _stereo_wav("wave").alias("content"))
+
+
+@query("src3_probed_duration", f"WITH {UTT} SELECT audio, duration_sec FROM utt")
+def src3(spark, sf):
+    u = views.utterances(spark, sf)
+    return readers.with_probed_duration(u.select("audio", F.lit(None).cast("double").alias("duration_sec")), u.select("audio", "duration_sec")).select("audio", "duration_sec")
+
+
+@query("src6_audio_header", "SELECT vec_id, 44100 AS sample_rate, 2 AS channels, (len(embedding) // 2)::BIGINT AS frames, (len(embedding) // 2) / 44100.0::DOUBLE AS duration_sec, 'WAV' AS format, 'PCM_16' AS subtype, NULL::VARCHAR AS error FROM embeddings")
+def src6(spark, sf):
+    return _clips(spark, sf).select("vec_id", readers.audio_info("content").alias("i")).select("vec_id", "i.*")
+
+
+@query("src7_decode", "SELECT vec_id, 44100 AS rate, (len(embedding) // 2)::BIGINT AS n FROM embeddings")
+def src7(spark, sf):
+    return _clips(spark, sf).select("vec_id", readers.decoded("content").alias("d")).select("vec_id", "d.rate", F.size("d.samples").cast("long").alias("n"))
+
+
+@query("src10_size_bound", "SELECT page_id FROM pages WHERE octet_length(encode(html)) <= 3000")
+def src10(spark, sf):
+    return table(spark, sf, "pages").where(F.octet_length("html") <= 3000).select("page_id")
+
+
+@query("src11_environment")
+def src11(spark, sf):
+    return sinks.environment(spark)
+
+
+@query("snk1_manifest_json", f"WITH {UTT} SELECT audio, 7::BIGINT AS n_keys FROM utt")
+def snk1(spark, sf):
+    j = sinks.manifest_json(views.utterances(spark, sf).withColumn("noise_profile", F.lit(None).cast("string")))
+    return j.select(F.get_json_object("value", "$.audio").alias("audio"), F.size(F.json_object_keys("value")).cast("long").alias("n_keys"))
+
+
+@query("snk2_report_json", f"WITH {RECORDS} SELECT domain, count(*) AS utterances FROM records GROUP BY domain")
+def snk2(spark, sf):
+    """Records as the report writes them, read back and counted."""
+    path = staging_path(spark, "records")
+    views.records(spark, sf).write.json(path)
+    return spark.read.schema("domain string").json(path).groupBy("domain").agg(F.count(F.lit(1)).alias("utterances"))
+
+
+@query("snk4_canonical_wav")
+def snk4(spark, sf):
+    return _clips(spark, sf).select("vec_id", readers.audio_info(sinks.canonical_wav("content")).alias("i")).select("vec_id", "i.sample_rate", "i.channels", "i.subtype", "i.error")
+
+
+@query("snk6_log_columns", "SELECT unnest(['conv_id', 'turn', 'role']) AS name")
+def snk6(spark, sf):
+    c = table(spark, sf, "conversations").withColumnRenamed("text", "content")
+    return spark.createDataFrame([(n,) for n in text.drop_private(c.columns)], "name string")
+
+
+@query("jn3_forbidden_pairs", f"{_EVENTS} SELECT audio, reference_term, hypothesis_term FROM crit")
+def jn3(spark, sf):
+    p = views.pairs(spark, sf).withColumn("alignment", align.align("ref_tokens", "hyp_tokens"))
+    return T.critical_substitutions(p, views.confusions(spark, sf), ["audio"])
+
+
+@query("jn4_lost_terms", f"{_EVENTS} SELECT audio, reference_term FROM lost")
+def jn4(spark, sf):
+    critical = views.confusions(spark, sf).select(F.lit("critical").alias("category"), F.col("reference").alias("term"))
+    return T.critical_deletions(T.term_counts(views.pairs(spark, sf), critical, ["audio"]), ["audio"]).select("audio", "reference_term")
+
+
+QUERIES["ce1_critical_substitutions"], SQL["ce1_critical_substitutions"] = jn3, SQL["jn3_forbidden_pairs"]
+QUERIES["ce2_critical_deletions"], SQL["ce2_critical_deletions"] = jn4, SQL["jn4_lost_terms"]
+
+
+@query("jn5_speaker_split", f"{_SPLIT_SQL} SELECT split, count(*) AS n FROM utt JOIN f USING (speaker_id) GROUP BY split")
+def jn5(spark, sf):
+    return sp1(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("tm3_category_totals", f"WITH {COUNTS} SELECT category, sum(expected)::BIGINT AS expected, sum(predicted)::BIGINT AS predicted FROM counts GROUP BY category")
+def tm3(spark, sf):
+    return tm2(spark, sf).groupBy("category").agg(F.sum("expected").alias("expected"), F.sum("predicted").alias("predicted"))
+
+
+@query("tm4_accuracy", f"WITH {COUNTS} SELECT audio, count(*) AS n_null FROM (SELECT conv_id, turn, pos, category FROM counts GROUP BY ALL HAVING sum(expected) = 0) JOIN pairs USING (conv_id, turn, pos) GROUP BY audio")
+def tm4(spark, sf):
+    """Categories of an utterance that only the hypothesis holds have no accuracy."""
+    return tm2(spark, sf).where("accuracy IS NULL").join(views.utterances(spark, sf).select(*KEY, "audio"), KEY).groupBy("audio").agg(F.count(F.lit(1)).alias("n_null"))
+
+
+@query("ag2_macro_rates", f"WITH {RECORDS} SELECT round(avg(wer), 9) AS wer_macro, round(avg(cer), 9) AS cer_macro FROM records")
+def ag2(spark, sf):
+    return ag1(spark, sf).select("wer_macro", "cer_macro")
+
+
+@query("ag3_phrase_accuracy", f"WITH {RECORDS} SELECT round(avg(exact_match::INT), 9) AS phrase_accuracy_global FROM records")
+def ag3(spark, sf):
+    return ag1(spark, sf).select("phrase_accuracy_global")
+
+
+@query("ag6_real_time_mean", f"WITH {RECORDS} SELECT round(avg(real_time_factor), 9) AS real_time_factor_mean FROM records")
+def ag6(spark, sf):
+    return ag1(spark, sf).select("real_time_factor_mean")
+
+
+@query("sp2_speaker_order", f"WITH {UTT} SELECT speaker_id, row_number() OVER (ORDER BY md5('42:' || speaker_id)) AS place FROM (SELECT DISTINCT speaker_id FROM utt)")
+def sp2(spark, sf):
+    """The order in which speakers are dealt; a row for each speaker in one window."""
+    s = split.speaker_counts(views.utterances(spark, sf)).select("speaker_id", split.hashed_order(F.col("speaker_id"), 42).alias("key"))
+    return s.select("speaker_id", F.row_number().over(Window.orderBy("key")).cast("long").alias("place"))
+
+
+@query("sp3_repair", "SELECT * FROM (VALUES ('test', 1::BIGINT), ('train', 3::BIGINT), ('validation', 1::BIGINT)) v(split, n)")
+def sp3(spark, sf):
+    """Roles as speakers of which the shares leave two splits empty: each gets a speaker of the fullest."""
+    of = split.assign([("a", 5), ("b", 4), ("c", 3), ("d", 2), ("e", 1)], (1.0, 0.0, 0.0))
+    return spark.createDataFrame(list(of.items()), "speaker_id string, split string").groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("au2_resample")
+def au2(spark, sf):
+    return _clips(spark, sf).select("vec_id", F.size(readers.canonical_samples("content")).alias("n"))
+
+
+@query("au5_model_waveform")
+def au5(spark, sf):
+    w = _clips(spark, sf).select("vec_id", readers.canonical_samples("content").alias("w"))
+    return w.select("vec_id", F.round(F.array_max(F.transform("w", lambda x: F.abs(x))), 3).alias("peak"))
+
+
+@query("ud2_stand_in")
+def ud2(spark, sf):
+    done = inference.transcribe(_clips(spark, sf).withColumn("language", F.lit("id")), lambda: inference.FixedModel("x"))
+    return done.select("vec_id", "ok", "hypothesis", "model_ms", "model_id")
+
+
+@query("ud7_segments", r"SELECT conv_id, turn, count(*) AS n FROM (SELECT conv_id, turn, unnest(string_split_regex(text, '[.\n]+')) AS s FROM conversations) GROUP BY ALL")
+def ud7(spark, sf):
+    part = lambda x: F.struct(F.lit(0.0).alias("start_sec"), F.lit(1.0).alias("end_sec"), x.alias("text"))
+    c = table(spark, sf, "conversations").select("conv_id", "turn", F.transform(F.split("text", r"[.\n]+"), part).alias("segments"))
+    return inference.segments(c, ["conv_id", "turn"]).groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sv1_health", "SELECT 'ok' AS status")
+def sv1(spark, sf):
+    return requests.health(spark)
+
+
+@query("sv2_ready", "SELECT true AS ready, 'deterministic-stub' AS model, NULL::VARCHAR AS reason")
+def sv2(spark, sf):
+    return requests.ready(spark, inference.FixedModel)
+
+
+@query("sv3_model_info", "SELECT 'base' AS model_id, 'deterministic' AS adapter, 'cpu' AS device, 'int8' AS compute_type, 'id' AS default_language")
+def sv3(spark, sf):
+    return requests.model_info(spark, {"model_id": "base", "adapter": "deterministic", "device": "cpu"})
