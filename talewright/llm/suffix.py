@@ -144,7 +144,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for i in range(7):
         key = key << _U(9) | wide[i : n + i]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
     new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]) if n else np.zeros(0, bool)
     first = np.flatnonzero(new)
@@ -158,7 +158,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         suffix = order[at]
         group = rank[suffix]
         on = rank[np.minimum(suffix + h, n)]
-        turn = np.lexsort((on, group))
+        turn = np.argsort(group * (n + 1) + on)  # one number for both: a group has at most n ranks to compare
         suffix, group, on = suffix[turn], group[turn], on[turn]
         order[at] = suffix
         new = np.concatenate([[True], (group[1:] != group[:-1]) | (on[1:] != on[:-1])])
