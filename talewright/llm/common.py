@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+_KEPT: dict = {}
+
+
+def kept_by_worker(key, make):
+    """What a Python worker keeps from task to task: make(), for one key at a time. Workers are used again by later stages,
+    and what an earlier operator remembered would only take their memory."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

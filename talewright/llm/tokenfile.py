@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import _DOUBLE_SPACE, _SAFE_SPACE, vocabulary_path
-from .common import shuffle_partitions, staging_path, table
+from .common import kept_by_worker, shuffle_partitions, staging_path, table
 
 #: Id that ends a document.
 END_ID = 2
@@ -32,13 +32,16 @@ SECTION, LEAST, MOST = 4 << 20, 128, 1024
 MAX_ID = 0xFFFF
 MAGIC = b"TWTK1"
 _SPACE = re.compile(r"\s")
-MEMO = 400_000
+MEMO = 600_000
 
 _S2, _S1 = 1024, 512  # entries of the order-2 and order-1 table of a block
 _STRETCH = np.clip(np.round(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int64)
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, 4095).astype(np.int64)
 _U = np.uint64
-_TOP, _BOTTOM, _LOW_MASK = _U(1 << 48), _U(1 << 32), _U((1 << 32) - 1)
+#: An interval is narrowed once for each id, to a part in 2 ** 36: 12 bits for hit or escape, 8 for the low byte of an
+#: escaped id, 8 for whether the last id of that byte comes again, 8 for the high byte.
+_BITS = 36
+_TOP, _BOTTOM, _LOW_MASK = _U(1 << 48), _U(1 << 40), _U((1 << 40) - 1)
 
 
 class _Model:
@@ -47,43 +50,42 @@ class _Model:
     def __init__(self, lanes: int):
         n = self.lanes = lanes
         self.base2, self.base1, self.base0 = np.arange(n) * _S2, np.arange(n) * _S1, np.arange(n) * 256
-        self.t2, self.t1, self.t0 = np.zeros(n * _S2, np.int64), np.zeros(n * _S1, np.int64), np.zeros(n * 256, np.int64)
+        self.t2, self.t1, self.t0 = np.zeros(n * _S2, np.int32), np.zeros(n * _S1, np.int32), np.zeros(n * 256, np.int32)
         self.lane4, self.lane8 = np.arange(n) * 4, np.arange(n) * 8
-        start = np.array([4096, 16384, 32768, 49152])
-        self.hit2, self.mix1 = np.tile(start, n), np.tile([4096, 8192, 12288, 16384] * 2, n)
-        self.hit1, self.hit0 = np.tile([4096, 16384, 32768, 49152, 1024, 1024, 1024, 1024], n), np.full(n, 8192)
+        self.hit2 = np.tile([4096, 16384, 32768, 49152], n)
+        # order-1 state: hits of order 2 as order 1 sees them, times 65536, and hits of order 1 when order 2 misses
+        self.hit1 = np.tile([4096 << 16 | 4096, 8192 << 16 | 16384, 12288 << 16 | 32768, 16384 << 16 | 49152, 4096 << 16 | 1024, 8192 << 16 | 1024, 12288 << 16 | 1024, 16384 << 16 | 1024], n)
+        self.hit0 = np.full(n, 8192)
         self.w2, self.w1 = np.full(n, 40000), np.full(n, 25000)
         self.a = self.b = np.zeros(n, np.int64)
 
     def predict(self, n: int) -> None:
-        """Candidates and frequencies (of 65536) of the first n lanes."""
+        """Candidates and frequencies (of 4096) of the first n lanes."""
         a, b = self.a[:n], self.b[:n]
         self.i2 = (a * 40503 + b * 2654435 >> 7 & _S2 - 1) + self.base2[:n]
         self.i1 = (b * 40503 >> 6 & _S1 - 1) + self.base1[:n]
         self.e2, self.e1 = self.t2.take(self.i2), self.t1.take(self.i1)
         self.p2, self.p1 = self.e2 & MAX_ID, self.e1 & MAX_ID
         self.ka = self.lane4[:n] + (self.e2 >> 16)
-        self.kb = self.lane8[:n] + (self.e1 >> 16) + (self.p1 == self.p2) * 4
-        self.s2, self.s1 = _STRETCH.take(self.hit2.take(self.ka) >> 4), _STRETCH.take(self.mix1.take(self.kb) >> 4)
+        self.kb = self.lane8[:n] + ((self.e1 >> 16) + ((self.p1 == self.p2) << 2))
+        self.at2, self.at1 = self.hit2.take(self.ka), self.hit1.take(self.kb)
+        self.s2, self.s1 = _STRETCH.take(self.at2 >> 4), _STRETCH.take(self.at1 >> 20)
         dot = self.w2[:n] * self.s2 + self.w1[:n] * self.s1 >> 16
-        self.p = _SQUASH.take(np.minimum(np.maximum(dot, -2047), 2047) + 2048)
-        self.f2 = self.p << 4
-        left = 65536 - self.f2
-        self.f1 = np.maximum(left * self.hit1.take(self.kb) >> 16, 1)
+        self.f2 = np.clip(_SQUASH.take(np.minimum(np.maximum(dot, -2047), 2047) + 2048), 1, 4093)
+        left = 4096 - self.f2
+        self.f1 = np.minimum((left * (self.at1 & 65535) >> 16) + 1, left - 1)
+        self.top = self.f2 + self.f1
 
     def update(self, n: int, x: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        error = (is2 << 12) - self.p
+        """x: the ids; is2, is1: 1 where the order-2 or else the order-1 candidate was right."""
+        error = (is2 << 12) - self.f2
         self.w2[:n] += self.s2 * error >> 10
         self.w1[:n] += self.s1 * error >> 10
-        at2 = self.hit2.take(self.ka)
-        self.hit2[self.ka] = at2 + ((is2 * 65520 - at2) >> 4)
-        at1 = self.mix1.take(self.kb)
-        self.mix1[self.kb] = at1 + ((is2 * 65520 - at1) >> 5)
-        one = self.hit1.take(self.kb)
-        self.hit1[self.kb] = one + ((1 - is2) * (is1 * 60000 - one + 512) >> 5)
+        self.hit2[self.ka] = self.at2 + ((is2 * 65520 - self.at2) >> 4)
+        mix, one = self.at1 >> 16, self.at1 & 65535
+        self.hit1[self.kb] = mix + ((is2 * 65520 - mix) >> 5) << 16 | one + ((1 - is2) * (is1 * 60000 - one + 512) >> 5)
         for t, i, e, right in ((self.t2, self.i2, self.e2, is2), (self.t1, self.i1, self.e1, x == self.p1)):
-            c = e >> 16
-            t[i] = np.where(right, e + ((c < 3) << 16), np.where(c > 0, e - 65536, x))
+            t[i] = np.where(right, e + ((e < 0x30000) << 16), np.where(e > MAX_ID, e - 65536, x))
         self.a, self.b = self.b, self.b.copy()
         self.b[:n] = x
 
@@ -97,54 +99,47 @@ def encode_blocks(ids: np.ndarray, size: int) -> list[bytes]:
     short = len(ids) - (blocks - 1) * size
     model = _Model(blocks)
     low, span = np.zeros(blocks, _U), np.full(blocks, np.iinfo(_U).max, _U)
-    out, filled = np.zeros((blocks, size * 3 // 2 + 16), np.uint16), np.zeros(blocks, np.int64)
-
-    def narrow(lane, start, width, bits) -> None:
-        whole = isinstance(lane, slice)
-        part = span[lane] >> _U(bits)
-        lo, sp = low[lane] + part * start.astype(_U), part * width.astype(_U)
-        while True:
-            done = ((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM)
-            go = np.flatnonzero(done)
-            if not len(go):
-                break
-            l, s = lo[go], sp[go]
-            cut = (l ^ (l + s)) >= _TOP
-            s = np.where(cut, (~l + _U(1)) & _LOW_MASK, s)
-            k = go if whole else lane[go]
-            f = filled[k]
-            out[k, f] = l >> _U(48)
-            filled[k] = f + 1
-            lo[go], sp[go] = l << _U(16), s << _U(16)
-        low[lane], span[lane] = lo, sp
-
+    out, filled = np.zeros((blocks, size * 5 // 2 + 32), np.uint16), np.zeros(blocks, np.int64)
     for t in range(size):
         n = blocks if t < short else blocks - 1
         if not n:
             break
         x = grid[t, :n]
         model.predict(n)
-        is2 = (x == model.p2).astype(np.int64)
-        is1 = ((x == model.p1) & (is2 == 0)).astype(np.int64)
-        start = np.where(is2, 0, np.where(is1, model.f2, model.f2 + model.f1))
-        width = np.where(is2, model.f2, np.where(is1, model.f1, 65536 - model.f2 - model.f1))
-        narrow(slice(0, n), start, width, 16)
-        lane = np.flatnonzero((is2 | is1) == 0)
+        hit2 = x == model.p2
+        hit1 = (x == model.p1) & ~hit2
+        lane = np.flatnonzero(~(hit2 | hit1))
+        start = np.where(hit1, model.f2 << 24, 0)
+        width = np.where(hit2, model.f2, model.f1) << 24
         if len(lane):
             y = x[lane]
             slot = y & 255
             k = model.base0[lane] + slot
-            same = (model.t0[k] == y).astype(np.int64)
-            f0 = np.maximum(model.hit0[lane] >> 4, 1)
-            narrow(lane, slot * 4096 + np.where(same, 0, f0), np.where(same, f0, 4096 - f0), 20)
-            model.hit0[lane] += (same * 65000 - model.hit0[lane]) >> 5
+            same = model.t0.take(k) == y
+            h = model.hit0[lane]
+            f0 = (h >> 8) + 1
+            top = model.top[lane]
+            w = 4096 - top
+            start[lane] = (top << 24) + (slot * w << 16) + np.where(same, 0, (w * f0 << 8) + (y >> 8) * (w * (256 - f0)))
+            width[lane] = np.where(same, w * f0 << 8, w * (256 - f0))
+            model.hit0[lane] = h + ((same * 64000 - h) >> 5)
             model.t0[k] = y
-            rest = np.flatnonzero(same == 0)
-            if len(rest):
-                narrow(lane[rest], y[rest] >> 8, np.ones(len(rest), np.int64), 8)
-        model.update(n, x, is2, is1)
+        part = span[:n] >> _U(_BITS)
+        lo, sp = low[:n] + part * start.view(_U), part * width.view(_U)
+        go = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
+        while len(go):
+            l, s = lo[go], sp[go]
+            s = np.where((l ^ (l + s)) >= _TOP, (~l + _U(1)) & _LOW_MASK, s)
+            f = filled[go]
+            out[go, f] = l >> _U(48)
+            filled[go] = f + 1
+            l, s = l << _U(16), s << _U(16)
+            lo[go], sp[go] = l, s
+            go = go[((l ^ (l + s)) < _TOP) | (s < _BOTTOM)]
+        low[:n], span[:n] = lo, sp
+        model.update(n, x, hit2.astype(np.int64), hit1.astype(np.int64))
+    lanes = np.arange(blocks)
     for _ in range(4):
-        lanes = np.arange(blocks)
         out[lanes, filled] = low >> _U(48)
         filled += 1
         low <<= _U(16)
@@ -165,57 +160,53 @@ def decode_blocks(parts: list[bytes], total: int, size: int) -> np.ndarray:
     model = _Model(blocks)
     low, span = np.zeros(blocks, _U), np.full(blocks, np.iinfo(_U).max, _U)
     grid = np.zeros((size, blocks), np.int64)
-
-    def value(lane, bits) -> tuple[np.ndarray, np.ndarray]:
-        part = span[lane] >> _U(bits)
-        return part, np.minimum((code[lane] - low[lane]) // part, _U((1 << bits) - 1)).astype(np.int64)
-
-    def narrow(lane, part, start, width) -> None:
-        whole = isinstance(lane, slice)
-        lo, sp = low[lane] + part * start.astype(_U), part * width.astype(_U)
-        while True:
-            go = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
-            if not len(go):
-                break
-            l, s = lo[go], sp[go]
-            cut = (l ^ (l + s)) >= _TOP
-            s = np.where(cut, (~l + _U(1)) & _LOW_MASK, s)
-            k = go if whole else lane[go]
-            code[k] = code[k] << _U(16) | data[np.minimum(at[k], len(data) - 1)]
-            at[k] += 1
-            lo[go], sp[go] = l << _U(16), s << _U(16)
-        low[lane], span[lane] = lo, sp
-
     for t in range(size):
         n = blocks if t < short else blocks - 1
         if not n:
             break
         model.predict(n)
-        whole = slice(0, n)
-        part, v = value(whole, 16)
-        is2 = (v < model.f2).astype(np.int64)
-        is1 = ((v < model.f2 + model.f1) & (is2 == 0)).astype(np.int64)
-        x = np.where(is2, model.p2, model.p1)
-        narrow(whole, part, np.where(is2, 0, np.where(is1, model.f2, model.f2 + model.f1)), np.where(is2, model.f2, np.where(is1, model.f1, 65536 - model.f2 - model.f1)))
-        lane = np.flatnonzero((is2 | is1) == 0)
+        part = span[:n] >> _U(_BITS)
+        v = np.minimum((code[:n] - low[:n]) // part, _U((1 << _BITS) - 1)).view(np.int64)
+        top = v >> 24
+        hit2, escape = top < model.f2, top >= model.top
+        hit1 = ~(hit2 | escape)
+        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
+        start = np.where(hit2, 0, model.f2 << 24)
+        width = np.where(hit2, model.f2, model.f1) << 24
+        lane = np.flatnonzero(escape)
         if len(lane):
-            part, v = value(lane, 20)
-            slot = v >> 12
+            top = model.top[lane]
+            w = 4096 - top
+            u = v[lane] - (top << 24)
+            slot = u // (w << 16)
+            u -= slot * w << 16
             k = model.base0[lane] + slot
-            f0 = np.maximum(model.hit0[lane] >> 4, 1)
-            same = ((v & 4095) < f0).astype(np.int64)
-            narrow(lane, part, slot * 4096 + np.where(same, 0, f0), np.where(same, f0, 4096 - f0))
-            model.hit0[lane] += (same * 65000 - model.hit0[lane]) >> 5
-            y = model.t0[k]
-            rest = np.flatnonzero(same == 0)
-            if len(rest):
-                part, high = value(lane[rest], 8)
-                narrow(lane[rest], part, high, np.ones(len(rest), np.int64))
-                y[rest] = high << 8 | slot[rest]
+            h = model.hit0[lane]
+            f0 = (h >> 8) + 1
+            again = w * f0 << 8
+            same = u < again
+            each = w * (256 - f0)
+            high = np.where(same, 0, (u - again) // each)
+            y = np.where(same, model.t0.take(k), high << 8 | slot)
+            start[lane] = (top << 24) + (slot * w << 16) + np.where(same, 0, again + high * each)
+            width[lane] = np.where(same, again, each)
+            model.hit0[lane] = h + ((same * 64000 - h) >> 5)
             model.t0[k] = y
             x[lane] = y
+        lo, sp = low[:n] + part * start.view(_U), part * width.view(_U)
+        go = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
+        while len(go):
+            l, s = lo[go], sp[go]
+            s = np.where((l ^ (l + s)) >= _TOP, (~l + _U(1)) & _LOW_MASK, s)
+            a = at[go]
+            code[go] = code[go] << _U(16) | data.take(a, mode="clip")
+            at[go] = a + 1
+            l, s = l << _U(16), s << _U(16)
+            lo[go], sp[go] = l, s
+            go = go[((l ^ (l + s)) < _TOP) | (s < _BOTTOM)]
+        low[:n], span[:n] = lo, sp
         grid[t, :n] = x
-        model.update(n, x, is2, is1)
+        model.update(n, x, hit2.astype(np.int64), hit1.astype(np.int64))
     return grid.T.reshape(-1)[:total]
 
 
@@ -266,36 +257,55 @@ class LibraryEncoder:
         if size > MAX_ID + 1:
             raise ValueError(f"ids above {MAX_ID} do not fit this format")
         self.begins = np.array([str(self.library.id_to_token(i)).startswith("\u0120") for i in range(size)])
+        self.line_end = self.library.token_to_id("\u010a")
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2")
 
     def _ask(self, parts: list[str]) -> list[bytes]:
         """Ids of every part with a space before it. Parts are joined and cut again where a token begins with a space,
-        which within a part no token does; parts with white space of their own are asked for one by one."""
+        which within a part no token does; parts with a space inside or white space at an end are asked for one by one."""
         out: dict[str, bytes] = {}
-        single = [p for p in parts if p and not _SPACE.search(p)]
+        single = [p for p in parts if p and " " not in p and not p[0].isspace() and not p[-1].isspace()]
         for at in range(0, len(single), 4096):
             some = single[at : at + 4096]
             ids = self._ids(" " + " ".join(some))
-            cuts = np.flatnonzero(self.begins[ids])
-            if len(cuts) != len(some):
-                out.update((p, self._ids(" " + p).tobytes()) for p in some)
-                continue
-            raw, cuts = ids.tobytes(), [*(2 * cuts).tolist(), 2 * len(ids)]
-            out.update((p, raw[a:b]) for p, a, b in zip(some, cuts, cuts[1:]))
+            self._cut(out, some, ids, np.flatnonzero(self.begins[ids]), 0)
         return [out[p] if p in out else self._ids(" " + p).tobytes() for p in parts]
 
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        """Ids of the first part of each text, asked for as lines."""
+        out: dict[str, bytes] = {"": b""}
+        single = [h for h in {*heads} if h and not _SPACE.search(h)]
+        if single:
+            ids = self._ids("\n" + "\n".join(single))
+            self._cut(out, single, ids, np.flatnonzero(ids == self.line_end), 1)
+        return [out[h] if h in out else self._ids(h).tobytes() for h in heads]
+
+    @staticmethod
+    def _cut(out: dict[str, bytes], parts: list[str], ids: np.ndarray, starts: np.ndarray, skip: int) -> None:
+        """Give each part its ids if there are as many starts as parts; else none, and they are asked for alone."""
+        if len(starts) == len(parts):
+            raw, cuts = ids.tobytes(), [*(2 * starts).tolist(), 2 * len(ids)]
+            out.update((p, raw[a + 2 * skip : b]) for p, a, b in zip(parts, cuts, cuts[1:]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian two-byte ids of each text."""
         cut = [t.split(" ") if not _DOUBLE_SPACE.search(t) else _SAFE_SPACE.split(t) for t in texts]
-        fresh = list(set().union(*(c[1:] for c in cut)).difference(self.memo))
-        if len(self.memo) + len(fresh) > MEMO:
-            self.memo.clear()
-            fresh = list(set().union(*(c[1:] for c in cut)))
-        self.memo.update(zip(fresh, self._ask(fresh)))
-        known = self.memo.__getitem__
-        return [head + b"".join(map(known, c[1:])) for c, head in zip(cut, (self._ids(c[0]).tobytes() for c in cut))]
+        heads, rest = self._heads([c[0] for c in cut]), [c[1:] for c in cut]
+        known = [list(map(self.memo.get, parts)) for parts in rest]
+        if fresh := list({p for parts, ids in zip(rest, known) for p, i in zip(parts, ids) if i is None}):
+            if len(self.memo) + len(fresh) > MEMO:
+                self.memo.clear()
+            new = dict(zip(fresh, self._ask(fresh)))
+            self.memo.update(new)
+            known = [[new[p] if i is None else i for p, i in zip(parts, ids)] if None in ids else ids for parts, ids in zip(rest, known)]
+        return [head + b"".join(ids) for head, ids in zip(heads, known)]
+
+
+def _encoder_of(content: bytes) -> LibraryEncoder:
+    """One encoder, with what it remembers, for each worker and vocabulary."""
+    return kept_by_worker(("library", hash(content)), lambda: LibraryEncoder(content))
 
 
 _SECTION_SCHEMA = "part int, before long, ids array<{kind}>, lengths array<int>, payload binary"
@@ -319,7 +329,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library, part = LibraryEncoder(content.value), TaskContext.get().partitionId()
+        library, part = _encoder_of(content.value), TaskContext.get().partitionId()
         end = struct.pack("<H", end_id)
         keys: list = []
         coded: list[bytes] = []
