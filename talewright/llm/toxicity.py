@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import kept_by_worker, table, text_or_empty
 
 #: Labelled rows of each class that a fit takes at most, lowest hash of the id first.
 MAX_TRAIN = 2000
@@ -34,7 +34,9 @@ _PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 #: z-value from which a word's share among toxic texts counts as evidence, given the many words compared.
 EVIDENCE = 5.0
 #: Words that a worker remembers before it starts anew, and texts' characters that it takes at once.
-MEMO, AT_ONCE = 400_000, 4 << 20
+MEMO, AT_ONCE = 150_000, 1 << 20
+#: Words whose subsequences are held at once.
+WORDS_AT_ONCE = 8192
 _THREE = re.compile(r"[^\x00-\x60\x7b-\x7f].*[^\x00-\x60\x7b-\x7f].*[^\x00-\x60\x7b-\x7f]")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[^\S\n]\S){2,}(?!\S)")
 _MIX = [int(x) for x in np.random.default_rng(5).integers(1 << 8, 1 << 28, 24)]
@@ -121,6 +123,8 @@ def kernel(words: list[str], landmarks: Landmarks) -> np.ndarray:
 
 def folded(words: list[str], beta: np.ndarray, bias: float) -> np.ndarray:
     """Decisions of words, at least -1. The exact self-kernel is taken only where its lower bound leaves more than -1."""
+    if len(words) > WORDS_AT_ONCE:
+        return np.concatenate([folded(words[at : at + WORDS_AT_ONCE], beta, bias) for at in range(0, len(words), WORDS_AT_ONCE)])
     dot, least = np.zeros(len(words)), np.zeros(len(words))
     for o, c, w in subsequences(words):
         dot += w * np.bincount(o, beta[c], len(words))
@@ -167,7 +171,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, r
     return w[:-1], float(w[-1])
 
 
-def _unlike(texts: list[set[str]], toxic: list[int]) -> tuple[list[set[str]], list[int]]:
+def _unlike(texts: list[list[str]], toxic: list[int]) -> tuple[list[list[str]], list[int]]:
     """The texts without near copies of earlier ones, which would count one author's words many times over."""
     seen: set[tuple[int, ...]] = set()
     kept: list[int] = []
@@ -183,7 +187,7 @@ def _unlike(texts: list[set[str]], toxic: list[int]) -> tuple[list[set[str]], li
     return [texts[i] for i in kept], [toxic[i] for i in kept]
 
 
-def train(texts: list[set[str]], toxic: list[int], share: float | None = None, landmarks: int = LANDMARKS) -> Model:
+def train(texts: list[list[str]], toxic: list[int], share: float | None = None, landmarks: int = LANDMARKS) -> Model:
     """Fit on the distinct words of labelled texts, `share` of which are toxic where they come from. Without both
     classes the model scores everything 0. Words are learned from two thirds of the texts, their weight from the rest."""
     texts, toxic = _unlike(texts, toxic)
@@ -259,7 +263,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = docs.sparkSession.createDataFrame(rows, chosen.schema)
     sample = docs.select(F.col(id_col).alias("_id"), text_or_empty(docs[text_col]).alias("_text")).join(F.broadcast(ids), "_id")
     got = sample.select("_y", "_id", "_text").dropDuplicates(["_id"]).orderBy("_id").collect()
-    return train([words_of(r["_text"]) for r in got], [r["_y"] for r in got], share)
+    toxic, texts, same = [r["_y"] for r in got], [], {}
+    while got:  # each word is held once
+        texts.append([same.setdefault(w, w) for w in words_of(got.pop(0)["_text"])])
+    del same
+    return train(texts, toxic, share)
 
 
 class Scorer:
@@ -292,6 +300,10 @@ class Scorer:
         return self.model.probability(np.array(found, float).reshape(-1, 3))
 
 
+def _scorer_of(model: Model) -> Scorer:
+    return kept_by_worker(("toxicity", zlib.crc32(model.beta.tobytes()), model.bias, model.link), lambda: Scorer(model))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, score (0 to 1), predicted (1 from 0.5).
 
@@ -303,7 +315,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        scorer = _scorer_of(sent.value)
         for batch in batches:
             p = scorer(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], names=["id", "score", "predicted"])
@@ -317,7 +329,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        scorer = _scorer_of(sent.value)
         for batch in batches:
             yield batch.filter(pa.array(scorer(batch.column(at)) < 0.5, pa.bool_()))
 
