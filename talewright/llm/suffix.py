@@ -370,11 +370,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies.select("t0", "t1", F.least("m", F.lit(2)).alias("heavy"), "text").repartition(parts, "t0").write.bucketBy(parts, "t0").option("compression", "zstd").saveAsTable(store)
     texts = spark.table(store)
     columns = texts.select("text", "heavy", "t0", "t1")
-    often = columns.select("text", "heavy").mapInArrow(_weights(window), "fp long, w long").groupBy("fp").agg(F.sum("w").alias("c")).where("c > 1").select("fp")
+    # counts are written before they are joined, so that the join sees plain exchanges, of which AQE splits hot ones
+    often = staged(columns.select("text", "heavy").mapInArrow(_weights(window), "fp long, w long").groupBy("fp").agg(F.sum("w").alias("c")).where("c > 1").select("fp"), "often")
     described = columns.mapInArrow(_described(window), "fp long, sh long, t0 long, at long")
     places = staged(described.join(often, "fp", "left_semi"), "places")
     alike = staged(places.groupBy("fp", "sh").agg(F.sum(F.lit(1) + F.shiftright("at", 24).bitwiseAND(1)).alias("c"), F.min(F.struct("t0", "at")).alias("rep")), "alike")
-    variants = alike.groupBy("fp").agg(F.count(F.lit(1)).alias("v")).where("v > 1")
+    variants = staged(alike.groupBy("fp").agg(F.count(F.lit(1)).alias("v")).where("v > 1"), "variants")
     total = variants.agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
     shards = max(1, -(-total // (SHARD // 2)))
     sub = F.when(F.col("v") > SHARD, F.pmod(F.xxhash64("sh"), F.ceil(F.col("v") / SHARD)).cast("int")).otherwise(-1)
