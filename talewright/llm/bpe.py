@@ -6,23 +6,25 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import kept_by_worker, table
 
 #: Fixed value: the pattern that cuts a text into words before merging.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Words of more bytes than this are merged with a heap; the scan is for short ones.
 SHORT = 256
-#: Entries after which a worker's memory of words starts anew; it bounds memory and changes no result.
-MEMO = 300_000
+#: Entries of one generation of what a worker remembers. When it is full it becomes the old one, and what is still in use
+#: is taken over from there; this bounds memory and changes no result.
+MEMO = 100_000
 _DOUBLE_SPACE = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _NONE = 1 << 60
@@ -47,6 +49,25 @@ def chunks_of(text: str) -> list[str]:
     return text.split(" ") if not _DOUBLE_SPACE.search(text) else _SAFE_SPACE.split(text)
 
 
+class Memo:
+    """Two generations of values by key."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def find(self, key: str) -> bytes | None:
+        """The value of a key that is not among the young."""
+        found = self.old.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file's content."""
 
@@ -70,8 +91,9 @@ class Codec:
             self.merged.append(vocab[a + b])
         self.names = [str(i) for i in range(len(self.token_bytes))]
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self._words: dict[str, tuple[int, ...]] = {}
-        self._chunks: dict[str, tuple[int, ...]] = {}
+        # ids are remembered as the bytes of small unsigned numbers
+        self.dtype = "<u2" if len(self.token_bytes) <= 1 << 16 else "<u4"
+        self._words, self._chunks = Memo(MEMO // 2), Memo(MEMO)
 
     def _merge_short(self, word: bytes) -> list[int]:
         """Scan the array of adjacent ranks for its minimum, delete that boundary, refresh both neighbours."""
@@ -107,44 +129,46 @@ class Codec:
                     heapq.heappush(heap, (new, a))
         return [p for p in parts if p >= 0]
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        found = self._words.get(word)
-        if found is None:
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.dtype == "<u2" else "I", ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        found = self._words.young.get(word)
+        if found is None and (found := self._words.find(word)) is None:
             raw = word.encode("utf-8")
-            found = tuple(self._merge_short(raw) if len(raw) <= SHORT else self._merge_long(raw))
+            found = self._packed(self._merge_short(raw) if len(raw) <= SHORT else self._merge_long(raw))
             if len(raw) <= SHORT:
-                if len(self._words) >= MEMO:
-                    self._words.clear()
-                self._words[word] = found
+                self._words.keep(word, found)
         return found
 
-    def _words_of(self, part: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self._word, WORDS.findall(part))))
+    def _words_of(self, part: str) -> bytes:
+        return b"".join(map(self._word, WORDS.findall(part)))
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        found = self._words_of(" " + chunk)
-        if len(chunk) <= SHORT:
-            if len(self._chunks) >= MEMO:
-                self._chunks.clear()
-            self._chunks[chunk] = found
+    def _chunk(self, chunk: str) -> bytes:
+        found = self._chunks.find(chunk)
+        if found is None:
+            found = self._words_of(" " + chunk)
+            if len(chunk) <= SHORT:
+                self._chunks.keep(chunk, found)
         return found
 
-    def _plain(self, text: str) -> Iterable[tuple[int, ...]]:
+    def _plain(self, text: str) -> bytes:
         chunks = chunks_of(text)
-        found = list(map(self._chunks.get, chunks))
+        found = list(map(self._chunks.young.get, chunks))
         found[0] = self._words_of(chunks[0])
         if None in found:
             found = [self._chunk(c) if f is None else f for c, f in zip(chunks, found)]
-        return found
+        return b"".join(found)
 
-    def encode(self, text: str) -> list[int]:
+    def encode_array(self, text: str) -> np.ndarray:
         """Ids of a text; a special token's own string stands for that token, as in the library."""
         if not any(s in text for s in self.special):
-            return list(chain.from_iterable(self._plain(text)))
-        ids: list[int] = []
-        for part in self._cut.split(text):
-            ids.extend([self.special[part]] if part in self.special else chain.from_iterable(self._plain(part)) if part else ())
-        return ids
+            return np.frombuffer(self._plain(text), self.dtype)
+        parts = (self._packed([self.special[p]]) if p in self.special else self._plain(p) if p else b"" for p in self._cut.split(text))
+        return np.frombuffer(b"".join(parts), self.dtype)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_array(text).tolist()
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
@@ -153,16 +177,16 @@ class Codec:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-_CODECS: dict[int, Codec] = {}
-
-
 def codec_of(content: bytes) -> Codec:
     """One codec per worker and vocabulary."""
-    key = hash(content)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(content)
-    return _CODECS[key]
+    return kept_by_worker(("bpe", hash(content)), lambda: Codec(content))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of at most `rows` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _content(spark: SparkSession, path: str | None):
@@ -186,15 +210,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(sent.value)
         name = codec.names.__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             counts, digests, back, kept = [], [], [], []
             for text in batch.column(1).to_pylist():
-                ids = codec.encode(text or "")
+                packed = codec.encode_array(text or "")
+                ids = packed.tolist()
                 counts.append(len(ids))
                 digests.append(hashlib.sha256(",".join(map(name, ids)).encode()).hexdigest())
                 back.append(hashlib.sha256(codec.decode(ids).encode("utf-8")).hexdigest())
                 if with_ids:
-                    kept.append(pa.array(ids, pa.int32()))
+                    kept.append(pa.array(packed.astype(np.int32)))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())]
             names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
@@ -215,7 +240,7 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(sent.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(ids or ()) for ids in batch.column(1).to_pylist()], pa.string())], names=["id", "text"])
 
     return tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)

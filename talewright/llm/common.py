@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -20,6 +23,9 @@ def kept_by_worker(key, make):
     and what an earlier operator remembered would only take their memory."""
     if key not in _KEPT:
         _KEPT.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # give free memory back where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
         _KEPT[key] = make()
     return _KEPT[key]
 

@@ -12,9 +12,10 @@ def _mark(edges: DataFrame):
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, least_path: str) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # written before it is joined: AQE then splits the exchange of a node with very many neighbours
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least", least_path)
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
@@ -37,8 +38,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         following = staging_path(spark, "edges")
-        after = staged(_small_star(_large_star(now)), "edges", following)
+        least = staging_path(spark, "least")
+        after = staged(_small_star(_large_star(now, least)), "edges", following)
         drop_staged(spark, path)
+        drop_staged(spark, least)
         now, path = after, following
         if (new := _mark(now)) == mark:
             break

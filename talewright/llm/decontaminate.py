@@ -1,6 +1,6 @@
 """Benchmark decontamination as a prefix-filtered set join, in DataFrame functions only.
 
-A window's tokens are its word shingles, ordered by how rare they are in the documents. Exact containment needs
+A window's tokens are its words (shingles of one word), ordered by how rare they are in the documents. Exact containment needs
 every token, so the necessary prefix is the rarest one alone. Places of that token in a text are joined, the
 window must fit into the text around the place (length and positional bounds), and its words are compared.
 """
@@ -77,7 +77,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "do
     """The rows of `docs` without a benchmark window, all their columns kept."""
     _, leaks = find_leaks(docs, benchmark, id_col, text_col)
     digest = F.sha2(text_or_empty(docs[text_col]), 256)
-    return docs.withColumn("_digest", digest).join(leaks.select(F.col("digest").alias("_digest")), "_digest", "left_anti").drop("_digest")
+    return docs.withColumn("_digest", digest).join(maybe_broadcast(leaks.select(F.col("digest").alias("_digest"))), "_digest", "left_anti").drop("_digest")
 
 
 OP4_SQL = r"""

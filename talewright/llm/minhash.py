@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table, text_or_empty
+from .common import kept_by_worker, maybe_broadcast, staged, table, text_or_empty
 from .components import components
 
 #: Bands of minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40 = 1e-7.
@@ -36,15 +36,12 @@ _PLACES = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
-_WORDS = _WordHashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
@@ -58,7 +55,8 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = kept_by_worker("word hashes", _WordHashes)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     k = min(width, len(words))
     total = np.full(len(words) - k + 1, 0x9E3779B97F4A7C15 * k % (1 << 64), np.uint64)
     for i in range(k):
@@ -118,7 +116,7 @@ def _with_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, width: int)
     """`wanted` (c, ...) with the full set of class c as `s`, made again from the text of the class's smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
             found = [shingle_set(text.as_py(), width) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["c", "cls", "s"])
 
@@ -171,11 +169,18 @@ def _open_pairs(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> np.ndarray:
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Members of each candidate group with more than one component, dealt into tiles of about TILE members by a hash;
-    a row for each pair of tiles (ta <= tb) that a member is in."""
-    counts = members.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("g", "size")
-    dealt = members.join(counts, "g").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")).withColumn("t", F.pmod(F.xxhash64("root", F.pmod(F.xxhash64("c"), F.col("tiles"))), F.col("tiles")).cast("int"))
-    return dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("ta", F.least("t", "o")).withColumn("tb", F.greatest("t", "o"))
+    """Members of each candidate group with more than one component, dealt into tiles of about TILE members by a hash, and
+    a row for each pair of tiles (ta <= tb) that a member is in. The group's largest component has tiles of its own, which
+    are paired with the others' only: where few members stand apart, the rows grow with the group, not with its square."""
+    parts = members.groupBy("g", "root").agg(F.count(F.lit(1)).alias("n"))
+    groups = parts.groupBy("g").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("size")).where("size > most")
+    tiles = lambda n: F.ceil(n / TILE).cast("int")
+    groups = staged(groups.select("g", "main", tiles(F.col("size") - F.col("most")).alias("rest"), tiles(F.col("most")).alias("own")), "groups")
+    main = F.col("root") == F.col("main")
+    place = lambda n: F.pmod(F.xxhash64("c"), n).cast("int")
+    dealt = members.join(groups, "g").withColumn("t", F.when(main, F.col("rest") + place(F.col("own"))).otherwise(place(F.col("rest"))))
+    others = F.sequence(F.lit(0), F.when(main, F.col("rest")).otherwise(F.col("rest") + F.col("own")) - 1)
+    return dealt.withColumn("o", F.explode(others)).withColumn("ta", F.least("t", "o")).withColumn("tb", F.greatest("t", "o"))
 
 
 def _verify_rest(members: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -258,8 +263,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` whose id is its component's smallest, all their columns kept."""
-    gone = near_duplicates(docs, id_col, text_col, width, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = staged(near_duplicates(docs, id_col, text_col, width, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    return docs.join(maybe_broadcast(gone), docs[id_col] == F.col("_gone"), "left_anti")
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ _PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 #: z-value from which a word's share among toxic texts counts as evidence, given the many words compared.
 EVIDENCE = 5.0
 #: Words that a worker remembers before it starts anew, and texts' characters that it takes at once.
-MEMO, AT_ONCE = 150_000, 1 << 20
+MEMO, AT_ONCE = 100_000, 1 << 20
 #: Words whose subsequences are held at once.
 WORDS_AT_ONCE = 8192
 _THREE = re.compile(r"[^\x00-\x60\x7b-\x7f].*[^\x00-\x60\x7b-\x7f].*[^\x00-\x60\x7b-\x7f]")
