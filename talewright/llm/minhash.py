@@ -121,7 +121,7 @@ def _with_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, width: int)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["c", "cls", "s"])
 
     needed = wanted.select("c").distinct()
-    texts = docs.join(needed.withColumnRenamed("c", "id"), "id").dropDuplicates(["id", "text"])
+    texts = docs.join(maybe_broadcast(needed.withColumnRenamed("c", "id")), "id").dropDuplicates(["id", "text"])
     sets = texts.mapInArrow(run, f"c {docs.schema['id'].dataType.simpleString()}, cls binary, s binary")
     sets = sets.join(reps.select("c", "cls").join(needed, "c"), ["c", "cls"], "left_semi").select("c", "s")
     return wanted.join(sets, "c")
