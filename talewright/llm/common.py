@@ -5,14 +5,17 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side with narrow rows may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Bytes up to which a staged side may be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 8 << 20
+#: Parts into which the rows of one key are dealt where a hot key meets a side that is too large to broadcast.
+SALTS = 16
 
 
 _KEPT: dict = {}
@@ -35,9 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir). Where it is unset, a temporary one in local mode, as in tests; on
+    a cluster, whose machines do not see each other's folders, that is an error."""
     there = spark.conf.get("spark.checkpoint.dir", "") or getattr(spark, "_talewright_shared", None)
     if not there:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: staged tables need a folder that all machines share")
         there = f"file://{tempfile.mkdtemp(prefix='talewright-')}"
         spark._talewright_shared = there
     return there
@@ -62,9 +68,67 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when df has at most `limit` rows; otherwise leave the join to a shuffle."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+class Workspace:
+    """The staged tables of one call below one folder; all but the result go when it is finished."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.root = f"{shared_dir(spark)}/talewright-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def fresh_path(self, name: str) -> str:
+        return self.path(f"{name}-{uuid.uuid4().hex}")
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        return staged(df, name, self.path(name))
+
+    def saved(self, df: DataFrame, key: str, parts: int) -> DataFrame:
+        """df as a catalog table in `parts` buckets of `key`: joins on it move none of its rows."""
+        name = f"talewright_{self.name}_{uuid.uuid4().hex}"
+        self.tables.append(name)
+        df.repartition(parts, key).write.bucketBy(parts, key).option("compression", "zstd").saveAsTable(name)
+        return self.spark.table(name)
+
+    def finished(self, result: DataFrame) -> DataFrame:
+        """The result as a staged table, the only one that stays; it is the caller's to remove."""
+        out = staged(result, "result")
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_staged(self.spark, self.root)
+        return out
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of all rows of a staged table, as JSON, which is no less than what a hash table keeps of their values."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + 16), F.lit(0))).first()[0]
+
+
+def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Hint a broadcast only when the rows of `df`, which is staged, take at most `limit` bytes (BROADCAST_BYTES); otherwise
+    leave the join to a shuffle."""
+    return F.broadcast(df) if row_bytes(df) <= (BROADCAST_BYTES if limit is None else limit) else df
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "left") -> DataFrame:
+    """left.join(right, key) where many rows of `left` may share a key and `right`, which is staged, has one row for each: a
+    broadcast if its bytes allow, else a shuffle in which a key's rows are dealt by the hash of `by` and its one row is
+    repeated SALTS times."""
+    if row_bytes(right) <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right), key, how)
+    salt = fresh("salt", [*left.columns, *right.columns])
+    dealt = left.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return dealt.join(right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [key, salt], how).drop(salt)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that is not among `taken`, whatever its case."""
+    have = {t.lower() for t in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
 
 
 def text_or_empty(column: str | Column) -> Column:

@@ -1,9 +1,11 @@
 """Secret scan: three fixed patterns and a randomness test battery, all in DataFrame functions.
 
-A candidate is a long run of key characters that holds a digit. Its encoding is inferred, and its symbols are
-held against a uniform independent source: chi-squared over the alphabet, a runs test about the alphabet's
-middle and a lag-1 serial correlation. Fisher's sum of the three p-values goes through Benjamini-Hochberg over
-the candidates of a text, weighted by length; what the procedure rejects is structured, what stays is a secret.
+A candidate is a long run of key characters. Its encoding is inferred, and its symbols are held against a uniform
+independent source: chi-squared over the alphabet, a runs test about the alphabet's middle and a lag-1 serial
+correlation. Each is an equivalence test: the null hypothesis is that the string departs from that source at least as
+far as structured ones do, so a small p-value says that it is random. The largest of the three goes through
+Benjamini-Hochberg over the candidates of a text, weighted by length; what the procedure rejects is a secret, so its
+rate bounds the share of structured strings among the secrets of a text.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import fresh, table, text_or_empty
 
 #: Kinds in their order, pattern, group that is measured, least length of that group.
 KINDS = (
@@ -21,12 +23,25 @@ KINDS = (
 )
 #: What a text must hold for a kind to be searched at all; it follows from the pattern and the length.
 HINTS = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": r"AKIA[A-Z0-9]{14}", "hex": r"[0-9a-f]{16}"}
-#: A candidate of the battery: 20 or more key characters, a digit among them.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
-#: Share of structured strings that may be taken for such by mistake (the false-discovery rate).
-FDR = 0.01
-ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"}
+#: A candidate of the battery: 20 or more key characters, a capital letter or a digit among them.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[a-z+/_-]*[A-Z0-9])[A-Za-z0-9+/_-]{20,}"
+#: Share of structured strings among what is reported (the false-discovery rate).
+FDR = 0.05
+#: Encodings in the order in which they are tried: name, pattern, alphabet, size, and the least excess of the symbols' squared
+#: shares over the uniform source's (times the size, less 1) that a structured string has: decimal numbers in hex,
+#: dictionary words in the others. Decimal numbers alone are never secrets.
+ENCODINGS = (
+    ("hex", "^[0-9a-fA-F]+$", "0123456789abcdef", 16, 0.6),
+    ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32, 1.0),
+    ("base36", "^([0-9a-z]+|[0-9A-Z]+)$", "abcdefghijklmnopqrstuvwxyz0123456789", 36, 1.0),
+    ("base64", None, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 64, 1.4),
+)
+#: Least departure of structured strings in share of changes about the alphabet's middle (0.5 at random) and in
+#: serial correlation (0 at random).
+CHANGES, CORRELATION = 0.12, 0.7
 SPAN = "array<struct<start:long,ord:int,end:long,kind:string>>"
+#: Values that a running total takes at once, and code points of a piece of text.
+BLOCK, PIECE = 256, 1024
 
 
 def _normal_cdf(z: Column) -> Column:
@@ -38,44 +53,47 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def _places(text: Column, kind: str, pattern: str, group: int, least: int, order: int) -> Column:
-    """Spans of all leftmost non-overlapping matches whose measured group is long enough, in code points.
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    The parts between the matches give the places: match i starts after i+1 parts and i matches.
-    """
-    found, measured, between = (F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern, -1))
-    rows = F.arrays_zip(found.alias("m"), measured.alias("g"), between.alias("b"))
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["b"])
-        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        span = F.struct(start.cast("long").alias("start"), F.lit(order).alias("ord"), end.cast("long").alias("end"), F.lit(kind).alias("kind"))
-        keep = x["m"].isNotNull() & (F.length(x["g"]) >= least)
-        return F.struct(end.cast("long").alias("at"), F.when(keep, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+def _running(values: Column, combine) -> Column:
+    """combine() of each value and all before it, for an array of longs that are not negative. Blocks are folded one by one,
+    so that no long array is copied for each of its elements."""
+    state = F.struct(F.lit(0).cast("long").alias("last"), F.array().cast("array<long>").alias("out"))
+    outer = F.struct(F.lit(0).cast("long").alias("last"), F.array().cast("array<array<long>>").alias("out"))
+    grown = lambda s, v: F.struct(v.alias("last"), F.concat(s["out"], F.array(v)).alias("out"))
 
-    return F.aggregate(rows, state, step, lambda acc: acc["spans"])
+    def folded(v: Column) -> Column:
+        def block(acc: Column, i: Column) -> Column:
+            begun = F.struct(acc["last"].alias("last"), state["out"].alias("out"))
+            inner = F.aggregate(F.slice(v, i * BLOCK + 1, BLOCK), begun, lambda s, x: _let(combine(s["last"], x), lambda y: grown(s, y)))
+            return _let(inner, lambda r: F.struct(r["last"].alias("last"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
 
+        blocks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        return F.when(F.size(v) == 0, F.array().cast("array<long>")).otherwise(F.flatten(F.aggregate(blocks, outer, block, lambda acc: acc["out"])))
 
-def _let(value: Column, body) -> Column:
-    """body(value), with value computed once however often body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return _let(values, folded)
 
 
-def _chi_p(ranks: Column, k: int) -> Column:
-    """p-value of the chi-squared statistic for k equally likely symbols (Wilson-Hilferty)."""
-    n, df = F.size(ranks).cast("double"), float(k - 1)
-    squares = _sum(F.transform(F.array_distinct(ranks), lambda r: F.pow(F.size(F.filter(ranks, lambda x: x == r)).cast("double"), F.lit(2.0))))
-    z = (F.cbrt(F.greatest(squares * k / n - n, F.lit(0.0)) / df) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
-    return 1.0 - _normal_cdf_of(z)
+def _matches(text: Column, kind: str, pattern: str, group: int, least: int, order: int) -> Column:
+    """array<struct<span, token>> of all leftmost non-overlapping matches whose measured group is long enough; spans are in code
+    points. The parts between the matches give the places: match i ends after i + 1 parts and as many matches."""
+    found, measured, between = (F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern, -1))
+    long = lambda c: F.coalesce(F.length(c), F.lit(0)).cast("long")
 
+    def placed(rows: Column) -> Column:
+        ends = _running(F.transform(rows, lambda x: long(x["b"]) + long(x["m"])), lambda a, x: a + x)
+        kept = F.filter(F.arrays_zip(rows.alias("r"), ends.alias("e")), lambda x: x["r"]["m"].isNotNull() & (F.length(x["r"]["g"]) >= least))
+        span = lambda x: F.struct((x["e"] - long(x["r"]["m"])).alias("start"), F.lit(order).alias("ord"), x["e"].alias("end"), F.lit(kind).alias("kind"))
+        return F.transform(kept, lambda x: F.struct(span(x).alias("span"), x["r"]["m"].alias("token")))
 
-def _normal_cdf_of(z: Column) -> Column:
-    return _let(z, _normal_cdf)
+    return _let(F.arrays_zip(found.alias("m"), measured.alias("g"), between.alias("b")), placed)
 
 
-def _two_sided(z: Column) -> Column:
-    return 2 * (1 - _normal_cdf_of(F.abs(z)))
+def _cdf(z: Column) -> Column:
+    return _let(z, _normal_cdf)
 
 
 def _pairs(values: Column) -> Column:
@@ -83,60 +101,62 @@ def _pairs(values: Column) -> Column:
     return F.arrays_zip(F.slice(values, F.lit(1), F.size(values) - 1).alias("a"), F.slice(values, F.lit(2), F.size(values) - 1).alias("b"))
 
 
-def _runs_p(ranks: Column, k: int) -> Column:
-    """Wald-Wolfowitz test of the symbols above and below the alphabet's middle."""
-
-    def test(high: Column) -> Column:
-        n = F.size(high).cast("double")
-        runs = 1.0 + F.size(F.filter(_pairs(high), lambda x: x["a"] != x["b"]))
-
-        def of(n1: Column) -> Column:
-            mean = 2 * (n - n1) * n1 / n + 1
-            spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-            return F.when((n1 == 0) | (n1 == n), F.pow(F.lit(0.5), n - 1)).otherwise(_two_sided((runs - mean) / spread))
+def _chi_p(ranks: Column, k: int, excess: float) -> Column:
+    """Probability of a chi-squared statistic as small as this one from a source that exceeds the uniform one over k symbols by
+    `excess` (Patnaik's approximation of the non-central distribution, Wilson and Hilferty's of the central one)."""
+    n, df = F.size(ranks).cast("double"), float(k - 1)
+    squares = _sum(F.transform(F.array_distinct(ranks), lambda r: F.pow(F.size(F.filter(ranks, lambda x: x == r)).cast("double"), F.lit(2.0))))
+    far = n * excess
+    f = (df + far) * (df + far) / (df + 2 * far)
+    z = (F.cbrt(F.greatest(squares * k / n - n, F.lit(0.0)) / (df + far)) - (1 - 2 / (9 * f))) / F.sqrt(2 / (9 * f))
+    return _cdf(z)
 
-        return _let(_sum(high), of)
 
-    return _let(F.transform(ranks, lambda r: F.when(r >= k / 2, 1.0).otherwise(0.0)), test)
+def _runs_p(ranks: Column, k: int) -> Column:
+    """Probability of as many, or as few, changes between the alphabet's halves from a source whose share of changes is
+    CHANGES, or 1 - CHANGES; the larger of the two."""
+    high = F.transform(ranks, lambda r: r >= k / 2)
+    m = F.size(ranks).cast("double") - 1
+    spread = F.sqrt(m * CHANGES * (1 - CHANGES))
+    changes = F.size(F.filter(_pairs(high), lambda x: x["a"] != x["b"])).cast("double")
+    return _let(changes, lambda c: F.greatest(1 - _cdf((c - 0.5 - m * CHANGES) / spread), _cdf((c + 0.5 - m * (1 - CHANGES)) / spread)))
 
 
 def _serial_p(ranks: Column) -> Column:
-    """Lag-1 serial correlation of the symbols' places in the alphabet."""
+    """Probability of a lag-1 serial correlation as near to 0 from a source at CORRELATION (Fisher's transformation)."""
     n = F.size(ranks).cast("double")
 
     def of(centred: Column) -> Column:
         lagged = _sum(F.transform(_pairs(centred), lambda x: x["a"] * x["b"]))
         variance = _sum(F.transform(centred, lambda x: x * x))
-        return _let(variance, lambda v: F.when(v <= 0, F.pow(F.lit(0.5), n - 1)).otherwise(_two_sided((lagged / v + 1 / n) * F.sqrt(n))))
+        r = F.least(F.abs(lagged / F.greatest(variance, F.lit(1e-9)) + 1 / n), F.lit(0.999))
+        return _let(variance, lambda v: F.when(v <= 0, F.lit(1.0)).otherwise(1 - _cdf((F.atanh(F.lit(CORRELATION)) - F.atanh(r)) * F.sqrt(n - 3))))
 
     return _let(_sum(ranks) / n, lambda mean: _let(F.transform(ranks, lambda r: r - mean), of))
 
 
-def _battery(token: Column) -> Column:
-    """struct<encoding, n, chi_p, runs_p, serial_p, p> of one candidate; p is Fisher's sum of the three."""
-    encoding = F.when(token.rlike("^[0-9a-fA-F]+$"), "hex").when(token.rlike("^[A-Z2-7]+$"), "base32").otherwise("base64")
-
-    def measure(name: str) -> Column:
-        alphabet = ALPHABETS[name]
-        k = 64 if name == "base64" else len(alphabet)
-        symbols = F.split(F.lower(token) if name == "hex" else token, "")
-        floor = lambda p: F.ln(F.greatest(p, F.lit(1e-300)))
-
-        def combined(t: Column) -> Column:
-            return _let(-(floor(t["chi_p"]) + floor(t["runs_p"]) + floor(t["serial_p"])), lambda h: F.exp(-h) * (1 + h + h * h / 2))
+def battery(token: Column) -> Column:
+    """struct<encoding, n, chi_p, runs_p, serial_p, p> of one candidate; p, the largest, is small for random strings only."""
+    def measure(name: str, alphabet: str, k: int, excess: float) -> Column:
+        symbols = F.split(F.lower(token) if name in ("hex", "base36") else token, "")
 
         def tests(ranks: Column) -> Column:
-            three = F.struct(_chi_p(ranks, k).alias("chi_p"), _runs_p(ranks, k).alias("runs_p"), _serial_p(ranks).alias("serial_p"))
-            return _let(three, lambda t: F.struct(F.lit(name).alias("encoding"), F.size(ranks).cast("double").alias("n"), t["chi_p"].alias("chi_p"), t["runs_p"].alias("runs_p"), t["serial_p"].alias("serial_p"), combined(t).alias("p")))
+            three = F.struct(_chi_p(ranks, k, excess).alias("chi_p"), _runs_p(ranks, k).alias("runs_p"), _serial_p(ranks).alias("serial_p"))
+            worst = lambda t: F.when(token.rlike("^[0-9]+$"), F.lit(1.0)).otherwise(F.greatest(t["chi_p"], t["runs_p"], t["serial_p"]))
+            return _let(three, lambda t: F.struct(F.lit(name).alias("encoding"), F.size(ranks).cast("double").alias("n"), t["chi_p"].alias("chi_p"), t["runs_p"].alias("runs_p"), t["serial_p"].alias("serial_p"), worst(t).alias("p")))
 
-        return _let(F.transform(symbols, lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1), tests)
+        # - and _ stand for + and / in the other base64
+        return _let(F.transform(symbols, lambda c: (F.instr(F.lit(alphabet), F.translate(c, "-_", "+/")) - 1).cast("double")), tests)
 
-    return F.when(encoding == "hex", measure("hex")).when(encoding == "base32", measure("base32")).otherwise(measure("base64"))
+    out = None
+    for name, pattern, *rest in ENCODINGS:
+        of = measure(name, *rest)
+        out = F.when(token.rlike(pattern), of) if out is None else out.when(token.rlike(pattern), of) if pattern else out.otherwise(of)
+    return out
 
 
 def _random_spans(text: Column, order: int) -> Column:
-    """Spans of the candidates of a text that stay after the length-weighted step-up procedure."""
-    token = lambda s: F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
+    """Spans of the candidates of a text that the length-weighted step-up procedure finds random."""
 
     def controlled(tested: Column) -> Column:
         m = F.size(tested)
@@ -145,43 +165,54 @@ def _random_spans(text: Column, order: int) -> Column:
             # longer strings, whose tests have more power, get a weight above 1; weights average 1
             return F.array_sort(F.transform(tested, lambda x: F.struct((x["t"]["p"] * total / (m * x["t"]["n"])).alias("q"), x["span"].alias("span"))))
 
-        def stay(ordered: Column) -> Column:
+        def found(ordered: Column) -> Column:
             hits = F.filter(ordered, lambda x, i: x["q"] <= F.lit(FDR) * (i + 1) / m)
             last = F.coalesce(F.array_max(F.transform(hits, lambda x: x["q"])), F.lit(-1.0))
-            return F.array_sort(F.transform(_let(last, lambda q: F.filter(ordered, lambda x: x["q"] > q)), lambda x: x["span"]))
+            return F.array_sort(F.transform(_let(last, lambda q: F.filter(ordered, lambda x: x["q"] <= q)), lambda x: x["span"]))
+
+        return _let(_let(_sum(F.transform(tested, lambda x: x["t"]["n"])), weighed), found)
+
+    matches = _matches(text, "random", CANDIDATE, 0, 20, order)
+    return _let(F.transform(matches, lambda s: F.struct(s["span"].alias("span"), battery(s["token"]).alias("t"))), controlled)
 
-        return _let(_let(_sum(F.transform(tested, lambda x: x["t"]["n"])), weighed), stay)
 
-    spans = _places(text, "random", CANDIDATE, 0, 20, order)
-    return _let(F.transform(spans, lambda s: F.struct(s.alias("span"), _let(token(s), _battery).alias("t"))), controlled)
+def base_spans(text: Column) -> Column:
+    """Spans of the three fixed kinds, in order of their start and then of KINDS; `text` has no nulls."""
+    none = F.array().cast(SPAN)
+    found = (F.when(text.rlike(HINTS[kind]), F.transform(_matches(text, kind, pattern, group, least, i), lambda x: x["span"])).otherwise(none) for i, (kind, pattern, group, least) in enumerate(KINDS))
+    return F.array_sort(F.concat(*found))
 
 
-def _with_spans(df: DataFrame, text_col: str) -> DataFrame:
-    """df with _base_spans and _random_spans of a column that has no nulls."""
-    text, none = F.col(text_col), F.array().cast(SPAN)
-    for i, (kind, pattern, group, least) in enumerate(KINDS):
-        df = df.withColumn(f"_found_{kind}", F.when(text.rlike(HINTS[kind]), _places(text, kind, pattern, group, least, i)).otherwise(none))
-    df = df.withColumn("_random_spans", F.when(text.rlike(CANDIDATE), _random_spans(text, len(KINDS))).otherwise(none))
-    found = [f"_found_{kind}" for kind, *_ in KINDS]
-    return df.withColumn("_base_spans", F.array_sort(F.concat(*found))).drop(*found)
+def random_spans(text: Column) -> Column:
+    """Spans of the kind `random`; `text` has no nulls."""
+    return F.when(text.rlike(CANDIDATE), _random_spans(text, len(KINDS))).otherwise(F.array().cast(SPAN))
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, base_spans, random_spans (arrays of start, ord, end, kind; start order).
 
-    Null texts count as empty and have no spans. Repeated rows and null or repeated ids give a row each; other
-    columns, whatever their names, are not read. No shuffle: each text is searched whole where it is read.
+    Null texts count as empty and have no spans; an empty table gives none. Repeated rows and null or repeated ids give a
+    row each; other columns, whatever their names, are not read. No shuffle: each text is searched whole where it is
+    read, in time that grows with its length.
     """
-    df = _with_spans(docs.select(F.col(id_col).alias("_id"), text_or_empty(docs[text_col]).alias("_text")), "_text")
-    return df.select(F.col("_id").alias(id_col), F.col("_base_spans").alias("base_spans"), F.col("_random_spans").alias("random_spans"))
+    df = docs.select(docs[id_col].alias("id"), text_or_empty(docs[text_col]).alias("text"))
+    return df.select(F.col("id").alias(id_col), base_spans(F.col("text")).alias("base_spans"), random_spans(F.col("text")).alias("random_spans"))
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """`docs` with the secrets of its texts replaced; `length_col`, if there, is brought in line. A null text stays null."""
-    df = _with_spans(docs.withColumn("_text", text_or_empty(docs[text_col])), "_text")
-    df = df.withColumn("_spans", F.array_sort(F.concat("_base_spans", "_random_spans"))).withColumn("_clean", redact(F.col("_text"), F.col("_spans")))
-    hit = F.size("_spans") > 0
-    out = {c: F.when(hit, F.col("_clean")).otherwise(F.col(c)) if c == text_col else F.when(hit, F.length("_clean").cast(docs.schema[c].dataType)).otherwise(F.col(c)) if c == length_col else F.col(c) for c in docs.columns}
+    """`docs` with the secrets of its texts replaced; `length_col`, if there, is brought in line.
+
+    A null text stays null, a text without secrets and its length stay as they are, repeated rows and null ids stay. All
+    other columns keep their values, whatever their names: what is computed goes under a name that is free.
+    """
+    spans, clean = fresh("spans", docs.columns), fresh("clean", docs.columns)
+    df = docs.withColumn(spans, F.array_sort(F.concat(base_spans(text_or_empty(docs[text_col])), random_spans(text_or_empty(docs[text_col])))))
+    hit = F.size(df[spans]) > 0
+    df = df.withColumn(clean, F.when(hit, redact(df[text_col], df[spans])))
+    out = {c: df[c] for c in docs.columns}
+    out[text_col] = F.coalesce(df[clean], df[text_col])
+    if length_col in out:
+        out[length_col] = F.coalesce(F.length(df[clean]).cast(docs.schema[length_col].dataType), df[length_col])
     return df.select(*(v.alias(k) for k, v in out.items()))
 
 
@@ -190,18 +221,37 @@ def _joined(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """`text` with every span replaced by `mark`; overlapping spans become one. Spans must be in start order."""
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """`text` with every span replaced by `mark`; spans that overlap or touch become one. Spans must be in start order.
+
+    The text is cut into pieces of PIECE code points, so that a part is found without counting from the text's start.
+    """
+
+    def between(pieces: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / PIECE).cast("int")
+        some = F.array_join(F.slice(pieces, first + 1, F.floor((F.greatest(b, a + 1) - 1) / PIECE).cast("int") - first + 1), "")
+        return F.when(b > a, F.substring(some, (a - first * PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+    def cut(merged: Column) -> Column:
+        def of(pieces: Column) -> Column:
+            before = lambda j: F.coalesce(F.get(merged, j - 1)["end"], F.lit(0).cast("long"))
+            parts = F.transform(merged, lambda m, j: F.concat(between(pieces, before(j), m["start"]), F.lit(mark)))
+            return F.concat(F.array_join(parts, ""), between(pieces, before(F.size(merged)), F.length(text).cast("long")))
+
+        return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), of)
+
+    def merged(own: Column) -> Column:
+        def groups(tops: Column) -> Column:
+            first = F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: (i == 0) | (F.get(own, i)["start"] > F.get(tops, i - 1)))
+            group = lambda f: F.transform(f, lambda i, j: F.struct(F.get(own, i)["start"].alias("start"), F.get(tops, F.coalesce(F.get(f, j + 1), F.size(own)) - 1).alias("end")))
+            return _let(first, group)
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"].cast("int") + 1, F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        fresh = (s["start"] >= acc["at"]) & ((s["start"] > acc["at"]) | (acc["at"] == 0))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, F.when(fresh, F.lit(mark)).otherwise("")).alias("out"))
+        return _let(_running(F.transform(own, lambda s: s["end"]), lambda a, x: F.greatest(a, x)), groups)
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, state, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"].cast("int") + 1, F.length(text)))))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(spans, lambda own: _let(merged(own), cut)))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, from find_secrets(), whose cases hold; n_random counts the battery's spans."""
     found = find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
