@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_staged, staged, staging_path
+from .common import Workspace, drop_staged, staged
 
 
 def _mark(edges: DataFrame):
@@ -26,19 +26,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """(node, root) of every node of `edges` (u, v) that is not its component's smallest; no self-loops needed.
 
     Each round is written to the shared folder, so the lineage stays short and only counts reach the driver.
-    An empty edge table gives an empty result; repeated edges and both directions do no harm.
+    An empty edge table gives an empty result; repeated edges and both directions do no harm; edges with a null end
+    must not be given.
     """
     spark = edges.sparkSession
-    path = staging_path(spark, "edges")
+    path = work.fresh_path("edges")
     now = staged(edges.select("u", "v").where("u != v").distinct(), "edges", path)
     mark = _mark(now)
     while mark[0]:
-        following = staging_path(spark, "edges")
-        least = staging_path(spark, "least")
+        following, least = work.fresh_path("edges"), work.fresh_path("least")
         after = staged(_small_star(_large_star(now, least)), "edges", following)
         drop_staged(spark, path)
         drop_staged(spark, least)

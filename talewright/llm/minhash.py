@@ -1,10 +1,11 @@
 """MinHash near-duplicate classes with odd sketches.
 
-Texts with the same shingle set are one class. Bands of minima propose pairs of classes: each class of a bucket
-with the bucket's smallest. The minima are also folded into a parity bitmap (odd sketch), whose XOR with another's
-counts the minima that differ; pairs whose count is out of reach for the threshold go, the rest are held against
-each other on their full sets. What stays apart although buckets connect it is compared tile by tile, so that no
-link is lost because a bucket's smallest class was not like the others.
+Texts with the same shingle set are one class. Bands of minima put classes into buckets; each class of a bucket is
+held against the bucket's smallest. The minima are also folded into a parity bitmap (odd sketch), whose XOR with
+another's counts the minima that differ; pairs whose count is out of reach for the threshold go, the rest are held
+against each other on their full sets. A bucket whose classes are then still in several components is settled by itself:
+members of different components are held against each other, sketches first, so that no link is lost because a
+bucket's smallest class was not like the others, and work is spent only on pairs that a bucket proposes.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept_by_worker, maybe_broadcast, staged, table, text_or_empty
+from .common import Workspace, kept_by_worker, maybe_broadcast, shuffle_partitions, staged, table, text_or_empty
 from .components import components
 
 #: Bands of minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40 = 1e-7.
@@ -26,8 +27,10 @@ BANDS, ROWS = 40, 5
 #: Bits of an odd sketch, and differing bits up to which a pair is verified. At similarity 0.8 the count is 69 with
 #: a deviation of 10, so that a true pair is lost here with probability below 1e-10.
 SKETCH_BITS, SKETCH_LIMIT = 512, 140
-#: Members of a tile and members that are verified against one representative at a time.
-TILE, MEMBERS = 1024, 512
+#: Members of a tile, and members that are verified against one representative at a time.
+TILE, MEMBERS = 256, 512
+#: Comparisons of sketches that a task makes, about, and those it holds at once.
+COMPARED, PAIRS = 100_000_000, 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RANDOM = np.random.default_rng(20240607)
 _FACTORS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -112,7 +115,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, _SIGNED.format(kind=docs.schema["id"].dataType.simpleString()))
 
 
-def _with_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+def _with_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, width: int, work: Workspace, name: str) -> DataFrame:
     """`wanted` (c, ...) with the full set of class c as `s`, made again from the text of the class's smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +123,7 @@ def _with_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, width: int)
             found = [shingle_set(text.as_py(), width) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["c", "cls", "s"])
 
-    needed = wanted.select("c").distinct()
+    needed = work.staged(wanted.select("c").distinct(), name)
     texts = docs.join(maybe_broadcast(needed.withColumnRenamed("c", "id")), "id").dropDuplicates(["id", "text"])
     sets = texts.mapInArrow(run, f"c {docs.schema['id'].dataType.simpleString()}, cls binary, s binary")
     sets = sets.join(reps.select("c", "cls").join(needed, "c"), ["c", "cls"], "left_semi").select("c", "s")
@@ -134,7 +137,7 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verify_stars(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+def _verify_stars(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
     """The pairs (c, rep) whose full sets are alike. A representative's set goes once to each group of its members."""
     dealt = pairs.withColumn("part", F.pmod(F.xxhash64("c"), F.greatest(F.lit(1), F.ceil(F.col("m") / MEMBERS))))
     wanted = dealt.select("c", "rep", "part").unionByName(dealt.select(F.col("rep").alias("c"), "rep", "part").distinct())
@@ -146,7 +149,7 @@ def _verify_stars(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int
         return pd.DataFrame({"u": pd.Series(linked, dtype=group["c"].dtype), "v": pd.Series([rep] * len(linked), dtype=group["c"].dtype)})
 
     kind = docs.schema["id"].dataType.simpleString()
-    return _with_sets(wanted, docs, reps, width).groupBy("rep", "part").applyInPandas(run, f"u {kind}, v {kind}")
+    return _with_sets(wanted, docs, reps, width, work, "starred").groupBy("rep", "part").applyInPandas(run, f"u {kind}, v {kind}")
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -168,41 +171,103 @@ def _open_pairs(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> np.ndarray:
     return near & (_differing(np.stack(x["odd"].to_list()), np.stack(y["odd"].to_list())) <= SKETCH_LIMIT)
 
 
-def _tiles(members: DataFrame) -> DataFrame:
-    """Members of each candidate group with more than one component, dealt into tiles of about TILE members by a hash, and
-    a row for each pair of tiles (ta <= tb) that a member is in. The group's largest component has tiles of its own, which
-    are paired with the others' only: where few members stand apart, the rows grow with the group, not with its square."""
-    parts = members.groupBy("g", "root").agg(F.count(F.lit(1)).alias("n"))
-    groups = parts.groupBy("g").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("size")).where("size > most")
+def _tiles(members: DataFrame, work: Workspace) -> tuple[DataFrame, int]:
+    """Members (key, c, root) of buckets with more than one component, dealt into tiles of about TILE members by a hash, a row
+    for each pair of tiles (ta <= tb) that a member is in; and about how many comparisons that makes.
+
+    A bucket of up to TILE members is one tile. In a larger one the largest component has tiles of its own, which are
+    paired with the others' only: where few members stand apart, the rows grow with the bucket, not with its square.
+    Of buckets with the same members one is kept.
+    """
+    mark = lambda seed: F.bit_xor(F.xxhash64("c", F.lit(seed)))
+    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), mark(1).alias("m1"), mark(2).alias("m2"))
+    buckets = parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("size"), F.bit_xor("m1").alias("m1"), F.bit_xor("m2").alias("m2")).where("size > most")
+    buckets = buckets.groupBy("size", "m1", "m2").agg(F.min_by(F.struct("key", "main", "most"), "key").alias("b")).select("b.*", "size")
+    whole = F.col("size") <= TILE
     tiles = lambda n: F.ceil(n / TILE).cast("int")
-    groups = staged(groups.select("g", "main", tiles(F.col("size") - F.col("most")).alias("rest"), tiles(F.col("most")).alias("own")), "groups")
-    main = F.col("root") == F.col("main")
+    buckets = work.staged(buckets.select("key", "main", F.when(whole, 1).otherwise(tiles(F.col("size") - F.col("most"))).alias("rest"), F.when(whole, 0).otherwise(tiles(F.col("most"))).alias("own"), (F.col("size") * (F.col("size") - F.col("most"))).alias("compared")), "buckets")
+    main = (F.col("root") == F.col("main")) & (F.col("own") > 0)
     place = lambda n: F.pmod(F.xxhash64("c"), n).cast("int")
-    dealt = members.join(groups, "g").withColumn("t", F.when(main, F.col("rest") + place(F.col("own"))).otherwise(place(F.col("rest"))))
+    dealt = members.join(maybe_broadcast(buckets.drop("compared")), "key").withColumn("t", F.when(main, F.col("rest") + place(F.col("own"))).otherwise(place(F.col("rest"))))
     others = F.sequence(F.lit(0), F.when(main, F.col("rest")).otherwise(F.col("rest") + F.col("own")) - 1)
-    return dealt.withColumn("o", F.explode(others)).withColumn("ta", F.least("t", "o")).withColumn("tb", F.greatest("t", "o"))
-
-
-def _verify_rest(members: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between components within the same candidate group; members has c, g, root, n, odd."""
+    out = dealt.withColumn("o", F.explode(others)).withColumn("ta", F.least("t", "o")).withColumn("tb", F.greatest("t", "o")).drop("main", "rest", "own", "o")
+    return out, buckets.agg(F.coalesce(F.sum(F.col("compared").cast("double")), F.lit(0.0))).first()[0]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 1 << 16) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows in tables that do not cut a group, with where each group begins, and the end."""
+    held: list[pa.RecordBatch] = []
+
+    def begins(of: pa.Table) -> np.ndarray:
+        new = np.zeros(len(of), bool)
+        new[:1] = True
+        for k in keys:
+            values = of[k].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            of = pa.Table.from_batches(held)
+            at = begins(of)
+            if len(at) > 1:
+                yield of.slice(0, int(at[-1])), at
+                held = of.slice(int(at[-1])).to_batches()
+    if held and sum(map(len, held)):
+        of = pa.Table.from_batches(held)
+        at = begins(of)
+        yield of, np.append(at, len(of))
+
+
+def _near_rows(of: pa.Table, at: np.ndarray, percent: int) -> np.ndarray:
+    """Rows whose class may be alike to another's of its group: other component, other side, sizes and sketches in reach. Pairs
+    with a bucket's smallest class have been decided."""
+    root, n, t, first = (of[c].to_numpy() for c in ("root", "n", "t", "first"))
+    odd = of["odd"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(of), -1)
+    across = of["ta"].to_numpy() != of["tb"].to_numpy()
+    until = np.repeat(at[1:], np.diff(at))
+    count = np.where(first, 0, until - 1 - np.arange(len(of)))
+    hit = np.zeros(len(of), bool)
+    total = np.concatenate([[0], np.cumsum(count)])
+    row = 0
+    while row < len(of):
+        stop = max(row + 1, int(np.searchsorted(total, total[row] + PAIRS, side="right")) - 1)
+        each = count[row:stop]
+        i = np.repeat(np.arange(row, stop), each)
+        j = np.arange(len(i)) - np.repeat(total[row:stop] - total[row], each) + i + 1
+        open_ = (root[i] != root[j]) & ~first[j] & (~across[i] | (t[i] != t[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        i, j = i[open_], j[open_]
+        near = np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1, dtype=np.int64) <= SKETCH_LIMIT
+        hit[i[near]] = hit[j[near]] = True
+        row = stop
+    return hit
+
+
+def _verify_rest(members: DataFrame, sketch: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, work: Workspace) -> DataFrame:
+    """Links between components within the same bucket; members has key, c, root, first (whether c is the bucket's smallest)."""
     kind = docs.schema["id"].dataType.simpleString()
-    keys = ["g", "ta", "tb"]
-
-    def sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-        ta, tb = group["ta"].iloc[0], group["tb"].iloc[0]
-        return group[group["t"] == ta], group[group["t"] == tb]
-
-    def reach(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = sides(group)
-        near = _open_pairs(x, y, percent)
-        some = pd.concat([x[near.any(axis=1)], y[near.any(axis=0)]]).drop_duplicates("c")
-        return some[["c", *keys, "t", "root", "n", "odd"]]
+    keys = ["key", "ta", "tb"]
+    columns = ["c", *keys, "t", "root", "n", "odd"]
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for of, at in _whole_groups(batches, keys):
+            hit = _near_rows(of, at, percent)
+            some = of.select(columns).filter(pa.array(hit))
+            # what is near in a tile is marked, so that what another bucket shows as well is verified once
+            marks = []
+            for a, b in zip(at, at[1:]):
+                if k := int(hit[a:b].sum()):
+                    own = of.slice(a, b - a).filter(pa.array(hit[a:b]))
+                    side = [f"{c}:{int(t == ta)}" for c, t, ta in zip(*(own[x].to_pylist() for x in ("c", "t", "ta")))]
+                    marks += [xxhash.xxh3_128_digest("\n".join(sorted(side)).encode())] * k
+            yield from some.append_column("mark", pa.array(marks, pa.binary())).to_batches()
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = sides(group)
+        ta, tb = group["ta"].iloc[0], group["tb"].iloc[0]
+        x, y = group[group["t"] == ta], group[group["t"] == tb]
         xs, ys = ([np.frombuffer(s, np.uint64) for s in side["s"]] for side in (x, y))
-        near = _open_pairs(x, y, percent)
-        i, j = np.nonzero(near)
+        i, j = np.nonzero(_open_pairs(x, y, percent))
         count = _differing(np.stack(x["odd"].to_list()), np.stack(y["odd"].to_list()))[i, j] if len(i) else np.empty(0)
         root: dict = {}
 
@@ -220,10 +285,16 @@ def _verify_rest(members: DataFrame, docs: DataFrame, reps: DataFrame, width: in
                 links.append((xc[i[k]], yc[j[k]]))
         return pd.DataFrame({"u": pd.Series([p[0] for p in links], dtype=group["c"].dtype), "v": pd.Series([p[1] for p in links], dtype=group["c"].dtype)})
 
-    near = staged(_tiles(members).groupBy(*keys).applyInPandas(reach, f"c {kind}, g {kind}, ta int, tb int, t int, root {kind}, n long, odd array<long>"), "near")
+    dealt, compared = _tiles(members, work)
+    # dealt by comparisons, which AQE does not see
+    parts = max(shuffle_partitions(docs.sparkSession), int(compared / COMPARED) + 1)
+    tiles = dealt.join(sketch, "c").select(*columns, "first").repartition(parts, *keys).sortWithinPartitions(*keys)
+    near = work.staged(tiles.mapInArrow(reach, f"c {kind}, key long, ta int, tb int, t int, root {kind}, n long, odd array<long>, mark binary"), "near")
     if near.isEmpty():
         return docs.sparkSession.createDataFrame([], f"u {kind}, v {kind}")
-    return _with_sets(near, docs, reps, width).groupBy(*keys).applyInPandas(link, f"u {kind}, v {kind}")
+    once = near.groupBy("mark").agg(F.min(F.struct(*keys)).alias("k")).select("mark", "k.*")
+    near = work.staged(near.join(once, ["mark", *keys], "left_semi").drop("mark"), "once")
+    return _with_sets(near, docs, reps, width, work, "apart").groupBy(*keys).applyInPandas(link, f"u {kind}, v {kind}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -234,40 +305,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts; of them and of equal texts nothing is lost. Rows without an id are linked with nothing: component_id is
     null, kept true. Other columns, whatever their names, are not read. Ids may be of any type that can be ordered.
     """
-    base = docs.select(F.col(id_col).alias("id"), text_or_empty(docs[text_col]).alias("text"))
-    signed = staged(signatures(base, width), "signed")
+    work = Workspace(docs.sparkSession, "near")
+    base = docs.select(docs[id_col].alias("id"), text_or_empty(docs[text_col]).alias("text"))
+    signed = work.staged(signatures(base, width), "signed")
     known = signed.where("cls IS NOT NULL AND id IS NOT NULL")
-    reps = staged(known.groupBy("cls").agg(F.min("id").alias("c"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "reps")
+    reps = work.staged(known.groupBy("cls").agg(F.min("id").alias("c"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "reps")
     keyed = reps.select("c", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("c").alias("rep"), F.max("c").alias("last")).where("rep != last").select("key", "rep")
-    stars = keyed.join(buckets, "key").where("c != rep").select("c", "rep").distinct()
+    firsts = keyed.groupBy("key").agg(F.min("c").alias("rep"), F.max("c").alias("last")).where("rep != last").select("key", "rep")
+    inside = work.staged(keyed.join(firsts, "key"), "inside")
     sketch = reps.select("c", "odd", "n")
+    stars = inside.where("c != rep").select("c", "rep").distinct()
     both = stars.join(sketch, "c").join(sketch.select(F.col("c").alias("rep"), F.col("odd").alias("odd2"), F.col("n").alias("n2")), "rep")
     differing = F.aggregate(F.zip_with("odd", "odd2", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
-    stars = staged(both.select("c", "rep", ((differing <= SKETCH_LIMIT) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))).alias("near")), "stars")
-    close = stars.where("near").select("c", "rep").distinct()
+    close = work.staged(both.where((differing <= SKETCH_LIMIT) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))).select("c", "rep"), "close")
     close = close.join(close.groupBy("rep").agg(F.count(F.lit(1)).alias("m")), "rep")
-    links = staged(_verify_stars(close, base, reps, width, percent), "links")
-    first = components(links)
-    groups = components(stars.select(F.col("c").alias("u"), F.col("rep").alias("v")))
-    grouped = groups.select(F.col("node").alias("c"), F.col("root").alias("g")).unionByName(groups.select(F.col("root").alias("c"), F.col("root").alias("g")).distinct())
-    members = grouped.join(first.withColumnRenamed("node", "c"), "c", "left").join(sketch, "c").select("c", "g", F.coalesce("root", "c").alias("root"), "n", "odd")
-    more = staged(_verify_rest(members, base, reps, width, percent), "more")
+    links = work.staged(_verify_stars(close, base, reps, width, percent, work), "links")
+    first = work.staged(components(links, work).select(F.col("node").alias("c"), "root"), "first")
+    members = inside.join(maybe_broadcast(first), "c", "left").select("key", "c", F.coalesce("root", "c").alias("root"), (F.col("c") == F.col("rep")).alias("first"))
+    more = work.staged(_verify_rest(members, sketch, base, reps, width, percent, work), "more")
     # rows that share an id tie their classes together
     tied = known.select("cls", F.col("id").alias("v")).join(reps.select("cls", F.col("c").alias("u")), "cls").where("u != v").select("u", "v").distinct()
-    whole = components(links.unionByName(more).unionByName(tied)).select(F.col("node").alias("id"), "root")
+    whole = components(links.unionByName(more).unionByName(tied), work).select(F.col("node").alias("id"), "root")
     out = signed.select("id", "n").join(whole, "id", "left")
     component = F.coalesce("root", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    return work.finished(out)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose id is its component's smallest, all their columns kept."""
-    gone = staged(near_duplicates(docs, id_col, text_col, width, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(maybe_broadcast(gone), docs[id_col] == F.col("_gone"), "left_anti")
+    """The rows of `docs` whose id is its component's smallest, all their columns kept with their values, whatever their names.
+
+    Rows without an id, and rows with null or empty texts that no other row of their id ties to a group, stay; rows that
+    share the kept id all stay; an empty table stays empty.
+    """
+    gone = staged(near_duplicates(docs, id_col, text_col, width, percent).where("NOT kept").select(id_col).distinct(), "gone")
+    return docs.join(maybe_broadcast(gone), id_col, "left_anti").select(*docs.columns)
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document: shingles of four words, similarity 0.8; the cases of near_duplicates() hold."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from talewright.llm import bpe, jpeg, minhash, suffix, tokenfile, toxicity
 from talewright.llm.common import staging_path
+from talewright.llm.common import Workspace
 from talewright.llm.components import components
 
 from .test_native import frame
@@ -317,10 +318,10 @@ def unions(nodes, edges):
 def test_components(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(150)] + [(7, 7), (1, 0)]
-    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long"), Workspace(spark, "t")).collect()}
     want = unions({n for e in edges for n in e}, edges)
     assert {n: got.get(n, n) for n in want} == want
-    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert components(spark.createDataFrame([], "u long, v long"), Workspace(spark, "t")).count() == 0
 
 
 def near_of(texts, ids, width=4):
