@@ -1,10 +1,11 @@
 """Token-id files in an adaptive context-mixing range coder.
 
-Ids are cut into blocks that are coded on their own: models start anew and each block has a checksum. Tables keyed
-by the last two ids (order 2) and the last one (order 1) predict the next id; their confidences are mixed in the
-logistic domain with weights that adapt, and the result drives the coder: order-2 hit, order-1 hit or escape. An
-escaped id is coded by its low byte, whether it is the last one seen with that byte (order 0), and its high byte.
-All blocks of a section are coded in step, one id of each at a time, with numpy.
+A section renumbers its ids by how often they occur and cuts them into blocks of BLOCK ids that are coded on their own:
+models start anew and each block has a checksum. Tables keyed by the last two ids (order 2) and the last one (order 1)
+predict the next id. How often each has been right at its present confidence is mixed in the logistic domain, with
+weights that adapt, and the result drives the coder: order-2 hit, order-1 hit or escape. An escaped id is coded by its
+class of frequency, whose shares adapt (order 0), and its place in that class. All blocks of a section are coded in
+step, one id of each at a time, with numpy; shares and weights are renewed at fixed steps.
 """
 
 from __future__ import annotations
@@ -17,229 +18,311 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import _DOUBLE_SPACE, _SAFE_SPACE, vocabulary_path
+from .bpe import _SAFE_SPACE, vocabulary_path
 from .common import kept_by_worker, shuffle_partitions, staging_path, table
 
 #: Id that ends a document.
 END_ID = 2
-#: Ids of a section, and the least and most ids of a block.
-SECTION, LEAST, MOST = 4 << 20, 128, 1024
+#: Ids of a block, and of a section at least.
+BLOCK, SECTION = 4096, 4 << 20
 #: Ids of at most two bytes are coded.
 MAX_ID = 0xFFFF
-MAGIC = b"TWTK1"
+MAGIC = b"TWTK2"
 _SPACE = re.compile(r"\s")
-MEMO = 600_000
-
-_S2, _S1 = 1024, 512  # entries of the order-2 and order-1 table of a block
+#: Words of a generation whose ids a worker remembers; a full one becomes the old one, from which words in use come back.
+MEMO = 400_000
+#: A space between two characters that are not white space is where a text may be cut; this finds two of the latter in a row
+#: (a superset of them), in the syntax of Arrow's regular expressions.
+_WIDE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]{2}"
+
+#: Entries of the order-2 table of a block, and most entries of its order-1 table.
+_S2, _S1 = 2048, 2048
 _STRETCH = np.clip(np.round(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int64)
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, 4095).astype(np.int64)
-_U = np.uint64
-#: An interval is narrowed once for each id, to a part in 2 ** 36: 12 bits for hit or escape, 8 for the low byte of an
-#: escaped id, 8 for whether the last id of that byte comes again, 8 for the high byte.
-_BITS = 36
-_TOP, _BOTTOM, _LOW_MASK = _U(1 << 48), _U(1 << 40), _U((1 << 40) - 1)
+_ONE, _FULL = 1 << 16, 3 << 16  # of the confidence that stands above an entry's id
+#: Bits of the shares of frequency classes.
+_SHARE = 10
+#: An interval is kept between _LOW and _TOP; its top bits leave it as words.
+_WORD, _TOP = 20, 1 << 60
+_LOW = _TOP >> _WORD
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each place in the order of frequency, first place and bits of each class: single places below 4, then four
+    classes for each power of two."""
+    place = np.arange(MAX_ID + 1)
+    high = np.maximum(np.log2(np.maximum(place, 1)).astype(np.int64), 2)
+    of = np.where(place < 4, place, 4 * high - 4 + (place >> high - 2 & 3))
+    first = np.flatnonzero(np.diff(of, prepend=-1))
+    return of.astype(np.uint8), first.astype(np.uint16), np.round(np.log2(np.diff(np.append(first, MAX_ID + 1)))).astype(np.int64)
+
+
+_CLASS, _FIRST, _BITS = _classes()
+
+
+def _due(step: int) -> bool:
+    """Whether shares and weights are renewed before this step."""
+    return step >= 16 and (step % 512 == 0 or step & (step - 1) == 0)
 
 
 class _Model:
-    """State of all blocks (lanes); the same calls in the same order make encoder and decoder agree."""
-
-    def __init__(self, lanes: int):
-        n = self.lanes = lanes
-        self.base2, self.base1, self.base0 = np.arange(n) * _S2, np.arange(n) * _S1, np.arange(n) * 256
-        self.t2, self.t1, self.t0 = np.zeros(n * _S2, np.int32), np.zeros(n * _S1, np.int32), np.zeros(n * 256, np.int32)
-        self.lane4, self.lane8 = np.arange(n) * 4, np.arange(n) * 8
-        self.hit2 = np.tile([4096, 16384, 32768, 49152], n)
-        # order-1 state: hits of order 2 as order 1 sees them, times 65536, and hits of order 1 when order 2 misses
-        self.hit1 = np.tile([4096 << 16 | 4096, 8192 << 16 | 16384, 12288 << 16 | 32768, 16384 << 16 | 49152, 4096 << 16 | 1024, 8192 << 16 | 1024, 12288 << 16 | 1024, 16384 << 16 | 1024], n)
-        self.hit0 = np.full(n, 8192)
-        self.w2, self.w1 = np.full(n, 40000), np.full(n, 25000)
-        self.a = self.b = np.zeros(n, np.int64)
+    """State of all blocks (lanes); the same calls in the same order make encoder and decoder agree. Integers only."""
+
+    def __init__(self, lanes: int, alphabet: int, prior: np.ndarray):
+        self.lanes, self.classes = lanes, len(prior)
+        lane = np.arange(lanes)
+        self.size1 = min(_S1, 1 << max(int(alphabet - 1).bit_length(), 1))
+        self.base2, self.base1, self.base0 = lane * _S2, lane * self.size1, lane * self.classes
+        self.t2, self.t1 = np.zeros(lanes * _S2, np.uint32), np.zeros(lanes * self.size1, np.uint32)
+        # (order-2 confidence, order-1 confidence, whether both say the same), three outcomes each
+        self.cell = lane * 96
+        self.seen = np.zeros(lanes * 96, np.int32)
+        self.weights = np.tile(np.array([[45000, 12000], [45000, 25000]]), (lanes, 1, 1))
+        self.shares = np.tile(prior.astype(np.int64), (lanes, 1))
+        self.escaped = np.zeros(lanes * self.classes, np.int32)
+        self.a = np.zeros(lanes, np.uint16)
+        self.b = np.zeros(lanes, np.uint16)
+        self.lookup: np.ndarray | None = None
+        self.renew()
+
+    def renew(self) -> None:
+        """Frequencies from what has been seen: `plan` holds start and width, of 4096, of each outcome in each cell."""
+        seen = self.seen.reshape(self.lanes, 4, 4, 2, 3).astype(np.int64)
+        trials = seen.sum(axis=4)
+        right2 = seen[..., 0]
+        right1 = seen[..., 1].copy()
+        right1[..., 1] += right2[..., 1]
+        start = np.array([300, 1200, 2200, 3300])
+        p2 = (4096 * right2.sum(axis=(2, 3)) + 8 * start) // (trials.sum(axis=(2, 3)) + 8)
+        p1 = (4096 * right1.sum(axis=(1, 3)) + 8 * start) // (trials.sum(axis=(1, 3)) + 8)
+        s2 = _STRETCH[np.minimum(p2, 4095)][:, :, None, None]
+        s1 = _STRETCH[np.minimum(p1, 4095)][:, None, :, None] * np.array([-1, 1])  # order 1 speaks against another candidate
+        w2, w1 = (self.weights[:, None, None, :, i] for i in (0, 1))
+        mixed = _SQUASH[np.clip(w2 * s2 + w1 * s1 >> 16, -2047, 2047) + 2048]
+        error = 4096 * right2 - trials * mixed
+        total = trials.sum(axis=(1, 2))[..., None] + 1
+        step = np.stack([(error * s2).sum(axis=(1, 2)), (error * s1).sum(axis=(1, 2))], axis=-1)
+        self.weights = np.clip(self.weights + (step // total >> 6), -65536, 131072)
+        hit2 = np.clip((4096 * right2 + 12 * mixed) // (trials + 12), 1, 4000)
+        left = 4096 - hit2
+        hit1 = np.minimum(left * (4096 * seen[..., 1] + 12 * p1[:, None, :, None]) // (4096 * (trials - right2 + 12)) + 1, left - 8)
+        hit1[..., 1] = 0
+        self.plan = np.empty((self.lanes, 4, 4, 2, 3), np.uint32)
+        self.plan[..., 0], self.plan[..., 1], self.plan[..., 2] = hit2, hit2 << 16 | hit1, (hit2 + hit1) << 16 | left - hit1
+        self.plan = self.plan.reshape(-1)
+        shares = self.shares + 16 * self.escaped.reshape(self.lanes, -1)
+        part = 1 + shares * ((1 << _SHARE) - self.classes) // shares.sum(axis=1)[:, None]
+        part[:, 0] += (1 << _SHARE) - part.sum(axis=1)
+        self.width = part.reshape(-1)
+        self.share = (np.cumsum(part, axis=1) - part << 16 | part).reshape(-1)
+        if self.lookup is not None:
+            self.make_lookup()
+
+    def make_lookup(self) -> None:
+        """Class at each of the 1 << _SHARE shares, for the decoder."""
+        self.lookup = np.repeat(np.tile(np.arange(self.classes, dtype=np.uint8), self.lanes), self.width)
 
     def predict(self, n: int) -> None:
-        """Candidates and frequencies (of 4096) of the first n lanes."""
+        """Candidates and cells of the first n lanes."""
         a, b = self.a[:n], self.b[:n]
-        self.i2 = (a * 40503 + b * 2654435 >> 7 & _S2 - 1) + self.base2[:n]
-        self.i1 = (b * 40503 >> 6 & _S1 - 1) + self.base1[:n]
+        self.i2 = self.base2[:n] + (a * np.uint16(40503) + b * np.uint16(30011) >> np.uint16(17 - _S2.bit_length()))
+        self.i1 = self.base1[:n] + (b & np.uint16(self.size1 - 1))
         self.e2, self.e1 = self.t2.take(self.i2), self.t1.take(self.i1)
-        self.p2, self.p1 = self.e2 & MAX_ID, self.e1 & MAX_ID
-        self.ka = self.lane4[:n] + (self.e2 >> 16)
-        self.kb = self.lane8[:n] + ((self.e1 >> 16) + ((self.p1 == self.p2) << 2))
-        self.at2, self.at1 = self.hit2.take(self.ka), self.hit1.take(self.kb)
-        self.s2, self.s1 = _STRETCH.take(self.at2 >> 4), _STRETCH.take(self.at1 >> 20)
-        dot = self.w2[:n] * self.s2 + self.w1[:n] * self.s1 >> 16
-        self.f2 = np.clip(_SQUASH.take(np.minimum(np.maximum(dot, -2047), 2047) + 2048), 1, 4093)
-        left = 4096 - self.f2
-        self.f1 = np.minimum((left * (self.at1 & 65535) >> 16) + 1, left - 1)
-        self.top = self.f2 + self.f1
-
-    def update(self, n: int, x: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        """x: the ids; is2, is1: 1 where the order-2 or else the order-1 candidate was right."""
-        error = (is2 << 12) - self.f2
-        self.w2[:n] += self.s2 * error >> 10
-        self.w1[:n] += self.s1 * error >> 10
-        self.hit2[self.ka] = self.at2 + ((is2 * 65520 - self.at2) >> 4)
-        mix, one = self.at1 >> 16, self.at1 & 65535
-        self.hit1[self.kb] = mix + ((is2 * 65520 - mix) >> 5) << 16 | one + ((1 - is2) * (is1 * 60000 - one + 512) >> 5)
-        for t, i, e, right in ((self.t2, self.i2, self.e2, is2), (self.t1, self.i1, self.e1, x == self.p1)):
-            t[i] = np.where(right, e + ((e < 0x30000) << 16), np.where(e > MAX_ID, e - 65536, x))
-        self.a, self.b = self.b, self.b.copy()
+        self.p2, self.p1 = self.e2.astype(np.uint16), self.e1.astype(np.uint16)
+        # 24 for each step of the first confidence, 6 of the second, 3 for agreement
+        self.k = self.cell[:n] + ((self.e2 >> 16) * 24 + (self.e1 >> 16) * 6 + (self.p1 == self.p2) * np.uint32(3))
+
+    def update(self, n: int, x: np.ndarray, k: np.ndarray, right2: np.ndarray) -> None:
+        """x: the ids; k: the cells with their outcome; right2: whether the order-2 candidate was right."""
+        self.seen[k] = self.seen.take(k) + 1
+        for t, i, e, right in ((self.t2, self.i2, self.e2, right2), (self.t1, self.i1, self.e1, x == self.p1)):
+            missed = np.where(e >= _ONE, e - np.uint32(_ONE), x)
+            t[i] = np.where(right, np.minimum(e + np.uint32(_ONE), e | np.uint32(_FULL)), missed)
+        self.a[:n] = self.b[:n]
         self.b[:n] = x
 
 
-def encode_blocks(ids: np.ndarray, size: int) -> list[bytes]:
-    """Coded bytes of each block of `size` ids, the last one shorter."""
-    blocks = -(-len(ids) // size)
-    grid = np.zeros((blocks, size), np.int64)
+def _packed(words: np.ndarray) -> bytes:
+    """Two words of 20 bits as five bytes."""
+    pairs = np.append(words, words[:0] if len(words) % 2 == 0 else [0]).reshape(-1, 2)
+    return (pairs[:, 0] << _WORD | pairs[:, 1]).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+
+
+def _unpacked(parts: list[bytes]) -> np.ndarray:
+    """The words of _packed() of all parts, which end with a full pair."""
+    five = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 5)
+    pairs = np.pad(five, ((0, 0), (3, 0))).view(">u8").ravel().astype(np.int64)
+    return np.stack([pairs >> _WORD, pairs & (1 << _WORD) - 1], axis=1).ravel()
+
+
+def encode_blocks(ids: np.ndarray, alphabet: int, prior: np.ndarray) -> list[bytes]:
+    """Coded bytes of each block of BLOCK ids below `alphabet`, the last one shorter. prior: weights of the classes."""
+    blocks = -(-len(ids) // BLOCK)
+    grid = np.zeros((blocks, BLOCK), np.uint16)
     grid.reshape(-1)[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.T)
-    short = len(ids) - (blocks - 1) * size
-    model = _Model(blocks)
-    low, span = np.zeros(blocks, _U), np.full(blocks, np.iinfo(_U).max, _U)
-    out, filled = np.zeros((blocks, size * 5 // 2 + 32), np.uint16), np.zeros(blocks, np.int64)
-    for t in range(size):
-        n = blocks if t < short else blocks - 1
-        if not n:
-            break
-        x = grid[t, :n]
+    short = len(ids) - (blocks - 1) * BLOCK
+    model = _Model(blocks, alphabet, prior)
+    low, span = np.zeros(blocks, np.int64), np.full(blocks, _TOP - 1)
+    # the words of a lane are a column, so that lanes, which are about as far, write near each other
+    out, at = np.zeros((2 * BLOCK + 8) * blocks, np.int32), np.arange(blocks)
+
+    def shift(n: int, narrow: np.ndarray) -> None:
+        """Write the top bits of the first n lanes; only where the interval is narrow they leave it. A carry goes back to what is
+        written."""
+        word = low[:n] >> 40
+        out[at[:n]] = word
+        if len(carried := np.flatnonzero((word >> _WORD) & narrow)):
+            for i in at[carried]:
+                out[i] &= (1 << _WORD) - 1
+                i -= blocks
+                while out[i] == (1 << _WORD) - 1:
+                    out[i] = 0
+                    i -= blocks
+                out[i] += 1
+        at[:n] += narrow * blocks
+        by = narrow * np.int64(_WORD)
+        low[:n] = (low[:n] - (word << 40) * narrow) << by
+        span[:n] <<= by
+
+    for step in range(min(BLOCK, len(ids))):
+        n = blocks if step < short else blocks - 1
+        if _due(step):
+            model.renew()
+        x = grid[step, :n]
         model.predict(n)
-        hit2 = x == model.p2
-        hit1 = (x == model.p1) & ~hit2
-        lane = np.flatnonzero(~(hit2 | hit1))
-        start = np.where(hit1, model.f2 << 24, 0)
-        width = np.where(hit2, model.f2, model.f1) << 24
-        if len(lane):
-            y = x[lane]
-            slot = y & 255
-            k = model.base0[lane] + slot
-            same = model.t0.take(k) == y
-            h = model.hit0[lane]
-            f0 = (h >> 8) + 1
-            top = model.top[lane]
-            w = 4096 - top
-            start[lane] = (top << 24) + (slot * w << 16) + np.where(same, 0, (w * f0 << 8) + (y >> 8) * (w * (256 - f0)))
-            width[lane] = np.where(same, w * f0 << 8, w * (256 - f0))
-            model.hit0[lane] = h + ((same * 64000 - h) >> 5)
-            model.t0[k] = y
-        part = span[:n] >> _U(_BITS)
-        lo, sp = low[:n] + part * start.view(_U), part * width.view(_U)
-        go = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
-        while len(go):
-            l, s = lo[go], sp[go]
-            s = np.where((l ^ (l + s)) >= _TOP, (~l + _U(1)) & _LOW_MASK, s)
-            f = filled[go]
-            out[go, f] = l >> _U(48)
-            filled[go] = f + 1
-            l, s = l << _U(16), s << _U(16)
-            lo[go], sp[go] = l, s
-            go = go[((l ^ (l + s)) < _TOP) | (s < _BOTTOM)]
-        low[:n], span[:n] = lo, sp
-        model.update(n, x, hit2.astype(np.int64), hit1.astype(np.int64))
-    lanes = np.arange(blocks)
-    for _ in range(4):
-        out[lanes, filled] = low >> _U(48)
-        filled += 1
-        low <<= _U(16)
-    return [out[i, : filled[i]].astype("<u2").tobytes() for i in range(blocks)]
-
-
-def decode_blocks(parts: list[bytes], total: int, size: int) -> np.ndarray:
-    """The ids of encode_blocks()."""
+        right2 = x == model.p2
+        outcome = (2 - (x == model.p1).view(np.uint8)) * ~right2
+        k = model.k + outcome
+        plan = model.plan.take(k)
+        part = span[:n] >> 12
+        more = part * (plan >> 16)
+        inside = part * (plan & 0xFFFF)
+        # the escape's interval is cut for all lanes and taken by those that escape
+        escape = outcome == 2
+        c = _CLASS.take(x)
+        j = model.base0[:n] + c
+        share = model.share.take(j)
+        part = inside >> _SHARE
+        begin = part * (share >> 16)
+        part *= share & 0xFFFF
+        part >>= _BITS.take(c)
+        begin += part * (x - _FIRST.take(c))
+        low[:n] += more + begin * escape
+        span[:n] = np.where(escape, part, inside)
+        model.escaped[j] = model.escaped.take(j) + escape
+        shift(n, span[:n] < _LOW)
+        while (narrow := span[:n] < _LOW).any():
+            shift(n, narrow)
+        model.update(n, x, k, right2)
+    for _ in range(3):
+        shift(blocks, np.ones(blocks, bool))
+    rows = out.reshape(-1, blocks)
+    return [_packed(rows[: end // blocks, i].astype(np.int64)) for i, end in enumerate(at.tolist())]
+
+
+def decode_blocks(parts: list[bytes], sizes: list[int], alphabet: int, prior: np.ndarray) -> list[np.ndarray]:
+    """The ids of blocks, whose sizes must not grow."""
     blocks = len(parts)
-    short = total - (blocks - 1) * size
-    words = np.array([len(p) // 2 for p in parts])
-    data = np.frombuffer(b"".join([*parts, bytes(64)]), "<u2").astype(_U)
-    at = np.concatenate([[0], np.cumsum(words)])[:-1].astype(np.int64)
-    code = np.zeros(blocks, _U)
-    for _ in range(4):
-        code = code << _U(16) | data[at]
+    data = _unpacked([*parts, bytes(20)]).astype(np.int32)
+    at = np.concatenate([[0], np.cumsum([len(p) // 5 * 2 for p in parts])])[:-1].astype(np.int64)
+    code = np.zeros(blocks, np.int64)  # the code less the interval's begin
+    for _ in range(3):
+        code = code << _WORD | data.take(at, mode="clip")
         at += 1
-    model = _Model(blocks)
-    low, span = np.zeros(blocks, _U), np.full(blocks, np.iinfo(_U).max, _U)
-    grid = np.zeros((size, blocks), np.int64)
-    for t in range(size):
-        n = blocks if t < short else blocks - 1
-        if not n:
-            break
+    model = _Model(blocks, alphabet, prior)
+    model.make_lookup()
+    span = np.full(blocks, _TOP - 1)
+    grid = np.zeros((sizes[0], blocks), np.uint16)
+    lengths, base = np.array(sizes), np.arange(blocks) << _SHARE
+
+    def shift(n: int, narrow: np.ndarray) -> None:
+        by = narrow * np.int64(_WORD)
+        code[:n] = code[:n] << by | data.take(at[:n], mode="clip") * narrow
+        at[:n] += narrow
+        span[:n] <<= by
+
+    for step in range(sizes[0]):
+        n = blocks if step < sizes[-1] else int(np.searchsorted(-lengths, -step, side="left"))
+        if _due(step):
+            model.renew()
         model.predict(n)
-        part = span[:n] >> _U(_BITS)
-        v = np.minimum((code[:n] - low[:n]) // part, _U((1 << _BITS) - 1)).view(np.int64)
-        top = v >> 24
-        hit2, escape = top < model.f2, top >= model.top
-        hit1 = ~(hit2 | escape)
-        x = np.where(hit2, model.p2, model.p1).astype(np.int64)
-        start = np.where(hit2, 0, model.f2 << 24)
-        width = np.where(hit2, model.f2, model.f1) << 24
-        lane = np.flatnonzero(escape)
-        if len(lane):
-            top = model.top[lane]
-            w = 4096 - top
-            u = v[lane] - (top << 24)
-            slot = u // (w << 16)
-            u -= slot * w << 16
-            k = model.base0[lane] + slot
-            h = model.hit0[lane]
-            f0 = (h >> 8) + 1
-            again = w * f0 << 8
-            same = u < again
-            each = w * (256 - f0)
-            high = np.where(same, 0, (u - again) // each)
-            y = np.where(same, model.t0.take(k), high << 8 | slot)
-            start[lane] = (top << 24) + (slot * w << 16) + np.where(same, 0, again + high * each)
-            width[lane] = np.where(same, again, each)
-            model.hit0[lane] = h + ((same * 64000 - h) >> 5)
-            model.t0[k] = y
-            x[lane] = y
-        lo, sp = low[:n] + part * start.view(_U), part * width.view(_U)
-        go = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
-        while len(go):
-            l, s = lo[go], sp[go]
-            s = np.where((l ^ (l + s)) >= _TOP, (~l + _U(1)) & _LOW_MASK, s)
-            a = at[go]
-            code[go] = code[go] << _U(16) | data.take(a, mode="clip")
-            at[go] = a + 1
-            l, s = l << _U(16), s << _U(16)
-            lo[go], sp[go] = l, s
-            go = go[((l ^ (l + s)) < _TOP) | (s < _BOTTOM)]
-        low[:n], span[:n] = lo, sp
-        grid[t, :n] = x
-        model.update(n, x, hit2.astype(np.int64), hit1.astype(np.int64))
-    return grid.T.reshape(-1)[:total]
+        plan = model.plan.take(model.k + 1)  # start and width of an order-1 hit
+        part = span[:n] >> 12
+        begin = part * (plan >> 16)
+        middle = part * (plan & 0xFFFF)
+        end = begin + middle
+        right2, escape = code[:n] < begin, code[:n] >= end
+        outcome = (1 + escape.view(np.uint8)) * ~right2
+        own = code[:n] - np.where(escape, end, begin * ~right2)
+        inside = np.where(escape, (part << 12) - end, np.where(right2, begin, middle))
+        # every lane is read as an escape; those that do escape keep what comes of it
+        part = inside >> _SHARE
+        share = np.minimum(own.view(np.uint64) // part.view(np.uint64), np.uint64((1 << _SHARE) - 1)).view(np.int64)
+        c = model.lookup.take(base[:n] + share)
+        j = model.base0[:n] + c
+        of = model.share.take(j)
+        rest = own - part * (of >> 16)
+        part *= of & 0xFFFF
+        part >>= _BITS.take(c)
+        place = rest.view(np.uint64) // part.view(np.uint64)
+        code[:n] = np.where(escape, rest - part * place.view(np.int64), own)
+        span[:n] = np.where(escape, part, inside)
+        x = np.where(escape, place.astype(np.uint16) + _FIRST.take(c), np.where(right2, model.p2, model.p1))
+        model.escaped[j] = model.escaped.take(j) + escape
+        shift(n, span[:n] < _LOW)
+        while (narrow := span[:n] < _LOW).any():
+            shift(n, narrow)
+        grid[step, :n] = x
+        model.update(n, x, model.k + outcome, right2)
+    return [grid[:size, i] for i, size in enumerate(sizes)]
 
 
 def pack_section(ids: np.ndarray) -> bytes:
-    """A section: head, then for each block its length in bytes, the CRC-32 of its ids and its coded bytes."""
+    """A section: head (number of ids and of blocks, the ids in order of their frequency, weights of its classes), then for each
+    block its length in bytes, the CRC-32 of its ids and its coded bytes."""
     if len(ids) and int(ids.max()) > MAX_ID:
         raise ValueError(f"ids above {MAX_ID} do not fit this format")
-    size = max(LEAST, min(MOST, -(-len(ids) // 4096)))
-    parts = encode_blocks(ids, size) if len(ids) else []
+    often = np.bincount(ids, minlength=1)
+    order = np.argsort(-often, kind="stable")[: int((often > 0).sum())]
+    place = np.zeros(len(often), np.uint32)
+    place[order] = np.arange(len(order))
+    weights = np.bincount(_CLASS[: len(order)], often[order]) if len(order) else np.ones(1)
+    prior = np.maximum(1, np.round(256 * weights / weights.sum())).astype("<u2")
+    parts = encode_blocks(place[ids], len(order), prior) if len(ids) else []
     plain = ids.astype("<u4")
-    marks = [struct.pack("<II", len(p), zlib.crc32(plain[i * size : (i + 1) * size].tobytes())) for i, p in enumerate(parts)]
-    return b"".join([MAGIC, struct.pack("<QII", len(ids), size, len(parts)), *marks, *parts])
+    marks = [struct.pack("<II", len(p), zlib.crc32(plain[i * BLOCK : (i + 1) * BLOCK])) for i, p in enumerate(parts)]
+    names = zlib.compress(order.astype("<u2").tobytes())
+    return b"".join([MAGIC, struct.pack("<QIIII", len(ids), len(parts), len(order), len(names), len(prior)), names, prior.tobytes(), *marks, *parts])
 
 
-def unpack_section(content: bytes) -> np.ndarray:
-    """Ids of a section; a block whose checksum does not fit stops the read."""
+def unpack_section(content: bytes, only: range | None = None) -> np.ndarray:
+    """Ids of a section, or of some of its blocks, in order; a block whose checksum does not fit stops the read."""
     if content[: len(MAGIC)] != MAGIC:
         raise ValueError("no token section")
-    total, size, blocks = struct.unpack_from("<QII", content, len(MAGIC))
-    at = len(MAGIC) + 16
-    marks = [struct.unpack_from("<II", content, at + 8 * i) for i in range(blocks)]
-    at += 8 * blocks
-    parts = []
-    for n, _ in marks:
-        parts.append(content[at : at + n])
-        at += n
-    if not blocks:
+    total, blocks, alphabet, size, classes = struct.unpack_from("<QIIII", content, len(MAGIC))
+    at = len(MAGIC) + 24
+    order = np.frombuffer(zlib.decompress(content[at : at + size]), "<u2")
+    prior = np.frombuffer(content, "<u2", classes, at + size)
+    at += size + 2 * classes
+    marks = np.frombuffer(content, "<u4", 2 * blocks, at).reshape(-1, 2)
+    begins = at + 8 * blocks + np.concatenate([[0], np.cumsum(marks[:, 0], dtype=np.int64)])
+    wanted = range(blocks)[only.start : only.stop] if only else range(blocks)
+    if not wanted:
         return np.empty(0, "<u4")
-    ids = decode_blocks(parts, total, size).astype("<u4")
-    for i, (_, crc) in enumerate(marks):
-        if zlib.crc32(ids[i * size : (i + 1) * size].tobytes()) != crc:
+    found = decode_blocks([content[begins[i] : begins[i + 1]] for i in wanted], [min(BLOCK, total - i * BLOCK) for i in wanted], alphabet, prior)
+    out = []
+    for i, places in zip(wanted, found):
+        ids = order.take(places, mode="clip").astype("<u4")
+        if zlib.crc32(ids) != marks[i, 1]:
             raise ValueError(f"damaged block {i}")
-    return ids
+        out.append(ids)
+    return np.concatenate(out)
 
 
 class LibraryEncoder:
@@ -253,6 +336,7 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         size = self.library.get_vocab_size(with_added_tokens=True)
         if size > MAX_ID + 1:
             raise ValueError(f"ids above {MAX_ID} do not fit this format")
@@ -289,18 +373,50 @@ class LibraryEncoder:
             raw, cuts = ids.tobytes(), [*(2 * starts).tolist(), 2 * len(ids)]
             out.update((p, raw[a + 2 * skip : b]) for p, a, b in zip(parts, cuts, cuts[1:]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian two-byte ids of each text."""
-        cut = [t.split(" ") if not _DOUBLE_SPACE.search(t) else _SAFE_SPACE.split(t) for t in texts]
-        heads, rest = self._heads([c[0] for c in cut]), [c[1:] for c in cut]
-        known = [list(map(self.memo.get, parts)) for parts in rest]
-        if fresh := list({p for parts, ids in zip(rest, known) for p, i in zip(parts, ids) if i is None}):
-            if len(self.memo) + len(fresh) > MEMO:
-                self.memo.clear()
-            new = dict(zip(fresh, self._ask(fresh)))
+    def _remembered(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts with a space before them."""
+        known = list(map(self.memo.get, parts))
+        if missing := [p for p, i in zip(parts, known) if i is None]:
+            new = {p: i for p in missing if (i := self.old.get(p)) is not None}
+            fresh = [p for p in missing if p not in new] if new else missing
+            new.update(zip(fresh, self._ask(fresh)))
+            if len(self.memo) + len(new) > MEMO:
+                self.old, self.memo = self.memo, {}
             self.memo.update(new)
-            known = [[new[p] if i is None else i for p, i in zip(parts, ids)] if None in ids else ids for parts, ids in zip(rest, known)]
-        return [head + b"".join(ids) for head, ids in zip(heads, known)]
+            known = [new[p] if i is None else i for p, i in zip(parts, known)]
+        return known
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind another, and the number of each text's; there are no nulls. Arrow cuts the texts and
+        finds their distinct parts."""
+        cut = pc.split_pattern(texts, " ")
+        wide = np.flatnonzero(pc.match_substring_regex(texts, _WIDE).to_numpy(zero_copy_only=False))
+        if len(wide):  # these are cut where the space stands alone
+            own = {int(i): _SAFE_SPACE.split(texts[int(i)].as_py()) for i in wide}
+            counts = pc.list_value_length(cut).to_numpy().astype(np.int64)
+            bounds = np.concatenate([[0], np.cumsum(counts)])
+            pieces, before = [], 0
+            for i, parts in own.items():
+                pieces += [cut.values.slice(bounds[before], bounds[i] - bounds[before]), pa.array(parts, cut.values.type)]
+                counts[i], before = len(parts), i + 1
+            words = pa.concat_arrays([*pieces, cut.values.slice(bounds[before])])
+        else:
+            counts, words = pc.list_value_length(cut).to_numpy().astype(np.int64), cut.values
+        coded = words.dictionary_encode()
+        distinct = self._remembered(coded.dictionary.to_pylist())
+        # the first part of a text has no space before it
+        first = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        heads = self._heads(words.take(pa.array(first)).to_pylist())
+        which = coded.indices.to_numpy().astype(np.int64)
+        which[first] = len(distinct) + np.arange(len(heads))
+        distinct += heads
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 2
+        flat, start = np.frombuffer(b"".join(distinct), "<u2"), np.cumsum(sizes) - sizes
+        each = sizes[which]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(start[which] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        lengths = np.add.reduceat(each, first) if len(first) else each
+        return ids, lengths
 
 
 def _encoder_of(content: bytes) -> LibraryEncoder:
@@ -308,7 +424,17 @@ def _encoder_of(content: bytes) -> LibraryEncoder:
     return kept_by_worker(("library", hash(content)), lambda: LibraryEncoder(content))
 
 
-_SECTION_SCHEMA = "part int, before long, ids array<{kind}>, lengths array<int>, payload binary"
+_SECTION_SCHEMA = "part int, before long, ids array<{kind}>, lengths array<long>, payload binary"
+
+
+def _portions(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about `size` bytes of text, of at least one row each."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID) -> None:
@@ -330,31 +456,29 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         library, part = _encoder_of(content.value), TaskContext.get().partitionId()
-        end = struct.pack("<H", end_id)
-        keys: list = []
-        coded: list[bytes] = []
-        size = before = 0
+        keys: list[pa.Array] = []
+        coded: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        before = 0
 
         def section() -> pa.RecordBatch:
-            nonlocal size, before
-            ids = np.frombuffer(b"".join(coded), "<u2")
-            lengths = [len(c) // 2 for c in coded]
-            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([keys], pa.list_(key_type)), pa.array([lengths], pa.list_(pa.int32())), pa.array([pack_section(ids)], pa.binary())], names=["part", "before", "ids", "lengths", "payload"])
+            nonlocal before
+            ids, own, each = np.concatenate(coded), pa.concat_arrays(keys), np.concatenate(lengths)
+            lists = (pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), v) for v in (own, pa.array(each, pa.int64())))
+            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), *lists, pa.array([pack_section(ids)], pa.binary())], names=["part", "before", "ids", "lengths", "payload"])
             before += len(ids)
-            keys.clear()
-            coded.clear()
-            size = 0
+            for held in (keys, coded, lengths):
+                held.clear()
             return row
 
         for batch in batches:
-            key_type = batch.column(0).type
-            for at in range(0, batch.num_rows, 512):
-                few = batch.slice(at, 512)
-                keys += few.column(0).to_pylist()
-                fresh = [c + end for c in library.encode(few.column(1).to_pylist())]
-                coded += fresh
-                size += sum(map(len, fresh)) // 2
-                if size >= SECTION:
+            for few in _portions(batch):
+                ids, each = library.encode(few.column(1))
+                # the end id behind each text
+                coded.append(np.insert(ids, np.cumsum(each), end_id))
+                lengths.append(each + 1)
+                keys.append(few.column(0))
+                if sum(map(len, coded)) >= SECTION:
                     yield section()
         if coded:
             yield section()
@@ -363,7 +487,11 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
-    """A row per document: id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, tokens."""
+    """A row per document: id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, tokens.
+
+    The cases of write_tokens() hold: null texts have the end id alone, null and repeated ids have a row each, a file
+    without documents gives no rows. A damaged block stops the read.
+    """
     sections = spark.read.parquet(path)
     kind = sections.schema["ids"].dataType.elementType.simpleString()
 
@@ -388,6 +516,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
 
 
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, read back from the file; the cases of write_tokens() hold."""
     path = staging_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path)
     return read_tokens(spark, path, with_ids=False).withColumnRenamed("id", "doc_id")
