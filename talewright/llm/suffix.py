@@ -2,25 +2,24 @@
 
 A string of WINDOW bytes is judged where its anchor is: the leftmost least K-gram hash inside it, which equal strings
 share. The strings of one anchor make one short segment of text. Segments whose anchor hash occurs once in the corpus
-hold no repeat. Equal segments are collapsed and counted; different segments of one anchor hash meet in a shard, whose
-suffix array (Larsson-Sadakane refinement) and common prefixes (Kasai) show which of their strings repeat. An anchor
-hash with more segments than a shard takes is dealt over several, whose sorted window keys are merged by binary search.
+hold no repeat. Equal segments, by a 128-bit BLAKE2 digest of their bytes, are one class with a count; a class that
+counts two or more repeats as it stands. Different segments of one anchor hash meet in a shard, whose suffix array
+(Larsson-Sadakane refinement) and common prefixes (Kasai) show which of their strings repeat. An anchor hash with more
+segments than a shard takes is dealt over several, whose sorted suffixes are merged by binary search.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, staged, table, text_or_empty
+from .common import Workspace, shuffle_partitions, table, text_or_empty
 
 #: Bytes of a string that counts as repeated, and bytes of an anchor.
 WINDOW, K = 200, 32
@@ -31,6 +30,8 @@ AT_ONCE = 1 << 20
 _POSITION_BITS = 24
 _PIECE = (1 << _POSITION_BITS) - 2 * WINDOW
 _U = np.uint64
+#: What tells a class of equal segments: anchor hash and both halves of the digest.
+_CLASS = ["fp", "sh", "sk"]
 _RANDOM = np.random.default_rng(77)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
 _POWER = _U(0x9E3779B97F4A7C15)
@@ -220,12 +221,6 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
-def _window_keys(text: bytes, places: np.ndarray, window: int) -> np.ndarray:
-    """128-bit digests of strings, as pairs of numbers."""
-    raw = b"".join(hashlib.blake2b(text[p : p + window], digest_size=16).digest() for p in places.tolist())
-    return np.frombuffer(raw, np.int64).reshape(-1, 2)
-
-
 # ---------------------------------------------------------------- the corpus
 
 
@@ -249,9 +244,9 @@ def _described(window: int):
             texts, heavy = [t.encode() for t in batch.column(0).to_pylist()], batch.column(1).to_numpy(zero_copy_only=False)
             t0, t1 = batch.column(2).to_numpy(), batch.column(3).to_numpy() & 0xFFFF
             for owner, fp, begin, count in many_segments(texts, window):
-                digest = xxhash.xxh3_64_intdigest
-                sh = np.fromiter((digest(texts[o][b : b + c + window - 1]) for o, b, c in zip(owner.tolist(), begin.tolist(), count.tolist())), np.uint64, len(owner)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(fp), pa.array(sh), pa.array(t0[owner]), pa.array(_pack(begin, heavy[owner] - 1, count, t1[owner]))], names=["fp", "sh", "t0", "at"])
+                raw = b"".join(hashlib.blake2b(texts[o][b : b + c + window - 1], digest_size=16).digest() for o, b, c in zip(owner.tolist(), begin.tolist(), count.tolist()))
+                halves = np.frombuffer(raw, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(fp), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(t0[owner]), pa.array(_pack(begin, heavy[owner] - 1, count, t1[owner]))], names=[*_CLASS, "t0", "at"])
 
     return run
 
@@ -267,56 +262,61 @@ def _fetch(window: int):
                 for a in asked:
                     if a["at"] & 0xFFFF == t1 & 0xFFFF:
                         begin, count = a["at"] >> 25, a["at"] >> 16 & 0xFF
-                        rows.append((a["fp"], a["sh"], a["shard"], a["sub"], count, raw[begin : begin + count + window - 1]))
-            columns = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["fp", "sh", "shard", "sub", "n", "seg"])
+                        rows.append((a["fp"], a["sh"], a["sk"], a["shard"], a["sub"], count, raw[begin : begin + count + window - 1]))
+            columns = list(zip(*rows)) or [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=[*_CLASS, "shard", "sub", "n", "seg"])
 
     return run
 
 
-_FOUND = "kind int, fp long, sh long, sub int, a long, b long, place int, stop int"
+_FOUND = "kind int, fp long, sh long, sk long, sub int, key binary, place int, stop int"
 
 
 def _search_shard(window: int):
     """Per shard: kind 0 rows are runs (place to stop) of strings that repeat in it; kind 1 rows are, for anchor hashes
-    that are dealt over several shards, the keys (a, b) of its distinct strings."""
+    that are dealt over several shards, its distinct strings (key) in the order of the suffix array."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         texts, counts = group["seg"].to_list(), group["n"].to_numpy(np.int64)
         starts, hit, order, common = repeated_in_shard(texts, counts, window)
-        fps, shs, subs = (group[c].to_numpy() for c in ("fp", "sh", "sub"))
-        rows = [(0, f, s, u, 0, 0, x, y) for f, s, u, at, n in zip(fps, shs, subs, starts, counts) for x, y in _runs(hit[at : at + n])]
-        dealt = np.flatnonzero(subs >= 0)
-        if len(dealt):
-            lead = np.zeros(len(hit), bool)  # the first of each run of equal strings
-            lead[order[common[order] < window]] = True
-            for i in dealt:
-                places = np.flatnonzero(lead[starts[i] : starts[i] + counts[i]])
-                for (a, b), p in zip(_window_keys(texts[i], places, window).tolist(), places.tolist()):
-                    rows.append((1, fps[i], shs[i], subs[i], a, b, p, p))
-        return pd.DataFrame(rows, columns=["kind", "fp", "sh", "sub", "a", "b", "place", "stop"])
+        classes, subs = list(zip(*(group[c].to_list() for c in _CLASS))), group["sub"].to_numpy()
+        rows = [(0, *c, u, None, x, y) for c, u, at, n in zip(classes, subs, starts, counts) for x, y in _runs(hit[at : at + n])]
+        if (subs >= 0).any():
+            owner = np.full(len(hit), -1)  # the segment whose string starts at a place, if its anchor hash is dealt
+            for i in np.flatnonzero(subs >= 0):
+                owner[starts[i] : starts[i] + counts[i]] = i
+            lead = order[(common[order] < window) & (owner[order] >= 0)]  # the first of each run of equal strings
+            for at, i in zip(lead.tolist(), owner[lead].tolist()):
+                p = at - int(starts[i])
+                rows.append((1, *classes[i], subs[i], texts[i][p : p + window], p, p))
+        return pd.DataFrame(rows, columns=["kind", *_CLASS, "sub", "key", "place", "stop"])
 
     return run
 
 
-def _merge_shards(group: pd.DataFrame) -> pd.DataFrame:
-    """Keys that are in more than one shard: each shard's keys are a sorted run, looked up in the others by bisection."""
-    keys = np.ascontiguousarray(group[["a", "b"]].to_numpy(np.int64)).view([("a", np.int64), ("b", np.int64)]).ravel()
-    sub, hit = group["sub"].to_numpy(), np.zeros(len(keys), bool)
-    runs = {s: (own := np.flatnonzero(sub == s))[np.argsort(keys[own], order=("a", "b"), kind="stable")] for s in np.unique(sub)}
-    merged: np.ndarray = np.empty(0, keys.dtype)
-    owner: np.ndarray = np.empty(0, np.int64)
-    for own in runs.values():
-        mine = keys[own]
-        at = np.searchsorted(merged, mine)
-        same = np.zeros(len(mine), bool)
-        inside = at < len(merged)
-        same[inside] = merged[at[inside]] == mine[inside]
-        hit[own[same]] = True
-        hit[owner[at[same]]] = True
-        merged, owner = np.insert(merged, at[~same], mine[~same]), np.insert(owner, at[~same], own[~same])
-    out = group[hit]
-    return out[["fp", "sh", "place", "stop"]].drop_duplicates()
+def _merge_shards(window: int):
+    """Strings that are in more than one shard of an anchor hash: each shard's suffixes are a sorted run, which is looked up in
+    those merged so far by binary search."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        # all keys have `window` bytes, so that comparing them as fixed strings is exact
+        keys, sub = np.array(group["key"].to_list(), f"S{window}"), group["sub"].to_numpy()
+        hit = np.zeros(len(keys), bool)
+        merged, owner = keys[:0], np.empty(0, np.int64)
+        for s in np.unique(sub):
+            own = np.flatnonzero(sub == s)
+            own = own[np.argsort(keys[own], kind="stable")]
+            mine = keys[own]
+            at = np.searchsorted(merged, mine)
+            same = np.zeros(len(mine), bool)
+            inside = at < len(merged)
+            same[inside] = merged[at[inside]] == mine[inside]
+            hit[own[same]] = True
+            hit[owner[at[same]]] = True
+            merged, owner = np.insert(merged, at[~same], mine[~same]), np.insert(owner, at[~same], own[~same])
+        return group.loc[hit, [*_CLASS, "place", "stop"]].drop_duplicates()
+
+    return run
 
 
 def _apply(window: int):
@@ -354,56 +354,57 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A byte is removed if a string of `window` bytes that covers it starts at another place too, in the same text or any
     other. Null texts count as empty; texts under `window` bytes keep everything. Repeated rows count as copies, so
     that each is removed whole, whatever their ids, which may be null. Other columns, whatever their names, are not
-    read. window may be 2 * K to 255 + K, for a segment has at most 255 strings.
+    read; an empty table gives no rows; very long texts are hashed in overlapping pieces. The result is a staged table;
+    what else is written goes with the call. window may be 2 * K to 255 + K, for a segment has at most 255 strings.
     """
     if not 2 * K <= window <= 255 + K - 1:
         raise ValueError("window out of reach")
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(docs.sparkSession)
+    work = Workspace(docs.sparkSession, "texts")
     digest = F.sha2("text", 256)
     half = lambda i: F.conv(F.substring(digest, 1 + 16 * i, 15), 16, 10).cast("long")
     base = docs.select(F.col(id_col).alias("id"), text_or_empty(docs[text_col]).alias("text"))
     keyed = base.select("id", "text", half(0).alias("t0"), half(1).alias("t1"), F.octet_length("text").cast("long").alias("n"))
     copies = keyed.where(F.col("n") >= window).groupBy("t0", "t1").agg(F.count(F.lit(1)).alias("m"), F.first("text").alias("text"))
-    store = f"talewright_texts_{uuid.uuid4().hex}"
     # equal texts once, in buckets of their digest: later joins with them move no text
-    copies.select("t0", "t1", F.least("m", F.lit(2)).alias("heavy"), "text").repartition(parts, "t0").write.bucketBy(parts, "t0").option("compression", "zstd").saveAsTable(store)
-    texts = spark.table(store)
+    texts = work.saved(copies.select("t0", "t1", F.least("m", F.lit(2)).alias("heavy"), "text"), "t0", parts)
     columns = texts.select("text", "heavy", "t0", "t1")
     # counts are written before they are joined, so that the join sees plain exchanges, of which AQE splits hot ones
-    often = staged(columns.select("text", "heavy").mapInArrow(_weights(window), "fp long, w long").groupBy("fp").agg(F.sum("w").alias("c")).where("c > 1").select("fp"), "often")
-    described = columns.mapInArrow(_described(window), "fp long, sh long, t0 long, at long")
-    places = staged(described.join(often, "fp", "left_semi"), "places")
-    alike = staged(places.groupBy("fp", "sh").agg(F.sum(F.lit(1) + F.shiftright("at", 24).bitwiseAND(1)).alias("c"), F.min(F.struct("t0", "at")).alias("rep")), "alike")
-    variants = staged(alike.groupBy("fp").agg(F.count(F.lit(1)).alias("v")).where("v > 1"), "variants")
+    often = work.staged(columns.select("text", "heavy").mapInArrow(_weights(window), "fp long, w long").groupBy("fp").agg(F.sum("w").alias("c")).where("c > 1").select("fp"), "often")
+    described = columns.mapInArrow(_described(window), "fp long, sh long, sk long, t0 long, at long")
+    places = work.staged(described.join(often, "fp", "left_semi"), "places")
+    alike = work.staged(places.groupBy(*_CLASS).agg(F.sum(F.lit(1) + F.shiftright("at", 24).bitwiseAND(1)).alias("c"), F.min(F.struct("t0", "at")).alias("rep")), "alike")
+    variants = work.staged(alike.groupBy("fp").agg(F.count(F.lit(1)).alias("v")).where("v > 1"), "variants")
     total = variants.agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
     shards = max(1, -(-total // (SHARD // 2)))
     sub = F.when(F.col("v") > SHARD, F.pmod(F.xxhash64("sh"), F.ceil(F.col("v") / SHARD)).cast("int")).otherwise(-1)
     asked = alike.join(variants, "fp").withColumn("sub", sub).withColumn("shard", F.when(F.col("sub") < 0, F.pmod(F.xxhash64("fp"), F.lit(shards))).otherwise(-1 - F.pmod(F.xxhash64("fp", "sub"), F.lit(1 << 40))))
-    by_text = asked.groupBy(F.col("rep.t0").alias("t0")).agg(F.collect_list(F.struct("fp", "sh", "shard", "sub", F.col("rep.at").alias("at"))).alias("asked"))
-    fetched = texts.join(by_text, "t0").select("text", "t1", "asked").mapInArrow(_fetch(window), "fp long, sh long, shard long, sub int, n int, seg binary")
-    found = staged(fetched.groupBy("shard").applyInPandas(_search_shard(window), _FOUND), "found")
+    by_text = asked.groupBy(F.col("rep.t0").alias("t0")).agg(F.collect_list(F.struct(*_CLASS, "shard", "sub", F.col("rep.at").alias("at"))).alias("asked"))
+    fetched = texts.join(by_text, "t0").select("text", "t1", "asked").mapInArrow(_fetch(window), "fp long, sh long, sk long, shard long, sub int, n int, seg binary")
+    found = work.staged(fetched.groupBy("shard").applyInPandas(_search_shard(window), _FOUND), "found")
     keys = found.where("kind = 1")
     merges = max(1, -(-keys.count() // MERGE))
-    merged = keys.withColumn("part", F.pmod(F.col("a"), F.lit(merges))).groupBy("part").applyInPandas(_merge_shards, "fp long, sh long, place int, stop int")
-    whole = alike.where("c > 1").select("fp", "sh", F.lit(0).alias("place"), (F.shiftright("rep.at", 16).bitwiseAND(0xFF) - 1).cast("int").alias("stop"))
-    runs = found.where("kind = 0").select("fp", "sh", "place", "stop").unionByName(merged).unionByName(whole)
+    merged = keys.withColumn("part", F.pmod(F.xxhash64("fp", "key"), F.lit(merges))).groupBy("fp", "part").applyInPandas(_merge_shards(window), "fp long, sh long, sk long, place int, stop int")
+    whole = alike.where("c > 1").select(*_CLASS, F.lit(0).alias("place"), (F.shiftright("rep.at", 16).bitwiseAND(0xFF) - 1).cast("int").alias("stop"))
+    runs = found.where("kind = 0").select(*_CLASS, "place", "stop").unionByName(merged).unionByName(whole)
     begin = F.shiftright("at", 25)
-    hits = places.where(F.shiftright("at", 24).bitwiseAND(1) == 0).join(runs, ["fp", "sh"])
+    hits = places.where(F.shiftright("at", 24).bitwiseAND(1) == 0).join(runs, _CLASS)
     per_text = hits.groupBy("t0").agg(F.collect_list(F.struct((begin + F.col("place")).alias("begin"), (begin + F.col("stop")).alias("last"), F.col("at").bitwiseAND(0xFFFF).alias("tag"))).alias("runs"))
     removed = texts.where("heavy = 1").join(per_text, "t0").select("text", "t0", "t1", "runs").mapInArrow(_apply(window), "t0 long, t1 long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
     copied = texts.where("heavy = 2").select("t0", "t1", F.lit(True).alias("copied"))
     marks = removed.withColumn("copied", F.lit(False)).unionByName(copied, allowMissingColumns=True)
     out = keyed.select("id", "t0", "t1", "n", digest.alias("sha")).join(marks, ["t0", "t1"], "left")
     gone = F.coalesce("copied", F.lit(False))
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_bytes"),
         F.when(gone, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
         F.when(gone, F.array(F.lit(0).cast("long"), F.col("n"))).otherwise(F.coalesce("spans", F.array().cast("array<long>"))).alias("spans"),
     )
+    return work.finished(out)
 
 
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, from repeated_spans(), whose cases hold."""
     return repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
