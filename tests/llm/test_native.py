@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talewright.llm import decontaminate, licenses, registry, secrets, warc
-from talewright.llm.common import staging_path
+from talewright.llm.common import Workspace, staging_path
 
 from ..oracle import assert_same
 
@@ -165,21 +165,35 @@ def test_no_benchmark(spark):
 def test_archive(spark):
     big = "é" * 60
     rows = [(3, "http://a/3", big), (1, "http://a/1", big), (2, None, "tiny"), (4, "u\r\nX: y", "tiny"), (5, "http://a/5", None), (1, "http://a/1b", big), (7, "z", big + "!"), (None, "n", big)]
-    pages = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, digest string")
+    pages = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, digest string, salt int")
     path = staging_path(spark, "warc")
     warc.write_archive(pages, path)
     assert spark.read.parquet(f"{path}/payloads").count() == 4
-    got = sorted((tuple(r) for r in warc.reconstruct(spark, path, ("payload",)).select("page_id", "record_type", "refers_to", "n_bytes").collect()), key=str)
-    assert got == sorted([(3, "revisit", 1, 120), (1, "response", None, 120), (1, "response", None, 120), (2, "response", None, 4), (4, "response", None, 4), (5, "response", None, 0), (7, "response", None, 121), (None, "revisit", 1, 120)], key=str)
-    record = {(r["page_id"], r["record_type"]): bytes(r["record"]) for r in warc.reconstruct(spark, path).collect()}
-    assert record[7, "response"].startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and record[7, "response"].endswith((big + "!").encode() + b"\r\n\r\n")
-    assert b"Content-Length: 0\r\n" in record[3, "revisit"] and b"\r\nX: y" not in record[4, "response"]
+    work = Workspace(spark, "t")
+    for back in (warc.reconstruct(spark, path), work.finished(warc.reconstruct(spark, path, work))):
+        got = sorted((tuple(r) for r in back.select("page_id", "record_type", "refers_to", "n_bytes").collect()), key=str)
+        assert got == sorted([(3, "revisit", 1, 120), (1, "response", None, 120), (1, "response", None, 120), (2, "response", None, 4), (4, "response", None, 4), (5, "response", None, 0), (7, "response", None, 121), (None, "revisit", 1, 120)], key=str)
+        record = {(r["page_id"], r["record_type"]): bytes(r["record"]) for r in back.collect()}
+        fields = {k: dict(line.split(": ", 1) for line in v.decode().split("\r\n\r\n")[0].split("\r\n")[1:]) for k, v in record.items()}
+        assert all(v.startswith(b"WARC/1.1\r\n") and {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= {*fields[k]} for k, v in record.items())
+        assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", f["WARC-Date"]) for f in fields.values())
+        assert fields[3, "revisit"]["WARC-Refers-To"] == fields[1, "response"]["WARC-Record-ID"]
+        assert record[7, "response"].endswith((big + "!").encode() + b"\r\n\r\n") and record[2, "response"].endswith(b"\r\n\r\ntiny\r\n\r\n")
+        assert b"Content-Length: 0\r\n" in record[3, "revisit"] and b"\r\nX: y" not in record[4, "response"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("talewright")]
     spark.read.parquet(f"{path}/payloads").withColumn("payload", F.lit(b"other")).write.parquet(f"{path}/bad/payloads")
     with pytest.raises(Exception, match="damaged payload"):
         warc.read_payloads(spark, f"{path}/bad").collect()
+    spark.read.parquet(f"{path}/headers").write.parquet(f"{path}/lost/headers")
+    spark.read.parquet(f"{path}/payloads").limit(0).write.parquet(f"{path}/lost/payloads")
+    with pytest.raises(Exception, match="no payload"):
+        warc.reconstruct(spark, f"{path}/lost").collect()
 
 
 def test_empty_archive(spark):
     path = staging_path(spark, "warc")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.reconstruct(spark, path).count() == 0
+    none = staging_path(spark, "pages")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{none}/pages.parquet")
+    assert warc.op9_warc(spark, none).count() == 0
