@@ -1,8 +1,8 @@
 """License scan by template markup.
 
-Templates carry optional regions (`[[ ... ]]`) and replaceable ones (`<name:n>`, one to n words). They compile
-to token automata; a text is accepted where its words run through an automaton to the end, so the mandatory
-wording has to match exactly.
+Templates of whole licences and notices carry optional regions (`[[ ... ]]`) and replaceable ones (`<name:n>`, one to n
+words). They compile to token automata; a text is accepted where its words run through an automaton to the end, so
+the mandatory wording has to match exactly.
 """
 
 from __future__ import annotations
@@ -16,20 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .license_texts import TEMPLATES
 
 #: Phrase and label of the base search.
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
-#: Label and template of the notices that are known whole.
-TEMPLATES = (
-    ("gpl-notice", "[[licensed under]] the gnu [[lesser]] general public license [[version <version:2> [[or [[at your option]] any later version]]]]"),
-    ("apache-notice", "licensed under the apache license [[version <version:2>]]"),
-    ("cc-by-notice", "licensed under [[a]] [[creative commons]] cc by [[nc]] [[sa]] [[nd]] <version:2>"),
-    ("mit-notice", "[[released]] [[licensed]] [[distributed]] under the mit license"),
-    ("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this <object:12> to deal in the <object:3> without restriction"),
-    ("bsd-grant", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("copyright-line", "copyright [[c]] <year:2> <holder:4> all rights reserved"),
-)
 #: Byte classes of the contract's words: A-Z lower-cased, ASCII that is neither letter nor digit is a separator.
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -38,6 +29,17 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
 
+def tokens_of(template: str) -> Iterator[str | int | bytes]:
+    """Marks of a template: "[[", "]]", the most words of a replaceable region, or a word."""
+    for part in re.split(r"(\[\[|\]\]|<\w+:\d+>)", template):
+        if part in ("[[", "]]"):
+            yield part
+        elif re.fullmatch(r"<\w+:\d+>", part):
+            yield int(part[1:-1].split(":")[1])
+        else:
+            yield from words_of(part)
+
+
 @dataclass(frozen=True)
 class Automaton:
     """Position automaton. `steps[s]` lists (word or None for any word, next state); `skips[s]` are empty moves."""
@@ -46,7 +48,7 @@ class Automaton:
     steps: tuple[tuple[tuple[bytes | None, int], ...], ...]
     closure: tuple[frozenset[int], ...]
     final: int
-    first: frozenset[bytes]
+    first: frozenset[bytes] | None  # words that a run begins with; None: any
     mandatory: frozenset[bytes]
 
     def longest(self, words: list[bytes], at: int) -> int:
@@ -76,14 +78,14 @@ def compile_template(label: str, template: str) -> Automaton:
         return len(steps) - 1
 
     here = 0
-    for token in re.findall(r"\[\[|\]\]|<\w+:\d+>|[^\s\[\]<>]+", template):
+    for token in tokens_of(template):
         if token == "[[":
             opened.append(here)
         elif token == "]]":
             skips[opened.pop()].add(here)
-        elif token[0] == "<":
+        elif isinstance(token, int):
             before = None
-            for _ in range(int(token[1:-1].split(":")[1])):
+            for _ in range(token):
                 there = state()
                 steps[here].append((None, there))
                 if before is not None:
@@ -91,10 +93,10 @@ def compile_template(label: str, template: str) -> Automaton:
                 here = before = there
         else:
             there = state()
-            steps[here].append((token.encode(), there))
+            steps[here].append((token, there))
             here = there
             if not opened:
-                mandatory.add(token.encode())
+                mandatory.add(token)
     if opened or not mandatory:
         raise ValueError(f"template {label}: unclosed region or no mandatory word")
 
@@ -107,7 +109,8 @@ def compile_template(label: str, template: str) -> Automaton:
         return frozenset(seen)
 
     closure = tuple(reach(s) for s in range(len(steps)))
-    first = frozenset(w for s in closure[0] for w, _ in steps[s] if w is not None)
+    begins = {w for s in closure[0] for w, _ in steps[s]}
+    first = None if None in begins else frozenset(begins)
     return Automaton(label, tuple(map(tuple, steps)), closure, here, first, frozenset(mandatory))
 
 
@@ -134,7 +137,7 @@ def template_places(words: list[bytes], automata) -> list[tuple[int, int, str]]:
             continue
         at = 0
         while at < len(words):
-            if words[at] in a.first and (end := a.longest(words, at)) > at:
+            if (a.first is None or words[at] in a.first) and (end := a.longest(words, at)) > at:
                 found.append((at, end, a.label))
                 at = end
             else:
@@ -183,4 +186,45 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, from scan_licenses(), whose cases hold."""
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def pattern_of(template: str) -> str:
+    """The template as a regular expression over words in angle brackets."""
+    out = []
+    for token in tokens_of(template):
+        out.append("(?:" if token == "[[" else ")?" if token == "]]" else f"(?:<[^>]*>){{1,{token}}}" if isinstance(token, int) else f"<{token.decode()}>")
+    return "".join(out)
+
+
+_PHRASE_LIST = ", ".join(f"{{'p': {p.split()!r}, 'k': '{k}'}}" for p, k in PHRASES)
+_TEMPLATE_LIST = ", ".join(f"{{'k': '{k}', 'rx': '{pattern_of(t)}', 'must': {sorted(w.decode() for w in compile_template(k, t).mandatory)!r}}}" for k, t in TEMPLATES)
+_COUNTED = "length({0}) - length(replace({0}, '<', ''))"
+OP1_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), phrases AS (SELECT unnest([{_PHRASE_LIST}], recursive := true)), templates AS (SELECT unnest([{_TEMPLATE_LIST}], recursive := true)
+), base AS (
+  SELECT r, k, unnest(list_filter(range(len(w) - len(p) + 1), lambda i: w[i + 1:i + len(p)] = p)) AS pos FROM d, phrases WHERE list_has_all(w, p)
+), cut AS (
+  SELECT r, k, regexp_extract_all(s, rx) AS m, string_split_regex(s, rx) AS b
+  FROM (SELECT r, k, rx, '<' || array_to_string(w, '><') || '>' AS s FROM d, templates WHERE list_has_all(w, must))
+), each AS (
+  SELECT r, k, unnest(range(1, len(m) + 1)) AS i, unnest(list_transform(m, lambda x: {_COUNTED.format('x')})) AS n, unnest(list_transform(b[1:len(m)], lambda x: {_COUNTED.format('x')})) AS gap FROM cut WHERE len(m) > 0
+), runs AS (
+  SELECT r, k, sum(n + gap) OVER (PARTITION BY r, k ORDER BY i)::BIGINT AS e, n FROM each
+), spans AS (
+  SELECT r, k, e - n AS s, e FROM runs
+), covered AS (
+  SELECT base.r, base.k, base.pos, bool_or(coalesce(spans.s <= base.pos AND base.pos < spans.e, false)) AS inside FROM base LEFT JOIN spans ON spans.r = base.r GROUP BY ALL
+), b AS (
+  SELECT r, count(*) AS n_base, min(pos)::BIGINT AS first_word, max(pos)::BIGINT AS last_word, string_agg(DISTINCT k, ',' ORDER BY k) AS base_labels, list(DISTINCT k) AS ks, count(*) FILTER (NOT inside) AS bare FROM covered GROUP BY r
+), t AS (
+  SELECT r, list(DISTINCT k) AS ks, string_agg(s || ':' || e || ':' || k, ',' ORDER BY s, e, k) AS spans FROM spans GROUP BY r
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(b.ks, []) || coalesce(t.ks, []))), ',') AS labels,
+       CASE WHEN t.r IS NOT NULL THEN 1.0 - 0.5 * coalesce(bare, 0) / greatest(coalesce(n_base, 0), 1) WHEN b.r IS NOT NULL THEN 0.5 ELSE 0.0 END::DOUBLE AS score, coalesce(t.spans, '') AS spans
+FROM d LEFT JOIN b USING (r) LEFT JOIN t USING (r)
+"""

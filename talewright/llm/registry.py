@@ -21,4 +21,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}
+    return {"op1_licenses": licenses.OP1_SQL, "op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}

@@ -1,6 +1,7 @@
 """License, secret, leak and archive operators against plain Python."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -72,6 +73,43 @@ def test_template_regions():
         licenses.compile_template("t", "[[only]]")
 
 
+def rendered(template, rng, options=True):
+    """A text that a template accepts."""
+    out, skip = [], []
+    for token in licenses.tokens_of(template):
+        if token == "[[":
+            skip.append(bool(skip and skip[-1]) or not options or rng.random() < 0.5)
+        elif token == "]]":
+            skip.pop()
+        elif not (skip and skip[-1]):
+            out += [f"any{rng.randrange(99)}" for _ in range(rng.randint(1, token))] if isinstance(token, int) else [token.decode()]
+    return out
+
+
+def test_templates_against_expressions(spark):
+    """Labels and runs of every template, whole, without options and with one word changed, against regular expressions."""
+    rng = random.Random(21)
+    texts = [None, ""]
+    for _, template in licenses.TEMPLATES:
+        for options in (False, True, True):
+            words = rendered(template, rng, options)
+            broken = list(words)
+            at = rng.randrange(len(words))
+            broken[at] = "changed" if not words[at].startswith("any") else words[at]
+            for w in (words, broken, words[: len(words) // 2]):
+                texts.append("Before, " + rng.choice([" ", "-", ". "]).join(w).upper() + "; (c) after")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        words = "".join(f"<{w}>" for w in WORD.findall(lower(text)))
+        runs = []
+        for label, template in licenses.TEMPLATES:
+            runs += [(words.count("<", 0, m.start()), words.count("<", 0, m.end()), label) for m in re.finditer(licenses.pattern_of(template), words)]
+        assert got[i]["spans"] == ",".join(f"{a}:{b}:{k}" for a, b, k in sorted(runs))
+        assert {x for x in got[i]["labels"].split(",") if x} - {"gpl", "apache", "cc-by", "mit"} == {r[2] for r in runs}
+    assert sum(bool(r["labels"]) for r in got.values()) >= 3 * len(licenses.TEMPLATES)
+    assert licenses.scan_licenses(frame(spark, texts).limit(0)).count() == 0
+
+
 # ---------------------------------------------------------------- secrets
 
 
