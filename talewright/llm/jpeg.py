@@ -28,8 +28,8 @@ from .common import table
 
 #: A payload byte b is stored as the coefficient b + OFFSET, which is never 0 and always of nine bits.
 OFFSET = 256
-#: Payload bytes that are coded or decoded at once.
-AT_ONCE = 2 << 20
+#: Payload bytes that are coded or decoded at once, and blocks of them for which wide tables are made.
+AT_ONCE, BLOCKS = 2 << 20, 1 << 14
 #: Samples of a component per MCU row and column: Y 2 x 2, Cb and Cr 1 x 1.
 SAMPLING = ((1, 2, 2), (2, 1, 1), (3, 1, 1))
 
@@ -127,17 +127,23 @@ def encode_payloads(payloads: list[bytes]) -> list[bytes]:
     shapes = [image_shape(c) for c in counts]
     parts = [[(4 * r * c), (r * c), (r * c)] for r, c in shapes]
     raw = b"".join(p + bytes(64 * (6 * r * c) - len(p)) for p, (r, c) in zip(payloads, shapes))
-    values = np.frombuffer(raw, np.uint8).reshape(-1, 64).astype(np.int32) + OFFSET
+    values = np.frombuffer(raw, np.uint8).reshape(-1, 64)
     sizes = np.array([n for three in parts for n in three])
     starts = np.concatenate([[0], np.cumsum(sizes)])
     number = np.arange(len(values)) - np.repeat(starts[:-1], sizes)
     last = np.zeros(len(values), bool)
     last[starts[1:] - 1] = True
-    streams = []
-    for rows in _scan_rows(values):
-        data, ends = _streams(rows, number, last)
-        cuts = [0, *ends[starts[1:] - 1].tolist()]
-        streams.append((data.tobytes(), cuts))
+    coded: list[list[np.ndarray]] = [[], [], [], []]
+    ended: list[list[np.ndarray]] = [[], [], [], []]
+    size = [0] * 4
+    for at in range(0, len(values), BLOCKS):
+        part = slice(at, at + BLOCKS)
+        for k, rows in enumerate(_scan_rows(values[part].astype(np.int32) + OFFSET)):
+            data, ends = _streams(rows, number[part], last[part])
+            coded[k].append(data)
+            ended[k].append(ends + size[k])
+            size[k] += len(data)
+    streams = [(np.concatenate(data).tobytes(), [0, *np.concatenate(ends)[starts[1:] - 1].tolist()]) for data, ends in zip(coded, ended)]
     heads = ((0, 0, 0, 1, 0, 0), (0, 0, 1, 0, 0, 0), (1, 63, 0, 1, 0, 0), (1, 63, 1, 0, 0, 1))
     out = []
     for i, (payload, (r, c)) in enumerate(zip(payloads, shapes)):
@@ -336,11 +342,10 @@ def _extend(value: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where((size > 0) & (value < (1 << size >> 1)), value - (1 << size) + 1, value)
 
 
-def _dc_first(lanes: _Lanes, coef: np.ndarray, scan: Scan) -> None:
+def _dc_first(lanes: _Lanes, coef: np.ndarray, scan: Scan, lane: np.ndarray) -> None:
     at, low = lanes.first.copy(), scan.bits[1]
     before = np.zeros((len(at), len(scan.components)), np.int64)
     looks = np.stack([_lookup(t[0]) for t in scan.tables])
-    lane = np.arange(len(at))
     while len(lane):
         part = lanes.part[at[lane]]
         found = looks[part, lanes.peek(lane)]
@@ -352,18 +357,18 @@ def _dc_first(lanes: _Lanes, coef: np.ndarray, scan: Scan) -> None:
         lane = lane[at[lane] < lanes.until[lane]]
 
 
-def _dc_refine(lanes: _Lanes, coef: np.ndarray, scan: Scan) -> None:
-    at, lane = lanes.first.copy(), np.arange(len(lanes.first))
+def _dc_refine(lanes: _Lanes, coef: np.ndarray, scan: Scan, lane: np.ndarray) -> None:
+    at = lanes.first.copy()
     while len(lane):
         coef[lanes.units[at[lane]], 0] |= (lanes.take(lane, np.int64(1)) << scan.bits[1]).astype(coef.dtype)
         at[lane] += 1
         lane = lane[at[lane] < lanes.until[lane]]
 
 
-def _ac_first(lanes: _Lanes, coef: np.ndarray, scan: Scan) -> None:
+def _ac_first(lanes: _Lanes, coef: np.ndarray, scan: Scan, lane: np.ndarray) -> None:
     (first, last), low, look = scan.band, scan.bits[1], _lookup(scan.tables[0][1])
-    at, lane = lanes.first.copy(), np.arange(len(lanes.first))
-    k = np.full(len(lane), first, np.int64)
+    at = lanes.first.copy()
+    k = np.full(len(at), first, np.int64)
     flat = coef.reshape(-1)
     while len(lane):
         symbol = lanes.symbol(lane, look)
@@ -391,10 +396,10 @@ def _ac_first(lanes: _Lanes, coef: np.ndarray, scan: Scan) -> None:
             lane = lane[at[lane] < lanes.until[lane]]
 
 
-def _ac_refine(lanes: _Lanes, coef: np.ndarray, scan: Scan) -> None:
+def _ac_refine(lanes: _Lanes, coef: np.ndarray, scan: Scan, lane: np.ndarray) -> None:
     (first, last), low, look = scan.band, scan.bits[1], _lookup(scan.tables[0][1])
-    at, lane = lanes.first.copy(), np.arange(len(lanes.first))
-    k, left = np.full(len(lane), first, np.int64), np.zeros(len(lane), np.int64)
+    at = lanes.first.copy()
+    k, left = np.full(len(at), first, np.int64), np.zeros(len(at), np.int64)
     places = np.arange(first, last + 1)
     while len(lane):
         run, sign = np.full(len(lane), 64), np.zeros(len(lane), np.int64)
@@ -459,15 +464,19 @@ def read_coefficients(contents: list[bytes]) -> tuple[list[Image], np.ndarray]:
             scan = group[0].scans[turn]
             lanes = _Lanes(group, [im.scans[turn] for im in group])
             step = (_dc_refine if scan.bits[0] else _dc_first) if scan.band[0] == 0 else (_ac_refine if scan.bits[0] else _ac_first)
-            step(lanes, coef, scan)
+            for begin in range(0, len(lanes.first), BLOCKS):
+                step(lanes, coef, scan, np.arange(begin, min(begin + BLOCKS, len(lanes.first))))
     return images, coef
 
 
 def samples(coef: np.ndarray, quantiser: np.ndarray) -> np.ndarray:
     """8-bit samples of blocks, n x 8 x 8."""
-    product = (coef * quantiser) @ _BASIS
-    level = np.floor((product + (1 << _BASIS_BITS - 1)) / (1 << _BASIS_BITS)) + 128
-    return np.clip(level, 0, 255).astype(np.uint8).reshape(-1, 8, 8)
+    out = np.empty((len(coef), 64), np.uint8)
+    for at in range(0, len(coef), BLOCKS):
+        product = (coef[at : at + BLOCKS] * quantiser) @ _BASIS
+        level = np.floor((product + (1 << _BASIS_BITS - 1)) / (1 << _BASIS_BITS)) + 128
+        out[at : at + BLOCKS] = np.clip(level, 0, 255)
+    return out.reshape(-1, 8, 8)
 
 
 def tensor(image: Image, planes: list[np.ndarray]) -> np.ndarray:
@@ -508,18 +517,6 @@ def stored_payload(image: Image, coef: np.ndarray) -> bytes:
 # ---------------------------------------------------------------- DataFrames
 
 
-def _grouped(values: list[bytes]) -> Iterator[list[bytes]]:
-    group, size = [], 0
-    for v in values:
-        group.append(v)
-        size += len(v)
-        if size >= AT_ONCE:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 def padded(text: str | None) -> bytes:
     raw = (text or "").encode("utf-8", "surrogatepass")
     return raw + bytes(-len(raw) % 64 if raw else 64)
@@ -567,17 +564,18 @@ def decode_media(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
         return (len(content), hashlib.sha256(content).hexdigest(), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), image.height, image.width, feature, *([raw] * with_tensor))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = (None,) * len(types)
         for batch in batches:
-            contents, rows = batch.column(1).to_pylist(), {}
-            have = [i for i, c in enumerate(contents) if c is not None]
-            at = 0
-            for group in _grouped([contents[i] for i in have]):
-                for content, found in zip(group, decode_images(group)):
-                    rows[have[at]] = row(content, *found)
+            at, contents = 0, batch.column(1)
+            while at < len(contents):  # tensors are as large as what they are made of, so few rows go on at a time
+                begin, size, group = at, 0, []
+                while at < len(contents) and size < AT_ONCE:
+                    group.append(contents[at].as_py())
+                    size += len(group[-1] or b"")
                     at += 1
-            none = (None,) * len(types)
-            columns = zip(*(rows.get(i, none) for i in range(len(contents)))) if contents else [()] * len(types)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, (_, t) in zip(columns, types))], names=["id", *(n for n, _ in types)])
+                found = iter(decode_images([c for c in group if c is not None]))
+                rows = [none if c is None else row(c, *next(found)) for c in group]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[begin:at], *(pa.array(c, t) for c, (_, t) in zip(zip(*rows), types))], names=["id", *(n for n, _ in types)])
 
     spark_types = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
     schema = f"id {kind}, " + ", ".join(f"{n} {spark_types[t]}" for n, t in types)
@@ -585,7 +583,21 @@ def decode_media(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, from encode_media() and decode_media(), whose cases hold; `tensor` is the picture's
+    RGB tensor of full size, as stored media columns carry it."""
     stored = encode_media(table(spark, sf_dir, "documents"))
     with_size = stored.select(F.struct("doc_id", "n_bytes").alias("key"), "media")
-    back = decode_media(with_size, id_col="key", with_tensor=False)
-    return back.select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    back = decode_media(with_size, id_col="key")
+    return back.select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "tensor")
+
+
+def media_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op6_media(), what SQL can tell: sizes and digest of the payload that is read back."""
+    return op6_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+MEDIA_PAYLOAD_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+e AS (SELECT doc_id, raw, octet_length(raw)::BIGINT AS n FROM d)
+SELECT doc_id, n AS n_bytes, greatest(64, (n + 63) // 64 * 64) AS payload_bytes, sha256(raw || unhex(repeat('00', (greatest(64, (n + 63) // 64 * 64) - n)::INT))) AS payload_sha256 FROM e
+"""

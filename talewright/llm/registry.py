@@ -17,8 +17,9 @@ def queries():
         "op8_minhash": minhash.op8_minhash,
         "op9_warc": warc.op9_warc,
         "op10_suffix": suffix.op10_suffix,
+        "media_payload": jpeg.media_payload,
     }
 
 
 def oracle_sql():
-    return {"op1_licenses": licenses.OP1_SQL, "op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}
+    return {"op1_licenses": licenses.OP1_SQL, "media_payload": jpeg.MEDIA_PAYLOAD_SQL, "op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}

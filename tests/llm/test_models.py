@@ -179,6 +179,24 @@ def test_bytes_of_all_kinds():
         assert jpeg.stored_payload(image, coef) == p and rgb.shape == (image.height, image.width, 3)
 
 
+def test_another_reader_agrees(spark):
+    """The virtual machine's own JPEG reader sees the same lightness, within the rounding of its transform."""
+    jvm = spark._jvm
+    rng = np.random.default_rng(6)
+    payloads = [b"plain text in a picture ".ljust(64, b"\0") * 7, rng.integers(0, 256, 64 * 29, dtype=np.uint16).astype(np.uint8).tobytes(), bytes(64)]
+    files = jpeg.encode_payloads(payloads)
+    images, coef = jpeg.read_coefficients(files)
+    for im, content in zip(images, files):
+        reader = jvm.javax.imageio.ImageIO.getImageReadersByFormatName("jpeg").next()
+        reader.setInput(jvm.javax.imageio.ImageIO.createImageInputStream(jvm.java.io.ByteArrayInputStream(content)))
+        raster = reader.readRaster(0, None)
+        assert (raster.getHeight(), raster.getWidth()) == (im.height, im.width)
+        theirs = np.array(list(raster.getSamples(0, 0, im.width, im.height, 0, spark.sparkContext._gateway.new_array(jvm.int, im.width * im.height)))).reshape(im.height, im.width)
+        rows, columns = im.grids[0]
+        ours = jpeg.samples(coef[im.starts[0] : im.starts[1]], im.quantisers[0]).reshape(rows, columns, 8, 8).swapaxes(1, 2).reshape(8 * rows, 8 * columns)
+        assert np.abs(ours[: im.height, : im.width].astype(int) - theirs).max() <= 2
+
+
 class Bits:
     def __init__(self):
         self.text = ""
