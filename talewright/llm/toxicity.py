@@ -1,9 +1,11 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-Strings are words; their features are the gap-weighted three-letter subsequences within a short span, so that a
-word keeps most of its likeness when characters are put between its letters. Words of labelled sentences are the
-instances: a toxic text's sentences lend their label to the words whose share among toxic texts is beyond chance,
-a clean text's to all of its words (multiple-instance training). Landmark kernels and weights fold into one table over subsequences, which makes scoring a word a sum of look-ups.
+The kernel of two words counts the gap-weighted three-letter subsequences within a short span that they share, so that
+a word keeps most of its likeness when characters are put between its letters. A sentence is as toxic as its most toxic
+word, its witness, and the kernel of two sentences is that of their witnesses. The machine is trained on sentences: all
+of a clean text's are negative, of a toxic text those are positive that the round before found toxic, the most toxic
+one at least (multiple-instance training). Landmark kernels and weights fold into one table over subsequences, which
+makes scoring a word a sum of look-ups.
 """
 
 from __future__ import annotations
@@ -22,27 +24,36 @@ from pyspark.sql import functions as F
 
 from .common import kept_by_worker, table, text_or_empty
 
-#: Labelled rows of each class that a fit takes at most, lowest hash of the id first.
-MAX_TRAIN = 2000
+#: Labelled rows of each class that a fit takes at most, lowest hash of the id first, and characters of all of them at which
+#: it takes no more.
+MAX_TRAIN, MAX_CHARS = 2000, 64 << 20
 LANDMARKS = 256
 #: Letters that a subsequence may span, and what each letter beyond three costs.
 SPAN, DECAY = 6, 0.6
-#: 0: ASCII that is no letter, which widens gaps and makes no feature; 1-26: a-z; 27-39: other characters; 40: a word's start.
-_LETTERS = 41
+#: 0: ASCII that is no letter, which widens gaps and makes no feature; 1-26: a-z; 27-62: other characters; 63: a word's start.
+_LETTERS, _OTHERS = 64, 36
 _CODES = _LETTERS**3
 _PATTERNS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
-#: z-value from which a word's share among toxic texts counts as evidence, given the many words compared.
+#: z-value of a word's share among toxic texts from which it is a landmark and shows the first round its sentences.
 EVIDENCE = 5.0
+#: Decisions below this are all alike.
+DOUBT = -0.75
+#: Clean words among which landmarks are taken: those most like the toxic landmarks.
+NEAR = 4000
+#: Rounds of training; the decision from which a further sentence of a toxic text is positive; clean sentences of a round: a
+#: hashed sample, and those that the round before found most toxic.
+ROUNDS, MARGIN, SAMPLED, HARDEST = 3, 0.5, 3000, 1500
 #: Words that a worker remembers before it starts anew, and texts' characters that it takes at once.
 MEMO, AT_ONCE = 100_000, 1 << 20
 #: Words whose subsequences are held at once.
 WORDS_AT_ONCE = 8192
 _THREE = re.compile(r"[^\x00-\x60\x7b-\x7f].*[^\x00-\x60\x7b-\x7f].*[^\x00-\x60\x7b-\x7f]")
+_SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[^\S\n]\S){2,}(?!\S)")
 _MIX = [int(x) for x in np.random.default_rng(5).integers(1 << 8, 1 << 28, 24)]
 _TO_LETTER = np.zeros(128, np.int64)
 _TO_LETTER[97:123] = np.arange(1, 27)
-_TO_LETTER[1] = 40
+_TO_LETTER[1] = 63
 
 
 def words_of(text: str) -> set[str]:
@@ -54,10 +65,15 @@ def words_of(text: str) -> set[str]:
     return words
 
 
+def sentences_of(text: str) -> list[list[str]]:
+    """Distinct words of each sentence or line that has any."""
+    return [sorted(w) for w in map(words_of, _SENTENCE.split(text)) if w]
+
+
 def subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(index of the word, code of the subsequence, weight) of all subsequences of letters, pattern by pattern."""
     raw = np.frombuffer(("\x01" + "\x01".join(words)).encode("utf-32-le", "surrogatepass"), np.uint32) if words else np.array([], np.uint32)
-    letters = np.where(raw < 128, _TO_LETTER[np.minimum(raw, 127)], 27 + raw % 13).astype(np.int64)
+    letters = np.where(raw < 128, _TO_LETTER[np.minimum(raw, 127)], 27 + raw % _OTHERS).astype(np.int64)
     owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 1)
     first = letters * _LETTERS**2
     second = letters * _LETTERS
@@ -121,18 +137,36 @@ def kernel(words: list[str], landmarks: Landmarks) -> np.ndarray:
     return out.astype(float)
 
 
+def _portions(words: list[str]) -> Iterator[list[str]]:
+    return (words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE))
+
+
+def weights_of(words: list[str], beta: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """Decisions on words, without the bias; `norms` from self_kernel()."""
+    dots = []
+    for part in _portions(words):
+        dot = np.zeros(len(part))
+        for o, c, w in subsequences(part):
+            dot += w * np.bincount(o, beta[c], len(part))
+        dots.append(dot)
+    return np.concatenate(dots) / norms if dots else np.empty(0)
+
+
 def folded(words: list[str], beta: np.ndarray, bias: float) -> np.ndarray:
-    """Decisions of words, at least -1. The exact self-kernel is taken only where its lower bound leaves more than -1."""
-    if len(words) > WORDS_AT_ONCE:
-        return np.concatenate([folded(words[at : at + WORDS_AT_ONCE], beta, bias) for at in range(0, len(words), WORDS_AT_ONCE)])
-    dot, least = np.zeros(len(words)), np.zeros(len(words))
-    for o, c, w in subsequences(words):
-        dot += w * np.bincount(o, beta[c], len(words))
-        least += w * w * np.bincount(o, minlength=len(words))
-    out = np.where(dot > 0, dot / np.sqrt(np.maximum(least, 1e-12)), 0.0) + bias
-    if len(near := np.flatnonzero((out > -1) & (dot > 0))):
-        out[near] = dot[near] / self_kernel([words[i] for i in near]) + bias
-    return np.maximum(out, -1.0)
+    """Decisions on words as sentences of their own; -1 for all below DOUBT. The exact self-kernel is taken only where its lower
+    bound leaves more than that."""
+    found = []
+    for part in _portions(words):
+        dot, least = np.zeros(len(part)), np.zeros(len(part))
+        for o, c, w in subsequences(part):
+            dot += w * np.bincount(o, beta[c], len(part))
+            least += w * w * np.bincount(o, minlength=len(part))
+        out = np.full(len(part), -1.0)
+        if len(near := np.flatnonzero((dot > 0) & (dot / np.sqrt(np.maximum(least, 1e-12)) + bias > DOUBT))):
+            exact = dot[near] / self_kernel([part[i] for i in near]) + bias
+            out[near] = np.where(exact > DOUBT, exact, -1.0)
+        found.append(out)
+    return np.concatenate(found) if found else np.empty(0)
 
 
 @dataclass(frozen=True)
@@ -171,11 +205,11 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, r
     return w[:-1], float(w[-1])
 
 
-def _unlike(texts: list[list[str]], toxic: list[int]) -> tuple[list[list[str]], list[int]]:
-    """The texts without near copies of earlier ones, which would count one author's words many times over."""
+def _unlike(bags: list[list[str]]) -> list[int]:
+    """Places of the bags of words without near copies of earlier ones, which would count one author's words many times over."""
     seen: set[tuple[int, ...]] = set()
     kept: list[int] = []
-    for i, words in enumerate(texts):
+    for i, words in enumerate(bags):
         raw = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
         bands = set()
         for b in range(12 if len(raw) >= 20 else 0):
@@ -184,23 +218,45 @@ def _unlike(texts: list[list[str]], toxic: list[int]) -> tuple[list[list[str]],
         if not bands & seen:
             kept.append(i)
         seen |= bands
-    return [texts[i] for i in kept], [toxic[i] for i in kept]
-
-
-def train(texts: list[list[str]], toxic: list[int], share: float | None = None, landmarks: int = LANDMARKS) -> Model:
-    """Fit on the distinct words of labelled texts, `share` of which are toxic where they come from. Without both
-    classes the model scores everything 0. Words are learned from two thirds of the texts, their weight from the rest."""
-    texts, toxic = _unlike(texts, toxic)
-    rest, rest_toxic = texts[::3], toxic[::3]
-    if len({*rest_toxic}) == 2:
-        texts, toxic = [t for i, t in enumerate(texts) if i % 3], [t for i, t in enumerate(toxic) if i % 3]
-    else:
-        rest, rest_toxic = texts, toxic
-    texts_of = {1: [t for t, y in zip(texts, toxic) if y], 0: [t for t, y in zip(texts, toxic) if not y]}
-    if not texts_of[1] or not texts_of[0]:
+    return kept
+
+
+class _Sentences:
+    """Sentences of some texts as lists of word numbers, one behind another."""
+
+    def __init__(self, texts: list[list[list[str]]], number: dict[str, int]):
+        self.sizes = np.array([len(s) for t in texts for s in t])
+        self.flat = np.fromiter((number[w] for t in texts for s in t for w in s), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+
+    def witnesses(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(decision, word) of each sentence: its most toxic word, of equals the one with the lowest number."""
+        own = weights[self.flat]
+        score = np.maximum.reduceat(own, self.starts)
+        word = np.where(own == np.repeat(score, self.sizes), self.flat, len(weights))
+        return score, np.minimum.reduceat(word, self.starts)
+
+    def positive(self, score: np.ndarray, least: float) -> np.ndarray:
+        """The sentence of each text with the highest decision, and all others above `least`."""
+        order = np.lexsort((-np.arange(len(score)), score, self.text))
+        return np.union1d(order[np.flatnonzero(np.diff(self.text[order], append=-1))], np.flatnonzero(score > least))
+
+
+def train(texts: list[list[list[str]]], toxic: list[int], share: float | None = None, landmarks: int = LANDMARKS) -> Model:
+    """Fit on labelled texts, given as sentences of distinct words; `share` of the texts are toxic where they come from. Near
+    copies of earlier texts are left out. Two thirds of the texts train the machine, the rest the weight of a text's
+    evidence. Without both classes the model scores everything 0."""
+    bags = [sorted(set().union(*t)) for t in texts]
+    kept = _unlike(bags)
+    learn, rest = [i for k, i in enumerate(kept) if k % 3], kept[::3]
+    if len({toxic[i] for i in rest}) < 2:
+        learn = rest = kept
+    of = {y: [i for i in learn if toxic[i] == y and texts[i]] for y in (0, 1)}
+    if not of[0] or not of[1]:
         return NOTHING
-    df = {y: Counter(w for t in group for w in t) for y, group in texts_of.items()}
-    n1, n0 = len(texts_of[1]), len(texts_of[0])
+    df = {y: Counter(w for i in of[y] for w in bags[i]) for y in (0, 1)}
+    n1, n0 = len(of[1]), len(of[0])
 
     def contrast(w: str) -> float:
         p, q, both = df[1][w] / n1, df[0][w] / n0, (df[1][w] + df[0][w] + 1) / (n1 + n0)
@@ -213,23 +269,39 @@ def train(texts: list[list[str]], toxic: list[int], share: float | None = None,
     pool = sorted(w for w in df[0] if z.get(w, 0) <= least and _THREE.search(w))
     if not top or not pool:
         return NOTHING
+    # landmarks: the words of most contrast, and clean words that are most like them
     toxic_marks = Landmarks.of(top[: landmarks // 2])
-    # clean words that are most like the toxic landmarks, and the most common ones
-    near = [pool[i] for i in np.argsort(-folded(pool, toxic_marks.table(np.ones(len(toxic_marks.words))), -1.0), kind="stable")[:4000]]
-    common = sorted(pool, key=lambda w: (-df[0][w], w))[:1000]
+    near = [pool[i] for i in np.argsort(-folded(pool, toxic_marks.table(np.ones(len(toxic_marks.words))), 0.0), kind="stable")[:NEAR]]
     marks = Landmarks.of(toxic_marks.words + near[:: max(1, len(near) // (landmarks // 2))][: landmarks // 2])
     value, vector = np.linalg.eigh(kernel(marks.words, marks))
     whiten = vector[:, value > 1e-4] / np.sqrt(value[value > 1e-4])
-    words = top + sorted({*near, *common})
-    y = np.where(np.arange(len(words)) < len(top), 1.0, -1.0)
-    weight = np.array([np.sqrt(df[int(k > 0)][w]) for w, k in zip(words, y)])
-    weight *= np.where(y > 0, 1 / weight[y > 0].sum(), 1 / weight[y < 0].sum())
-    theta, bias = _svm(kernel(words, marks) @ whiten, y, weight)
-    beta = marks.table(whiten @ theta)
-    known = sorted(set().union(*rest))
-    decision = dict(zip(known, folded(known, beta, bias).tolist())) if known else {}
-    found = np.array([evidence([decision[w] for w in t]) for t in rest])
-    y = np.array(rest_toxic, float)
+    words = sorted({*df[0], *df[1]})
+    number = {w: i for i, w in enumerate(words)}
+    norms = np.concatenate([self_kernel(part) for part in _portions(words)])
+    toxic_ones, clean_ones = (_Sentences([texts[i] for i in of[y]], number) for y in (1, 0))
+    sampled = np.argsort(np.arange(len(clean_ones.starts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), kind="stable")[:SAMPLED]
+    weights, bias = np.zeros(len(words)), -least
+    weights[[number[w] for w in top]] = [z[w] for w in top]
+    for _ in range(ROUNDS):
+        score, witness = toxic_ones.witnesses(weights)
+        positive = witness[toxic_ones.positive(score, MARGIN - bias)]
+        score, witness = clean_ones.witnesses(weights)
+        negative = witness[np.union1d(sampled, np.argsort(-score, kind="stable")[:HARDEST])]
+        # sentences with one witness are one row, whose weight grows with the square root of their number
+        rows, count, y = [], [], []
+        for own, label in ((positive, 1.0), (negative, -1.0)):
+            known, n = np.unique(own, return_counts=True)
+            rows.append(known)
+            count.append(np.sqrt(n) / np.sqrt(n).sum())
+            y.append(np.full(len(known), label))
+        x = kernel([words[i] for i in np.concatenate(rows)], marks) @ whiten
+        theta, bias = _svm(x, np.concatenate(y), np.concatenate(count))
+        beta = marks.table(whiten @ theta)
+        weights = weights_of(words, beta, norms)
+    known = sorted(set().union(*(bags[i] for i in rest)))
+    decision = dict(zip(known, folded(known, beta, bias).tolist()))
+    found = np.array([evidence([decision[w] for w in bags[i]]) for i in rest])
+    y = np.array([toxic[i] for i in rest], float)
     share = y.mean() if share is None else share
     return Model(beta, bias, _logistic(found, y, np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))))
 
@@ -250,8 +322,15 @@ def held_out(id_col) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
-    """Train on at most `max_train` rows of each class, none of them held out; labels without a value are left out."""
-    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out("_id")).dropDuplicates(["_id"])
+    """Train on at most `max_train` rows of each class, none of them held out, lowest hash of the id first, until they have
+    MAX_CHARS characters.
+
+    Labels without a value, of unknown documents or with null ids are left out, an id that is labelled or stored twice
+    counts once, null texts count as empty, near copies of texts taken earlier are left out, and each round of
+    training sees SAMPLED + HARDEST clean sentences (found among all of the sample). Without rows of both classes, as
+    with empty tables, the model scores everything 0. Other columns, whatever their names, are not read.
+    """
+    known = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_y")).where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out("_id")).dropDuplicates(["_id"])
     share = known.agg(F.avg("_y")).first()[0]
     chosen = None
     for y in (0, 1):
@@ -262,11 +341,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return train([], [])
     ids = docs.sparkSession.createDataFrame(rows, chosen.schema)
     sample = docs.select(F.col(id_col).alias("_id"), text_or_empty(docs[text_col]).alias("_text")).join(F.broadcast(ids), "_id")
-    got = sample.select("_y", "_id", "_text").dropDuplicates(["_id"]).orderBy("_id").collect()
-    toxic, texts, same = [r["_y"] for r in got], [], {}
-    while got:  # each word is held once
-        texts.append([same.setdefault(w, w) for w in words_of(got.pop(0)["_text"])])
+    found: list[tuple] = []
+    same: dict[str, str] = {}
+    size = 0
+    for r in sample.select("_y", "_id", "_text").dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").toLocalIterator():
+        if size >= MAX_CHARS:
+            break
+        size += len(r["_text"])
+        # each word is held once
+        found.append((r["_id"], r["_y"], [[same.setdefault(w, w) for w in s] for s in sentences_of(r["_text"])]))
     del same
+    found.sort(key=lambda x: x[0])
+    texts, toxic = [x[2] for x in found], [x[1] for x in found]
+    del found
     return train(texts, toxic, share)
 
 
@@ -311,7 +398,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows and null or repeated ids give a row each; other columns, whatever their names, are not read. Texts are read
     whole; no shuffle.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of 41^3 numbers
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of _CODES numbers
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,6 +424,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document; the cases of fit() and score() hold."""
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")

@@ -53,7 +53,9 @@ def test_subsequence_kernel():
             want = dot(a, b) / ((dot(a, a) or 1) * (dot(b, b) or 1)) ** 0.5
             assert abs(got[i, j] - want) < 1e-5
     beta = marks.table(np.arange(1.0, 7.0))
-    assert np.allclose(toxicity.folded(words, beta, 0.0), np.maximum(got @ np.arange(1.0, 7.0), -1), atol=1e-4)
+    want = got @ np.arange(1.0, 7.0)
+    assert np.allclose(toxicity.folded(words, beta, 0.0), np.where(want > 0, want, -1), atol=1e-4)
+    assert np.allclose(toxicity.weights_of(words, beta, toxicity.self_kernel(words)), want, atol=1e-4)
 
 
 def test_toxicity(spark):
@@ -82,6 +84,23 @@ def test_toxicity(spark):
     assert kept.columns == odd.columns and kept.count() == sum(r["predicted"] == 0 for r in rows)
 
 
+def test_toxicity_query(spark):
+    """Held-out rows are those of the contract, none of them is learned from, and most of them are told apart."""
+    got = {r["doc_id"]: r for r in toxicity.op3_toxicity(spark, SF.replace("0.001", "0.01")).collect()}
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(SF.replace("0.001", "0.01") + "/labels.parquet").collect()}
+    assert len(got) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1 for i, r in got.items())
+    held = [i for i in labels if got[i]["held_out"]]
+    assert sum(got[i]["predicted"] == labels[i] for i in held) >= 0.9 * len(held)
+    rank = [got[i]["score"] - got[j]["score"] for i in held for j in held if labels[i] > labels[j]]
+    assert np.mean([(d > 0) + (d == 0) / 2 for d in rank]) > 0.8
+    # a held-out label changes nothing
+    other = spark.createDataFrame([(i, 1 - y if got[i]["held_out"] else y) for i, y in labels.items()], "doc_id long, toxic int")
+    a, b = (toxicity.fit(docs, x) for x in (spark.createDataFrame([*labels.items()], "doc_id long, toxic int"), other))
+    assert np.array_equal(a.beta, b.beta) and a.link == b.link
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, ["a", None])
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
