@@ -22,4 +22,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_licenses": licenses.OP1_SQL, "media_payload": jpeg.MEDIA_PAYLOAD_SQL, "op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}
+    return {"op1_licenses": licenses.OP1_SQL, "op2_secrets": secrets.OP2_SQL, "media_payload": jpeg.MEDIA_PAYLOAD_SQL, "op10_suffix": suffix.OP10_SQL, "op8_minhash": minhash.OP8_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op9_warc": warc.OP9_SQL}

@@ -260,3 +260,47 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined(F.array_sort(F.concat("base_spans", "random_spans"))).alias("spans"),
         F.size("random_spans").cast("long").alias("n_random"),
     )
+
+
+def _sql_matches(kind: str, order: int, pattern: str, group: int, least: int, more: str = "true") -> str:
+    """DuckDB rows (r, ord, kind, token, s, e) of one kind; `pattern` without look-around."""
+    rx = "'" + pattern.replace("'", "''") + "'"
+    lists = f"SELECT r, regexp_extract_all(t, {rx}, 0) AS m, regexp_extract_all(t, {rx}, {group}) AS g, string_split_regex(t, {rx}) AS b FROM d"
+    each = f"SELECT r, unnest(m) AS m, unnest(g) AS g, unnest(b[1:len(m)]) AS b, unnest(range(1, len(m) + 1)) AS i FROM ({lists}) WHERE len(m) > 0"
+    ended = f"SELECT *, (sum(length(b) + length(m)) OVER (PARTITION BY r ORDER BY i))::BIGINT AS e FROM ({each})"
+    return f"SELECT r, {order} AS ord, '{kind}' AS kind, m AS token, e - length(m) AS s, e FROM ({ended}) WHERE length(g) >= {least} AND {more}"
+
+
+def _sql_cdf(z: str) -> str:
+    return f"1.0::DOUBLE / (1.0::DOUBLE + exp(-(1.5976::DOUBLE * ({z}) + 0.07056::DOUBLE * pow(({z}), 3))))"
+
+
+def _either(word: str) -> str:
+    """The word in either case of its ASCII letters, for an engine whose folding goes beyond them."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = "(" + "|".join(map(_either, ("password", "passwd", "secret", "token", "api_?key"))) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_WHICH = " ".join(f"WHEN regexp_matches(token, '{e[1]}') THEN {i}" if e[1] else f"ELSE {i}" for i, e in enumerate(ENCODINGS))
+_FACTS = ", ".join(f"{{'k': {k}::DOUBLE, 'x': {x}::DOUBLE, 'a': '{a}', 'lower': {name in ('hex', 'base36')}}}" for name, _, a, k, x in ENCODINGS)
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({_sql_matches('assign', 0, _ASSIGN, 2, 12)} UNION ALL {_sql_matches('access', 1, 'AKIA[A-Z0-9]+', 0, 18)} UNION ALL {_sql_matches('hex', 2, '[0-9a-f]+', 0, 16)}),
+cand AS ({_sql_matches('random', 3, '[A-Za-z0-9+/_-]{20,}', 0, 20, "regexp_matches(m, '[A-Z0-9]')")}),
+enc AS (SELECT *, [{_FACTS}][(CASE {_WHICH} END) + 1] AS f FROM cand),
+sym AS (SELECT *, list_transform(string_split(CASE WHEN f.lower THEN lower(token) ELSE token END, ''), lambda c: (strpos(f.a, translate(c, '-_', '+/')) - 1)::DOUBLE) AS x, length(token)::DOUBLE AS n FROM enc),
+stat AS (SELECT *, list_sum(list_transform(list_distinct(x), lambda v: pow(len(list_filter(x, lambda y: y = v)), 2)))::DOUBLE AS squares, list_sum(x) / n AS mean,
+  len(list_filter(range(1, len(x)), lambda i: (x[i] >= f.k / 2) <> (x[i + 1] >= f.k / 2)))::DOUBLE AS changes, n * f.x AS far, f.k - 1 AS df FROM sym),
+more AS (SELECT *, (df + far) * (df + far) / (df + 2 * far) AS ff, list_sum(list_transform(range(1, len(x)), lambda i: (x[i] - mean) * (x[i + 1] - mean))) AS lagged, list_sum(list_transform(x, lambda v: (v - mean) * (v - mean))) AS variance, n - 1 AS m FROM stat),
+zs AS (SELECT *, (cbrt(greatest(squares * f.k / n - n, 0) / (df + far)) - (1 - 2 / (9 * ff))) / sqrt(2 / (9 * ff)) AS z1, (changes - 0.5::DOUBLE - m * {CHANGES}::DOUBLE) / sqrt(m * {CHANGES}::DOUBLE * (1 - {CHANGES}::DOUBLE)) AS z2,
+  (changes + 0.5::DOUBLE - m * (1 - {CHANGES}::DOUBLE)) / sqrt(m * {CHANGES}::DOUBLE * (1 - {CHANGES}::DOUBLE)) AS z3, (atanh({CORRELATION}::DOUBLE) - atanh(least(abs(lagged / greatest(variance, 1e-9) + 1 / n), 0.999::DOUBLE))) * sqrt(n - 3) AS z4 FROM more),
+ps AS (SELECT *, CASE WHEN regexp_matches(token, '^[0-9]+$') THEN 1.0 ELSE greatest({_sql_cdf('z1')}, greatest(1 - {_sql_cdf('z2')}, {_sql_cdf('z3')}), CASE WHEN variance <= 0 THEN 1.0 ELSE 1 - {_sql_cdf('z4')} END) END AS p FROM zs),
+qs AS (SELECT *, p * (sum(n) OVER (PARTITION BY r)) / ((count(*) OVER (PARTITION BY r)) * n) AS q, count(*) OVER (PARTITION BY r) AS c FROM ps),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY q, s) AS place FROM qs),
+kept AS (SELECT *, max(CASE WHEN q <= {FDR}::DOUBLE * place / c THEN q END) OVER (PARTITION BY r) AS last FROM ranked),
+rnd AS (SELECT r, ord, kind, s, e FROM kept WHERE q <= last),
+b AS (SELECT r, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex, string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, ord) AS base FROM base GROUP BY r),
+a AS (SELECT r, string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, ord) AS spans, count(*) FILTER (ord = 3) AS n_random FROM (SELECT r, ord, kind, s, e FROM base UNION ALL SELECT * FROM rnd) GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_random, 0) AS n_random
+FROM d LEFT JOIN b USING (r) LEFT JOIN a USING (r)
+"""

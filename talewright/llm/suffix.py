@@ -408,3 +408,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's row for each document, from repeated_spans(), whose cases hold."""
     return repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
+#: Every string of 200 bytes as 400 hexadecimal digits; for small tables.
+OP10_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, unnest(range(0, len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400),
+k AS (SELECT w.r, w.i, md5_number(h[2 * i + 1:2 * i + 400]) AS key FROM w JOIN d USING (r)),
+often AS (SELECT key FROM k GROUP BY key HAVING count(*) > 1),
+hit AS (SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 1 ELSE 0 END AS new FROM k SEMI JOIN often USING (key)),
+run AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM hit),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM run GROUP BY r, g),
+gap AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(h[2 * before + 1:2 * a], '' ORDER BY a) AS head, max(b) AS till FROM gap JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(CASE WHEN cut.r IS NULL THEN h ELSE head || h[2 * till + 1:] END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,18 @@ def test_repetition_is_cheap():
     assert len(tokenfile.pack_section(np.tile(np.arange(5), 4000))) < 20000 * 2 / 3
 
 
+def test_smaller_than_zlib(spark):
+    """Ids of real texts take less than a byte each, and less than zlib's strongest setting needs for them as they stand."""
+    texts = [r["text"] or "" for r in spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet").orderBy("doc_id").collect()]
+    ids, lengths = tokenfile.LibraryEncoder(open(bpe.vocabulary_path(), "rb").read()).encode(pa.array(texts))
+    content = tokenfile.pack_section(ids)
+    assert len(lengths) == len(texts) and lengths.sum() == len(ids)
+    assert len(content) < min(len(ids), len(zlib.compress(ids.tobytes(), 9)))
+    assert (tokenfile.unpack_section(content) == ids).all()
+    # blocks stand alone
+    assert (tokenfile.unpack_section(content, range(3, 5)) == ids[3 * tokenfile.BLOCK : 5 * tokenfile.BLOCK]).all()
+
+
 def test_token_files(spark, library):
     path = staging_path(spark, "tokens")
     texts = ODD + ["the same"] * 3

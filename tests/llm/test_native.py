@@ -3,11 +3,12 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from talewright.llm import decontaminate, licenses, registry, secrets, warc
+from talewright.llm import common, decontaminate, licenses, minhash, registry, secrets, toxicity, warc
 from talewright.llm.common import Workspace, staging_path
 
 from ..oracle import assert_same
@@ -235,3 +236,115 @@ def test_empty_archive(spark):
     none = staging_path(spark, "pages")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{none}/pages.parquet")
     assert warc.op9_warc(spark, none).count() == 0
+
+
+# ---------------------------------------------------------------- columns, sizes and paths
+
+CLASH = ["_text", "_spans", "_clean", "_digest", "_gone", "_base_spans", "_random_spans", "spans", "clean", "digest", "salt", "id", "n", "key", "w", "place", "start"]
+
+
+def clashing(spark, texts):
+    rows = [(i, t, len(t or ""), *(f"{c}{i}" for c in CLASH)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH))
+
+
+def test_callers_columns_keep_their_values(spark, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(14))
+    texts = ["password=abcdefghijkl", None, "", long, "a b c d e f", "a b c d e f", "clean words alone here now then", "x token: abcdefghijklmnopq y"]
+    docs = clashing(spark, texts)
+    benchmark = spark.createDataFrame([(1, long)], "item_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    for broadcast in (8 << 20, -1):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
+        results = {
+            "secrets": (secrets.redact_secrets(docs), range(8)), "leaks": (decontaminate.remove_contaminated(docs, benchmark), [0, 1, 2, 4, 5, 6, 7]),
+            "near": (minhash.drop_near_duplicates(docs), [0, 1, 2, 3, 4, 6, 7]), "toxic": (toxicity.drop_toxic(docs, model), range(8)),
+        }
+        for name, (out, ids) in results.items():
+            got = {r["doc_id"]: r for r in out.collect()}
+            assert out.columns == docs.columns and sorted(got) == list(ids), name
+            for i, r in got.items():
+                assert all(r[c] == f"{c}{i}" for c in CLASH), name
+        redacted = {r["doc_id"]: (r["text"], r["n_chars"]) for r in results["secrets"][0].collect()}
+        assert redacted[0] == ("[SECRET]", 8) and redacted[1] == (None, 0) and redacted[6] == (texts[6], len(texts[6])) and redacted[7] == ("x [SECRET] y", 12)
+
+
+def test_shuffled_leaks(spark, tmp_path):
+    """The same result where no side is small enough to be broadcast, with a text of 20,000 words and a hot one."""
+    rng = random.Random(30)
+    long = " ".join(f"w{i}" for i in range(30))
+    items = [(1, long), (2, "solo"), (3, "the the the the the the the the the the the the"), (4, None), (5, " ".join(f"x{i % 3}" for i in range(25)))]
+    texts = [None, "", " ".join(rng.choice(["the", "of", "x1", "x2", "solo"]) for _ in range(20_000)) + " " + long, "the " * 3000, " ".join(f"x{i % 3}" for i in range(500)), long[8:60], *["of the " + long] * 40]
+    docs, benchmark = frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    want = leaks_of(texts, items)
+    for limit in (8 << 20, -1):
+        rows, leaks = decontaminate.find_leaks(docs, benchmark, with_spans=True, limit=limit)
+        got = {r["doc_id"]: r for r in rows.join(leaks, "digest", "left").collect()}
+        assert [(got[i]["n_words"], got[i]["n_hit"] or 0, len(got[i]["items"] or [])) for i in range(len(texts))] == [w[:3] for w in want]
+        for r in got.values():
+            assert len({p for s in r["spans"] or [] for p in range(s["start"], s["end"])}) == (r["n_hit"] or 0)
+
+
+def test_very_many_secrets(spark):
+    n = 100_000
+    docs = spark.createDataFrame([(1, "deadbeefdeadbeef " * n), (2, "token=aaaaaaaaaaaa," * 5000)], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r["doc_id"]: r for r in secrets.find_secrets(docs).select("doc_id", F.size("base_spans").alias("n"), F.get("base_spans", F.lit(n - 1)).alias("last")).collect()}
+    assert got[1]["n"] == n and got[1]["last"]["end"] == 17 * n - 1 and got[2]["n"] == 5000
+    text = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(docs).collect()}
+    assert text[1] == "[SECRET] " * n and text[2] == "[SECRET]," * 5000
+    assert time.monotonic() - began < 60
+
+
+def test_redaction_of_overlaps(spark):
+    """Every way in which spans may lie, against plain Python, over pieces of a few code points."""
+    rng = random.Random(31)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choices("ab é😀\n", k=rng.randrange(60)))
+        spans = sorted((a, a + rng.randint(1, 9)) for a in (rng.randrange(max(len(text), 1)) for _ in range(rng.randrange(6))))
+        rows.append((i, text, [(a, 0, min(b, len(text)), "k") for a, b in spans if a < len(text)]))
+    df = spark.createDataFrame(rows, f"i int, text string, spans {secrets.SPAN}")
+    for piece in (1024, 4):
+        secrets.PIECE, before = piece, secrets.PIECE
+        got = {r["i"]: r["out"] for r in df.select("i", secrets.redact(F.col("text"), F.col("spans")).alias("out")).collect()}
+        secrets.PIECE = before
+        for i, text, spans in rows:
+            merged = []
+            for a, _, b, _ in spans:
+                if merged and a <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], b)
+                else:
+                    merged.append([a, b])
+            want, at = "", 0
+            for a, b in merged:
+                want, at = want + text[at:a] + "[SECRET]", b
+            assert got[i] == want + text[at:]
+
+
+def test_battery_precision_and_recall(spark):
+    """Random keys of 32 characters and more are found, structured strings are left alone."""
+    rng = random.Random(32)
+    letters = {e[0]: e[2] for e in secrets.ENCODINGS}
+    words = "time year people way day man thing woman life child world school state family student group country problem hand part place case week company system program question".split()
+    keys = ["".join(rng.choice(a.upper() if name == "hex" else a) for _ in range(n)) for name, a in letters.items() for n in (32, 40, 64) for _ in range(60)]
+
+    def joined(sep, form):
+        return sep.join(form(rng.choice(words)) for _ in range(rng.randint(4, 7))) + str(rng.randrange(10, 99))
+
+    plain = [joined(*rng.choice([("-", str), ("_", str.upper), ("", str.capitalize), ("/", str)])) for _ in range(400)]
+    plain += ["".join(rng.choices("0123456789", k=rng.randint(20, 50))) for _ in range(100)] + ["12345678901234567890", "a1" * 20, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    plain += ["%08x-%04x-%04x-%04x-%012X" % tuple(rng.getrandbits(b) for b in (32, 16, 16, 16, 48)) for _ in range(100)]
+    df = spark.createDataFrame([(t, t in keys) for t in keys + plain], "text string, secret boolean")
+    found = {(r["secret"], r["hit"]): r["n"] for r in df.select("secret", (F.size(secrets.random_spans(F.col("text"))) > 0).alias("hit")).groupBy("secret", "hit").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found[True, True] >= 0.92 * len(keys)
+    assert found.get((False, True), 0) <= 0.02 * len(plain)
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_empty_tables(spark, tmp_path, name):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert registry.queries()[name](spark, str(tmp_path)).count() == 0
