@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, kept_by_worker, maybe_broadcast, shuffle_partitions, staged, table, text_or_empty
+from .common import Workspace, join_hot, kept_by_worker, maybe_broadcast, shuffle_partitions, staged, table, text_or_empty
 from .components import components
 
 #: Bands of minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40 = 1e-7.
@@ -318,7 +318,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = stars.join(sketch, "c").join(sketch.select(F.col("c").alias("rep"), F.col("odd").alias("odd2"), F.col("n").alias("n2")), "rep")
     differing = F.aggregate(F.zip_with("odd", "odd2", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
     close = work.staged(both.where((differing <= SKETCH_LIMIT) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))).select("c", "rep"), "close")
-    close = close.join(close.groupBy("rep").agg(F.count(F.lit(1)).alias("m")), "rep")
+    close = join_hot(close, work.staged(close.groupBy("rep").agg(F.count(F.lit(1)).alias("m")), "sizes"), "rep", "c")
     links = work.staged(_verify_stars(close, base, reps, width, percent, work), "links")
     first = work.staged(components(links, work).select(F.col("node").alias("c"), "root"), "first")
     members = inside.join(maybe_broadcast(first), "c", "left").select("key", "c", F.coalesce("root", "c").alias("root"), (F.col("c") == F.col("rep")).alias("first"))
