@@ -24,7 +24,7 @@ from .common import Workspace, shuffle_partitions, table, text_or_empty
 #: Bytes of a string that counts as repeated, and bytes of an anchor.
 WINDOW, K = 200, 32
 #: Segments of a shard, and keys of a merge.
-SHARD, MERGE = 4096, 200_000
+SHARD, MERGE = 4096, 20_000
 #: Bytes of text that are hashed at once.
 AT_ONCE = 1 << 20
 _POSITION_BITS = 24
