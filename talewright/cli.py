@@ -1,4 +1,4 @@
-"""Command line: python -m talewright.cli benchmark | prepare | validate | normalize | hardware."""
+"""Command line: python -m talewright.cli benchmark | prepare | validate | normalize | hardware | service."""
 
 from __future__ import annotations
 
@@ -58,10 +58,10 @@ def benchmark(spark: SparkSession, a: argparse.Namespace) -> int:
         files = readers.read_audio(spark, root).withColumn("audio", F.regexp_replace("path", "^.*?" + str(Path(root).resolve()) + "/", ""))
         entries = rows.join(files.select("audio", "content"), "audio", "left")
     began = sinks.now_utc()
-    done = inference.transcribe(entries.select("audio", "text", "language", "speaker_id", "domain", "duration_sec", "content"), inference.model_from_config(model), warmup=int(settings.get("warmup", 0))).persist()
+    done = inference.transcribe(entries.select("audio", "text", "language", "speaker_id", "domain", "duration_sec", "content"), model, warmup=int(settings.get("warmup", 0))).persist()
     records, scores, events = score(done.where("ok"), terms, confusions, spark.createDataFrame([(t,) for t in critical], "term string"))
     errors = done.where("NOT ok").select("audio", "reason", "speaker_id")
-    found = summary.summary(records, scores, events, errors, str(model.get("model_id", "deterministic-stub")))
+    found = summary.summary(records, scores, events, errors, str(inference.plan(model)["model_id"]))
     shown = records.select("speaker_id", "domain", "audio", "duration_sec", "latency_ms", "real_time_factor", F.col("text").alias("reference"), "hypothesis", "wer", "cer", "exact_match")
     paths = sinks.write_report(found, shown, errors, settings.get("output_dir", "reports"), {"started_at": began, "finished_at": sinks.now_utc(), "smoke": a.smoke})
     print("\n".join(paths))
@@ -126,8 +126,20 @@ def normalize(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def hardware(spark: SparkSession, a: argparse.Namespace) -> int:
-    found = json.dumps(sinks.environment(spark).first().asDict(), indent=2)
-    Path(a.out).write_text(found, encoding="utf-8") if a.out else print(found)
+    if a.out:
+        sinks.write_environment(spark, a.out)
+    else:
+        print(json.dumps(sinks.environment(spark).first().asDict(recursive=True), indent=2))
+    return 0
+
+
+def service(spark: SparkSession, a: argparse.Namespace) -> int:
+    from .service import serve
+
+    with serve(spark, readers.load_yaml(a.config, required=False) if a.config else {}, a.port) as server:
+        print(f"listening on port {server.server_port}", flush=True)
+        if not a.check:
+            server.serve_forever()
     return 0
 
 
@@ -151,12 +163,16 @@ def parser() -> argparse.ArgumentParser:
     n.add_argument("--out-dir", required=True)
     n.add_argument("--dry-run", action="store_true")
     sub.add_parser("hardware").add_argument("--out")
+    v = sub.add_parser("service")
+    v.add_argument("--config")
+    v.add_argument("--port", type=int, default=8000)
+    v.add_argument("--check", action="store_true", help="bind the port and leave")
     return p
 
 
 def main(args: list[str] | None = None) -> int:
     a = parser().parse_args(args)
-    return {"benchmark": benchmark, "prepare": prepare, "validate": validate, "normalize": normalize, "hardware": hardware}[a.command](session(), a)
+    return {"benchmark": benchmark, "prepare": prepare, "validate": validate, "normalize": normalize, "hardware": hardware, "service": service}[a.command](session(), a)
 
 
 if __name__ == "__main__":

@@ -1,17 +1,20 @@
 """Edit distances and alignments of token arrays.
 
 Totals are native: the distinct tokens of a pair become single characters and the built-in distance counts them.
-Alignments with their operations run in an Arrow UDF.
+Alignments with their operations run in an Arrow UDF, which takes pairs of like size together, diagonal by diagonal.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .types import array, struct
+from .types import array, of, struct
 
+#: Cells of the tables of pairs that are aligned together, and such pairs at most.
+CELLS, TOGETHER = 1 << 22, 4096
 #: Distinct tokens of a pair up to which the native distance is used.
 ALPHABET = 2048
 ALIGNMENT = struct(substitutions="int", deletions="int", insertions="int", ref_len="int", hyp_len="int", pairs=array(struct(ref="string", hyp="string")))
@@ -42,50 +45,120 @@ def rate(errors: Column, length: Column) -> Column:
     return errors / F.greatest(length, F.lit(1))
 
 
-def align_tokens(ref: list[str], hyp: list[str]) -> tuple[int, int, int, list[tuple[str, str]]]:
-    """(substitutions, deletions, insertions, substituted pairs) of a least-cost alignment.
+def _diagonals(ref: np.ndarray, hyp: np.ndarray) -> list[np.ndarray]:
+    """Operation of every cell for rows of token numbers, by diagonal i + j, two bits each: 0 deletion, 1 insertion,
+    2 substitution, 3 match.
 
     Equal tokens are matched; among equally cheap operations a deletion goes before an insertion and that before a
     substitution. Each cell is one number, cost * 4 + operation, so that the least number decides both.
     """
-    width = len(hyp) + 1
-    row = [j * 4 + 1 for j in range(width)]
-    rows = [row]
-    for i, r in enumerate(ref, 1):
-        above, row = row, [i * 4]
-        for j in range(1, width):
-            diagonal = above[j - 1] | 3
-            if r == hyp[j - 1]:
-                row.append(diagonal)
-            else:
-                row.append(min((above[j] | 3) + 1, (row[j - 1] | 3) + 2, diagonal + 3))
-        rows.append(row)
-    counts, pairs = [0, 0, 0], []
-    i, j = len(ref), len(hyp)
-    while i or j:
-        operation = rows[i][j] & 3 if i and j else (0 if i else 1)
-        if operation == 2:
-            pairs.append((ref[i - 1], hyp[j - 1]))
-        if operation < 3:
-            counts[operation] += 1
-        i, j = i - (operation != 1), j - (operation != 0)
-    deletions, insertions, substitutions = counts
-    return substitutions, deletions, insertions, pairs[::-1]
+    rows, n = ref.shape
+    m = hyp.shape[1]
+    back = hyp[:, ::-1]
+    out = []
+    before, last = np.zeros((rows, n + 1), np.int32), np.zeros((rows, n + 1), np.int32)
+    for d in range(n + m + 1):
+        low, high = max(0, d - m), min(n, d)
+        now = np.empty((rows, n + 1), np.int32)
+        if low == 0:
+            now[:, 0] = 4 * d + 1
+        if high == d:
+            now[:, d] = 4 * d
+        a, b = max(low, 1), min(high, d - 1) + 1  # cells with a reference and a hypothesis token
+        if a < b:
+            corner = before[:, a - 1 : b - 1] | 3
+            best = np.minimum(np.minimum((last[:, a - 1 : b - 1] | 3) + 1, (last[:, a:b] | 3) + 2), corner + 3)
+            now[:, a:b] = np.where(ref[:, a - 1 : b - 1] == back[:, m - d + a : m - d + b], corner, best)
+        own = np.zeros((rows, -(-(high - low + 1) // 4) * 4), np.uint8)
+        own[:, : high - low + 1] = now[:, low : high + 1] & 3
+        out.append(own[:, ::4] | own[:, 1::4] << 2 | own[:, 2::4] << 4 | own[:, 3::4] << 6)
+        before, last = last, now
+    return out
+
+
+def _trace(ref: np.ndarray, hyp: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(counts of the four operations of each row, (row, i, j) of the substitutions from the end to the begin)."""
+    found, width = _diagonals(ref, hyp), hyp.shape[1]
+    i, j = n.copy(), m.copy()
+    counts, changed = np.zeros((len(n), 4), np.int64), []
+    for d in range(len(found) - 1, 0, -1):
+        row = np.flatnonzero(i + j == d)
+        if not len(row):
+            continue
+        at = i[row] - max(0, d - width)
+        operation = found[d][row, at >> 2] >> (2 * (at & 3)).astype(np.uint8) & 3
+        np.add.at(counts, (row, operation), 1)
+        if len(own := row[operation == 2]):
+            changed.append(np.stack([own, i[own] - 1, j[own] - 1]))
+        i[row] -= operation != 1
+        j[row] -= operation != 0
+        found[d] = found[0]  # nothing reads it again
+    return counts, changed
+
+
+def align_pairs(refs: list[list[str]], hyps: list[list[str]]) -> list[tuple[int, int, int, list[tuple[str, str]]]]:
+    """(substitutions, deletions, insertions, substituted pairs) of a least-cost alignment of each pair. Memory for a pair is
+    a quarter of a byte for each cell of its table."""
+    number: dict[str, int] = {}
+    coded = [[np.fromiter((number.setdefault(t, len(number)) for t in s), np.int32, len(s)) for s in side] for side in (refs, hyps)]
+    sizes = np.array([[len(r), len(h)] for r, h in zip(refs, hyps)]).reshape(-1, 2)
+    out: list = [None] * len(refs)
+    order = np.lexsort((sizes[:, 1], sizes[:, 0]))
+    at = 0
+    while at < len(order):
+        stop, most = at + 1, sizes[order[at]].copy()
+        while stop < len(order) and stop - at < TOGETHER:
+            grown = np.maximum(most, sizes[order[stop]])
+            if (stop + 1 - at) * int((grown + 1).prod()) > CELLS:
+                break
+            most, stop = grown, stop + 1
+        own = order[at:stop]
+        tables = []
+        for side, length in zip(coded, most.tolist()):
+            table = np.full((len(own), length), -1 - len(tables), np.int32)  # what fills up is equal to nothing
+            for k, i in enumerate(own):
+                table[k, : len(side[i])] = side[i]
+            tables.append(table)
+        counts, changed = _trace(*tables, sizes[own, 0], sizes[own, 1])
+        pairs: list[list[tuple[str, str]]] = [[] for _ in own]
+        for step in reversed(changed):
+            for k, i, j in zip(*step.tolist()):
+                pairs[k].append((refs[own[k]][i], hyps[own[k]][j]))
+        for k, i in enumerate(own.tolist()):
+            out[i] = (int(counts[k, 2]), int(counts[k, 0]), int(counts[k, 1]), pairs[k])
+        at = stop
+    return out
+
+
+def align_tokens(ref: list[str], hyp: list[str]) -> tuple[int, int, int, list[tuple[str, str]]]:
+    """align_pairs() of one pair."""
+    return align_pairs([ref], [hyp])[0]
+
+
+def _lists(tokens: pd.Series) -> list[list[str]]:
+    return [list(t) if t is not None else [] for t in tokens]
 
 
 @F.pandas_udf(ALIGNMENT)
 def align(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
-    rows = []
-    for r, h in zip(ref, hyp):
-        r, h = list(r if r is not None else ()), list(h if h is not None else ())
-        s, d, i, pairs = align_tokens(r, h)
-        rows.append((s, d, i, len(r), len(h), [{"ref": a, "hyp": b} for a, b in pairs]))
+    """The alignment of each pair; a null side counts as empty."""
+    refs, hyps = _lists(ref), _lists(hyp)
+    rows = [(s, d, i, len(r), len(h), [{"ref": a, "hyp": b} for a, b in pairs]) for (s, d, i, pairs), r, h in zip(align_pairs(refs, hyps), refs, hyps)]
     return pd.DataFrame(rows, columns=["substitutions", "deletions", "insertions", "ref_len", "hyp_len", "pairs"])
 
 
+@F.pandas_udf(of("int"))
+def _wide_errors(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+    """Errors of the pairs that are not null."""
+    there = [i for i, (r, h) in enumerate(zip(ref, hyp)) if r is not None and h is not None]
+    found = align_pairs(_lists(ref.iloc[there]), _lists(hyp.iloc[there]))
+    out = pd.Series([None] * len(ref), dtype="Int32")
+    out.iloc[there] = [s + d + i for s, d, i, _ in found]
+    return out
+
+
 def with_errors(df: DataFrame, ref: str, hyp: str, out: str = "word_errors") -> DataFrame:
-    """df with the word errors of two token columns, natively where it can be, else from alignments."""
-    native = df.withColumn(out, word_errors(F.col(ref), F.col(hyp)))
-    small = F.size(F.array_distinct(F.concat(ref, hyp))) <= ALPHABET
-    wide = df.where(~small).withColumn("_a", align(ref, hyp)).withColumn(out, F.col("_a.substitutions") + F.col("_a.deletions") + F.col("_a.insertions")).drop("_a")
-    return native.where(small).unionByName(wide)
+    """df with the word errors of two token columns, natively where it can be, else from alignments, in one pass. Every row
+    stays; a null side gives null."""
+    wide = F.size(F.array_distinct(F.concat(ref, hyp))) > ALPHABET
+    return df.withColumn(out, F.coalesce(word_errors(F.col(ref), F.col(hyp)), _wide_errors(F.when(wide, F.col(ref)), F.when(wide, F.col(hyp)))))

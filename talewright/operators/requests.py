@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,19 +22,23 @@ def limits(settings: dict) -> dict:
     }
 
 
-def answer(requests: DataFrame, factory: Callable[[], inference.SpeechModel], settings: dict) -> DataFrame:
+def answer(requests: DataFrame, model: Mapping, settings: dict) -> DataFrame:
     """`requests` (filename, content_type, language, content) with status, code, text, language, duration_ms, model and the
-    JSON body of the response. Contents over the size limit are not decoded; only accepted rows reach the model."""
+    JSON body of the response. Contents over the size limit are not decoded; only accepted rows reach the model. Recordings
+    stay in memory: no temporary file is left behind, whatever fails."""
     rule = limits(settings)
-    df = requests.withColumn("language", F.coalesce(F.nullif("language", F.lit("")), F.lit("id"))).withColumn("size", F.coalesce(F.octet_length("content"), F.lit(0)))
+    df = requests.withColumn("size", F.coalesce(F.octet_length("content"), F.lit(0)))
     df = df.withColumn("info", audio_info(F.when(F.col("size") <= rule["max_bytes"], F.col("content"))))
     status = request_status(F.col("filename"), F.col("content_type"), F.col("size"), F.col("info.duration_sec"), F.col("info.error").isNull(), **rule)
-    df = df.withColumn("s", status).select("*", "s.status", "s.code").drop("s", "info", "size")
-    good, bad = df.where("status = 200"), df.where("status <> 200")
-    done = inference.transcribe(good, factory)
-    ok = done.select("filename", "content_type", F.when(F.col("ok"), 200).otherwise(500).alias("status"), F.when(F.col("ok"), "ok").otherwise("transcription_failed").alias("code"), F.col("hypothesis").alias("text"), F.col("hyp_language").alias("language"), F.col("model_ms").alias("duration_ms"), F.col("model_id").alias("model"))
-    rest = bad.select("filename", "content_type", "status", "code", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("language"), F.lit(None).cast("long").alias("duration_ms"), F.lit(None).cast("string").alias("model"))
-    out = ok.unionByName(rest)
+    df = df.withColumn("s", status).select("filename", "content_type", "language", "content", "s.status", "s.code")
+    # what is refused goes by with nothing to hear
+    heard = inference.transcribe(df.withColumn("content", F.when(F.col("status") == 200, F.col("content"))), model)
+    refused, good = F.col("status") != 200, F.col("ok")
+    out = heard.select(
+        "filename", "content_type", F.when(refused | good, F.col("status")).otherwise(500).alias("status"),
+        F.when(refused | good, F.col("code")).otherwise("transcription_failed").alias("code"), F.col("hypothesis").alias("text"),
+        F.col("hyp_language").alias("language"), F.col("model_ms").alias("duration_ms"), F.col("model_id").alias("model"),
+    )
     body = F.when(F.col("status") == 200, F.to_json(F.struct("text", "language", F.col("duration_ms").alias("durationMs"), "model"))).otherwise(F.to_json(F.struct(F.struct("code", F.col("code").alias("message")).alias("error"))))
     return out.withColumn("body", body)
 
@@ -48,18 +52,22 @@ def health(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("ok",)], "status string")
 
 
-def ready(spark: SparkSession, factory: Callable[[], inference.SpeechModel]) -> DataFrame:
-    """One row: whether the model can be loaded, and why not. Each call tries again."""
+def readiness(model: Mapping) -> tuple[bool, str | None, str | None]:
+    """(ready, model, reason): whether the plan's engine loads. Each call tries again."""
     try:
-        model = factory()
-        if hasattr(model, "load"):
-            model.load()
-        return spark.createDataFrame([(True, model.model_id, None)], "ready boolean, model string, reason string")
+        known = inference.plan(model)
+        inference.opened(known)[0]()
+        return True, known["model_id"], None
     except Exception as exc:
-        return spark.createDataFrame([(False, None, str(exc))], "ready boolean, model string, reason string")
+        return False, None, str(exc)
 
 
-def model_info(spark: SparkSession, config: dict) -> DataFrame:
-    device = inference.resolve_device(str(config.get("device", "auto")))
-    row = (str(config.get("model_id", "small")), str(config.get("adapter", "faster_whisper")), device, inference.resolve_compute_type(str(config.get("compute_type", "auto")), device), str(config.get("default_language", "id")))
-    return spark.createDataFrame([row], "model_id string, adapter string, device string, compute_type string, default_language string")
+def ready(spark: SparkSession, model: Mapping) -> DataFrame:
+    return spark.createDataFrame([readiness(model)], "ready boolean, model string, reason string")
+
+
+def model_info(spark: SparkSession, model: Mapping) -> DataFrame:
+    """What is asked for, as it stands in the settings; "auto" is settled where the model is opened."""
+    fields = ("model_id", "adapter", "device", "compute_type", "default_language")
+    known = inference.plan(model)
+    return spark.createDataFrame([tuple(str(known[f]) for f in fields)], ", ".join(f"{f} string" for f in fields))

@@ -21,33 +21,35 @@ SPEAKER = r"^spk_[0-9A-Za-z_-]+$"
 MAX_SECONDS = 600
 
 
-def _field(line: Column, name: str) -> Column:
-    return F.get_json_object(line, f"$.{name}")
-
-
-def _kind(variant: Column, name: str) -> Column:
-    """Type name of a field as it stands in the JSON text: STRING, BOOLEAN, BIGINT, DECIMAL, DOUBLE, VOID, ..."""
-    return F.schema_of_variant(F.try_variant_get(variant, f"$.{name}", "variant"))
-
-
-def failures(line: Column, variant: Column) -> list[tuple[str, Column]]:
-    """(code, condition) of every rule, in the order in which the first failure counts."""
-    is_object = F.startswith(F.schema_of_variant(variant), F.lit("OBJECT"))
-    keys = F.json_object_keys(line)
-    text_like = lambda name: (_kind(variant, name) == "STRING") & (F.regexp_replace(_field(line, name), r"(?U)\s+", "") != "")
-    number = F.regexp_like(_kind(variant, "duration_sec"), F.lit("^(DECIMAL.*|BIGINT|DOUBLE|FLOAT)$"))
-    seconds = _field(line, "duration_sec").try_cast("double")
-    member = lambda name, values: (_kind(variant, name) == "STRING") & _field(line, name).isin(*values)
-    ext = extension(_field(line, "audio"))
-    rules = [("not_an_object", is_object)]
-    rules += [(f"missing_{name}", F.array_contains(keys, name)) for name in REQUIRED]
+def _parsed(line: Column) -> Column:
+    """What a line holds, parsed once: its type, and type and text of each field of the contract; a field that is missing has
+    no type."""
+    whole = F.try_parse_json(line)
+
+    def field(v: Column, name: str) -> Column:
+        own = F.try_variant_get(v, f"$.{name}", "variant")
+        return F.struct(F.schema_of_variant(own).alias("kind"), F.try_variant_get(v, f"$.{name}", "string").alias("text"))
+
+    facts = lambda v: F.struct(F.schema_of_variant(v).alias("kind"), *(field(v, n).alias(n) for n in (*REQUIRED, *OPTIONAL)))
+    return F.element_at(F.transform(F.array(whole), facts), 1)
+
+
+def failures(p: Column) -> list[tuple[str, Column]]:
+    """(code, condition) of every rule on a parsed line, in the order in which the first failure counts."""
+    string = lambda name: p[name]["kind"] == "STRING"
+    text_like = lambda name: string(name) & p[name]["text"].rlike(r"(?U)\S")
+    member = lambda name, values: string(name) & p[name]["text"].isin(*values)
+    seconds = p["duration_sec"]["text"].try_cast("double")
+    ext = extension(p["audio"]["text"])
+    rules = [("not_an_object", F.startswith(p["kind"], F.lit("OBJECT")))]
+    rules += [(f"missing_{name}", p[name]["kind"].isNotNull()) for name in REQUIRED]
     rules += [
         ("blank_audio", text_like("audio")),
         ("audio_extension", (ext == "") | ext.isin(*EXTENSIONS)),
         ("blank_text", text_like("text")),
         ("language", member("language", LANGUAGES)),
-        ("speaker_id", (_kind(variant, "speaker_id") == "STRING") & _field(line, "speaker_id").rlike(SPEAKER)),
-        ("duration_type", number),
+        ("speaker_id", string("speaker_id") & p["speaker_id"]["text"].rlike(SPEAKER)),
+        ("duration_type", F.regexp_like(p["duration_sec"]["kind"], F.lit("^(DECIMAL.*|BIGINT|DOUBLE|FLOAT)$"))),
         ("duration_range", (seconds > 0) & (seconds <= MAX_SECONDS)),
         ("domain", member("domain", DOMAINS)),
         ("source", member("source", SOURCES)),
@@ -60,15 +62,14 @@ def validate(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
     Lines that are not JSON have the error bad_json. Unknown keys are dropped. A NaN duration is rejected.
     """
-    variant = F.try_parse_json(line_col)
-    line = F.col(line_col)
-    df = lines.withColumn("_variant", variant)
-    found = [("bad_json", F.col("_variant").isNull()), *failures(line, F.col("_variant"))]
+    df = lines.withColumn("_parsed", _parsed(F.col(line_col)))
+    p = F.col("_parsed")
+    found = [("bad_json", p["kind"].isNull()), *failures(p)]
     df = df.withColumn("errors", F.array_compact(F.array(*(F.when(bad, F.lit(code)) for code, bad in found))))
     df = df.withColumn("error", F.when(F.size("errors") > 0, F.get("errors", F.lit(0))))
     df = df.withColumn("errors", F.when(F.col("error").isin("bad_json", "not_an_object"), F.slice("errors", 1, 1)).otherwise(F.col("errors")))
     good = F.col("error").isNull()
-    fields = [F.when(good, _field(line, n).cast("double") if n == "duration_sec" else _field(line, n)).alias(n) for n in (*REQUIRED, *OPTIONAL)]
+    fields = [F.when(good, p[n]["text"].try_cast("double") if n == "duration_sec" else p[n]["text"]).alias(n) for n in (*REQUIRED, *OPTIONAL)]
     return df.select(*lines.columns, *fields, "error", "errors")
 
 

@@ -1,7 +1,7 @@
 """Term analytics: occurrences of terms, scores by category, confusions and lost terms.
 
 Terms are one to a few words. Token arrays are turned into n-grams of the lengths that occur among the terms and
-joined by equality; a term list is broadcast only when it is small.
+joined by equality. A term list is written once, so that whatever made it runs once, and broadcast if its bytes allow.
 """
 
 from __future__ import annotations
@@ -9,13 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a term list is broadcast.
-SMALL = 100_000
-CATEGORIES = ("entity", "financial", "currency", "amount", "date")
-
+from ..storage import small, staged
 
-def small(df: DataFrame, limit: int = SMALL) -> DataFrame:
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+CATEGORIES = ("entity", "financial", "currency", "amount", "date")
 
 
 def term_words(term: Column) -> Column:
@@ -46,13 +42,15 @@ def term_counts(pairs: DataFrame, terms: DataFrame, key: list[str], ref: str = "
 
     terms: category, term; a term that a category lists twice counts twice.
     """
-    listed = terms.select("category", "term", F.array_join(term_words(F.col("term")), " ").alias("gram"), F.size(term_words(F.col("term"))).alias("k")).where("k > 0")
+    words = term_words(F.col("term"))
+    listed = staged(terms.select("category", "term", F.array_join(words, " ").alias("gram"), F.size(words).alias("k")).where("k > 0"), "terms")
     lengths = sorted(r[0] for r in listed.select("k").distinct().collect())  # a few word counts
-    sides = [pairs.select(*key, F.explode(ngrams(F.col(c), lengths)).alias("gram"), F.lit(int(c == ref)).alias("e")) for c in (ref, hyp)]
-    grams = sides[0].unionByName(sides[1])
-    # only grams that are terms are counted
-    counted = grams.join(small(listed.select("gram").distinct()), "gram", "left_semi").groupBy(*key, "gram").agg(F.sum("e").alias("expected"), F.sum(1 - F.col("e")).alias("predicted"))
-    return counted.join(small(listed.select("category", "term", "gram")), "gram").select(*key, "category", "term", "expected", "predicted")
+    # one row for each gram that is a term, with all that it stands for
+    known = small(staged(listed.groupBy("gram").agg(F.collect_list(F.struct("category", "term")).alias("of")), "grams"))
+    side = lambda c, sign: F.transform(ngrams(F.col(c), lengths), lambda g: F.struct(g.alias("gram"), F.lit(sign).alias("e")))
+    grams = pairs.select(*key, F.explode(F.concat(side(ref, 1), side(hyp, 0))).alias("g")).select(*key, "g.gram", "g.e")
+    counted = grams.join(known, "gram").groupBy(*key, "gram").agg(F.sum("e").cast("long").alias("expected"), F.sum(1 - F.col("e")).cast("long").alias("predicted"), F.first("of").alias("of"))
+    return counted.select(*key, F.explode("of").alias("t"), "expected", "predicted").select(*key, "t.category", "t.term", "expected", "predicted")
 
 
 def score_terms(counts: DataFrame, key: list[str]) -> DataFrame:
@@ -65,7 +63,7 @@ def score_terms(counts: DataFrame, key: list[str]) -> DataFrame:
 def critical_substitutions(aligned: DataFrame, confusions: DataFrame, key: list[str]) -> DataFrame:
     """(key, reference_term, hypothesis_term) of substituted pairs that the confusion list forbids; one row each."""
     pairs = aligned.select(*key, F.explode("alignment.pairs").alias("p")).select(*key, F.col("p.ref").alias("reference_term"), F.col("p.hyp").alias("hypothesis_term"))
-    listed = confusions.select(F.col("reference").alias("reference_term"), F.col("forbidden").alias("hypothesis_term")).distinct()
+    listed = staged(confusions.select(F.col("reference").alias("reference_term"), F.col("forbidden").alias("hypothesis_term")).distinct(), "confusions")
     return pairs.join(small(listed), ["reference_term", "hypothesis_term"]).select(*key, "reference_term", "hypothesis_term")
 
 
@@ -77,6 +75,7 @@ def critical_deletions(counts: DataFrame, key: list[str]) -> DataFrame:
 
 def critical_events(pairs: DataFrame, confusions: DataFrame, key: list[str], extra_terms: DataFrame | None = None) -> DataFrame:
     """Forbidden substitutions, then lost critical terms. pairs: ref_tokens, hyp_tokens, alignment."""
+    confusions = staged(confusions, "confusions")
     critical = confusions.select(F.col("reference").alias("term"))
     if extra_terms is not None:
         critical = critical.unionByName(extra_terms.select(F.lower("term").alias("term")))

@@ -499,7 +499,7 @@ def ud6(spark, sf):
     """Smoke clips and one missing file through the stand-in model."""
     clips = readers.smoke_entries(spark, 3)
     entries = clips.unionByName(clips.limit(1).withColumn("audio", F.lit("missing.wav")).withColumn("content", F.lit(None).cast("binary")))
-    done = inference.transcribe(entries.select("audio", "speaker_id", "language", "duration_sec", "text", "content"), lambda: inference.FixedModel("placeholder"), warmup=1)
+    done = inference.transcribe(entries.select("audio", "speaker_id", "language", "duration_sec", "text", "content"), {"adapter": "deterministic", "text": "placeholder"}, warmup=1)
     return done.select("audio", "ok", "reason", "hypothesis", "model_id", summary.spoken_seconds(F.col("model_ms"), F.col("duration_sec")).alias("seconds"))
 
 
@@ -507,7 +507,7 @@ def ud6(spark, sf):
 def sv4(spark, sf):
     clips = readers.smoke_entries(spark, 3).select(F.col("audio").alias("filename"), F.lit("audio/wav").alias("content_type"), F.lit("id").alias("language"), "content")
     broken = clips.limit(1).withColumn("filename", F.lit("broken.wav")).withColumn("content", F.lit(b"no audio"))
-    return requests.answer(clips.unionByName(broken), lambda: inference.FixedModel("placeholder"), {}).drop("body")
+    return requests.answer(clips.unionByName(broken), {"adapter": "deterministic", "text": "placeholder"}, {}).drop("body")
 
 
 @query("snk3_report")
@@ -654,7 +654,7 @@ def au5(spark, sf):
 
 @query("ud2_stand_in")
 def ud2(spark, sf):
-    done = inference.transcribe(_clips(spark, sf).withColumn("language", F.lit("id")), lambda: inference.FixedModel("x"))
+    done = inference.transcribe(_clips(spark, sf).withColumn("language", F.lit("id")), {"adapter": "deterministic", "text": "x"})
     return done.select("vec_id", "ok", "hypothesis", "model_ms", "model_id")
 
 
@@ -672,7 +672,7 @@ def sv1(spark, sf):
 
 @query("sv2_ready", "SELECT true AS ready, 'deterministic-stub' AS model, NULL::VARCHAR AS reason")
 def sv2(spark, sf):
-    return requests.ready(spark, inference.FixedModel)
+    return requests.ready(spark, {"adapter": "deterministic"})
 
 
 @query("sv3_model_info", "SELECT 'base' AS model_id, 'deterministic' AS adapter, 'cpu' AS device, 'int8' AS compute_type, 'id' AS default_language")

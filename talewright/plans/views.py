@@ -9,7 +9,7 @@ from ..functions import align, text
 from ..operators import summary
 from ..operators.rules import DOMAINS
 from ..operators.terms import CATEGORIES
-from ..storage import table
+from ..storage import staged, table
 
 KEY = ["conv_id", "turn", "pos"]
 #: Sizes of the vocabularies that stand for term lists.
@@ -73,13 +73,13 @@ def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pairs(spark, sf_dir)
     single = _ranked(p.select(F.explode("ref_tokens").alias("term")), TOP_TOKENS)
     double = _ranked(p.select(F.explode(F.filter(F.transform("ref_tokens", lambda t, i: F.concat_ws(" ", t, F.get("ref_tokens", i + 1))), lambda g: F.contains(g, F.lit(" ")))).alias("term")), TOP_BIGRAMS)
-    return single.unionByName(double).select(pick(CATEGORIES, F.col("rank") % 5).alias("category"), "term")
+    return staged(single.unionByName(double).select(pick(CATEGORIES, F.col("rank") % 5).alias("category"), "term"), "vocabulary")
 
 
 def confusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(reference, forbidden) of the most frequent tokens."""
     single = _ranked(pairs(spark, sf_dir).select(F.explode("ref_tokens").alias("term")), TOP_CONFUSIONS)
-    return single.select(F.col("term").alias("reference"), F.concat("term", F.lit("x")).alias("forbidden"))
+    return staged(single.select(F.col("term").alias("reference"), F.concat("term", F.lit("x")).alias("forbidden")), "confusions")
 
 
 def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

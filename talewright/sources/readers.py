@@ -6,13 +6,14 @@ import json
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import audio as A
 from ..functions.text import dotted
 from ..functions.types import array, of, struct
 from ..operators.rules import missing_columns, validate
+from ..storage import small, staged
 
 AUDIO_FILES = (".wav", ".flac", ".mp3", ".m4a", ".ogg", ".opus", ".aac", ".aiff", ".webm")
 INFO = struct(sample_rate="int", channels="int", frames="long", duration_sec="double", format="string", subtype="string", error="string")
@@ -23,9 +24,15 @@ class ManifestError(ValueError):
 
 
 def manifest_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no from 0, line) of a JSONL manifest, without blank lines and comments."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    return whole.withColumn("line", F.regexp_replace("line", r"(?U)^\s+|\s+$", "")).where((F.col("line") != "") & ~F.startswith("line", F.lit("#")))
+    """(file, line_no from 0, line) of a JSONL manifest, without blank lines and comments. Files are read in splits; a line's
+    number is its place in its split and the lines of the file's splits before it, which are counted first."""
+    at = F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), F.monotonically_increasing_id().alias("i"), "value")
+    splits = lines.groupBy("file", "at").agg(F.min("i").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = staged(splits.select("file", "at", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "splits")
+    numbered = lines.join(small(splits), ["file", "at"]).select("file", (F.col("before") + F.col("i") - F.col("first")).alias("line_no"), F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("line"))
+    return numbered.where((F.col("line") != "") & ~F.startswith("line", F.lit("#")))
 
 
 def read_manifest(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:

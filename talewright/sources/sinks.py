@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import platform
+import subprocess
 from datetime import datetime, timezone
+from importlib import metadata
 from pathlib import Path
 
 import pandas as pd
@@ -113,9 +115,36 @@ def write_canonical(files: DataFrame, target: str = "target", overwrite: bool =
     return df.withColumn("_r", put("path", "_first", target, "content")).select("path", target, "_r.status", "_r.reason", F.when(F.col("_r.written").isNotNull(), audio_info("_r.written")).alias("info"))
 
 
+def _version(module: str) -> str | None:
+    try:
+        return metadata.version(module)
+    except metadata.PackageNotFoundError:
+        return None
+
+
+def _graphics() -> list[tuple[str, str | None, str | None]]:
+    """(name, memory, driver) of the graphics devices that the vendor's tool lists; none without it."""
+    query = ["nvidia-smi", "--query-gpu=name,memory.total,driver_version", "--format=csv,noheader"]
+    try:
+        done = subprocess.run(query, capture_output=True, text=True, timeout=10, check=True)
+    except (OSError, subprocess.SubprocessError):
+        return []
+    return [tuple(([x.strip() for x in line.split(",")] + [None, None])[:3]) for line in done.stdout.splitlines() if line.strip()]
+
+
 def environment(spark: SparkSession) -> DataFrame:
     """One row about the machine and its runtime."""
-    from ..inference import resolve_device
+    from ..inference import gpus, placement
 
     memory = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") if hasattr(os, "sysconf") else None
-    return spark.createDataFrame([(platform.platform(), platform.python_version(), spark.version, os.cpu_count(), memory, resolve_device())], "system string, python string, spark string, cpus int, memory_bytes long, device string")
+    device, precision = placement({})
+    versions = {m: v for m in ("pyspark", "pyarrow", "numpy", "ctranslate2", "faster-whisper", "torch") if (v := _version(m))}
+    row = (platform.platform(), platform.machine(), platform.python_version(), spark.version, os.cpu_count(), memory, device, precision, gpus(), _graphics(), versions)
+    return spark.createDataFrame([row], "system string, machine string, python string, spark string, cpus int, memory_bytes long, device string, compute_type string, cuda_devices int, gpus array<struct<name:string,memory:string,driver:string>>, versions map<string,string>")
+
+
+def write_environment(spark: SparkSession, path: str) -> None:
+    """The row as one JSON file; folders are made."""
+    file = Path(path)
+    file.parent.mkdir(parents=True, exist_ok=True)
+    file.write_text(json.dumps(environment(spark).first().asDict(recursive=True), indent=2), encoding="utf-8")

@@ -114,16 +114,16 @@ def test_split_repair_and_errors(spark):
 def test_runner_and_requests(spark):
     clips = readers.smoke_entries(spark, 2)
     rows = clips.unionByName(clips.limit(1).withColumn("content", F.lit(None).cast("binary"))).unionByName(clips.limit(1).withColumn("content", F.lit(b"junk")))
-    done = inference.transcribe(rows.select("audio", "language", "content"), lambda: inference.FixedModel("t"), warmup=2).collect()
+    done = inference.transcribe(rows.select("audio", "language", "content"), {"adapter": "deterministic", "text": "t"}, warmup=2).collect()
     assert sorted(str(r["reason"])[:14] for r in done) == ["None", "None", "file not found", "transcription "]
     wav = audio.encode_wav(audio.tone(1))
     asked = spark.createDataFrame([("a.wav", "audio/wav", None, wav), ("a.txt", "audio/wav", "id", wav), ("a.wav", "text/x", "id", wav), ("a.wav", "audio/x", "id", b""), ("a.wav", "audio/x", "id", b"x" * 99)], "filename string, content_type string, language string, content binary")
-    got = sorted((r["status"], r["code"]) for r in requests.answer(asked, lambda: inference.FixedModel("t"), {}).collect())
+    got = sorted((r["status"], r["code"]) for r in requests.answer(asked, {"adapter": "deterministic", "text": "t"}, {}).collect())
     assert got == [(200, "ok"), (400, "empty_upload"), (400, "invalid_audio"), (415, "unsupported_format"), (415, "unsupported_media_type")]
-    assert {r["code"] for r in requests.answer(asked.limit(1), lambda: inference.FixedModel("t"), {"max_upload_mb": 0.001}).collect()} == {"payload_too_large"}
-    assert {r["code"] for r in requests.answer(asked.limit(1), lambda: inference.FixedModel("t"), {"max_audio_duration_sec": 0.5}).collect()} == {"audio_too_long"}
+    assert {r["code"] for r in requests.answer(asked.limit(1), {"adapter": "deterministic", "text": "t"}, {"max_upload_mb": 0.001}).collect()} == {"payload_too_large"}
+    assert {r["code"] for r in requests.answer(asked.limit(1), {"adapter": "deterministic", "text": "t"}, {"max_audio_duration_sec": 0.5}).collect()} == {"audio_too_long"}
     assert "content" not in requests.log_rows(asked).columns
-    assert requests.ready(spark, lambda: inference.FixedModel()).first()["ready"] and not requests.ready(spark, lambda: 1 / 0).first()["ready"]
+    assert requests.ready(spark, {"adapter": "deterministic"}).first()["ready"] and not requests.ready(spark, {"adapter": "faster_whisper"}).first()["ready"]
 
 
 def test_audio_files(spark, tmp_path):
@@ -161,7 +161,7 @@ def test_stream(spark, tmp_path):
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.wav").write_bytes(audio.encode_wav(audio.tone(1)))
-    q = start(request_stream(spark, str(tmp_path / "in")), lambda: inference.FixedModel("t"), {}, str(tmp_path / "out"), str(tmp_path / "cp"))
+    q = start(request_stream(spark, str(tmp_path / "in")), {"adapter": "deterministic", "text": "t"}, {}, str(tmp_path / "out"), str(tmp_path / "cp"))
     q.processAllAvailable()
     q.stop()
     assert spark.read.parquet(str(tmp_path / "out")).first()["code"] == "ok"
