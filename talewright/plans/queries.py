@@ -629,9 +629,9 @@ def ag6(spark, sf):
 
 @query("sp2_speaker_order", f"WITH {UTT} SELECT speaker_id, row_number() OVER (ORDER BY md5('42:' || speaker_id)) AS place FROM (SELECT DISTINCT speaker_id FROM utt)")
 def sp2(spark, sf):
-    """The order in which speakers are dealt; a row for each speaker in one window."""
+    """The order in which speakers are dealt."""
     s = split.speaker_counts(views.utterances(spark, sf)).select("speaker_id", split.hashed_order(F.col("speaker_id"), 42).alias("key"))
-    return s.select("speaker_id", F.row_number().over(Window.orderBy("key")).cast("long").alias("place"))
+    return split.placed(s, "key").select("speaker_id", "place")
 
 
 @query("sp3_repair", "SELECT * FROM (VALUES ('test', 1::BIGINT), ('train', 3::BIGINT), ('validation', 1::BIGINT)) v(split, n)")

@@ -6,16 +6,20 @@ import json
 import os
 import platform
 import subprocess
+from collections.abc import Iterator
 from datetime import datetime, timezone
 from importlib import metadata
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import audio as A
-from ..functions.types import of, struct
+from ..functions.types import of
+from ..storage import small, staged
 from .readers import audio_info
 
 FIELDS = ("audio", "text", "language", "speaker_id", "duration_sec", "domain", "source", "recording_profile", "noise_profile")
@@ -85,34 +89,71 @@ def canonical_wav(content: pd.Series) -> pd.Series:
     return content.map(one)
 
 
+def _put(target: str, content: bytes) -> None:
+    """Write a file as a whole, under another name first; again, it is the same file."""
+    system, path = fs.FileSystem.from_uri(target if "://" in target or target.startswith("file:") else Path(target).absolute().as_uri())
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(f"{path}.part") as out:
+        out.write(content)
+    system.move(f"{path}.part", path)
+
+
 def write_canonical(files: DataFrame, target: str = "target", overwrite: bool = True) -> DataFrame:
-    """Write each row's canonical WAV to its `target` path, which every executor must be able to reach; gives (path, target,
-    status, reason, info) with the written file's facts. Two inputs with one target are a failure of the later one."""
-    first = F.min("path").over(Window.partitionBy(target))
-    df = files.withColumn("_first", first)
-
-    @F.pandas_udf(struct(status="string", reason="string", written="binary"))
-    def put(path: pd.Series, first: pd.Series, to: pd.Series, content: pd.Series) -> pd.DataFrame:
-        rows = []
-        for p, f, t, raw in zip(path, first, to, content):
-            local = t.removeprefix("file:")
-            if p != f:
-                rows.append(("failed", f"same target as {f}", None))
-            elif os.path.exists(local) and not overwrite:
-                rows.append(("skipped_existing", None, None))
-            else:
-                try:
-                    wav = A.encode_wav(A.canonical(bytes(raw)))
-                    os.makedirs(os.path.dirname(local), exist_ok=True)
-                    with open(f"{local}.part", "wb") as out:
-                        out.write(wav)
-                    os.replace(f"{local}.part", local)
-                    rows.append(("ok", None, wav))
-                except (A.AudioError, OSError) as exc:
-                    rows.append(("failed", str(exc), None))
-        return pd.DataFrame(rows, columns=["status", "reason", "written"])
-
-    return df.withColumn("_r", put("path", "_first", target, "content")).select("path", target, "_r.status", "_r.reason", F.when(F.col("_r.written").isNotNull(), audio_info("_r.written")).alias("info"))
+    """Write each row's canonical WAV to its `target` path, local or in a store, that executors reach; gives (path, target, status,
+    reason, info) with the written file's facts. Two inputs with one target are a failure of all but the first path.
+
+    Targets are decided on paths alone. What is written is staged first, so that it is made once; a task that runs again
+    puts the same files in place. The result is a staged table: when this returns, the files are there.
+    """
+    spark = files.sparkSession
+    paths = files.select("path", F.col(target).alias("target"))
+    firsts = paths.groupBy("target").agg(F.min("path").alias("first"))
+    plan = paths.join(firsts, "target")
+    if not overwrite:
+        there = list_targets(spark, plan)
+        plan = plan.join(there, "target", "left")
+    else:
+        plan = plan.withColumn("there", F.lit(False))
+    plan = staged(plan, "targets")
+    chosen = plan.where((F.col("path") == F.col("first")) & ~F.coalesce("there", F.lit(False)))
+    made = files.select("path", "content").join(small(chosen.select("path", "target")), "path")
+    made = staged(made.select("path", "target", canonical_wav("content").alias("wav"), audio_info("content")["error"].alias("fault")), "wavs")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            faults = []
+            for to, wav, fault in zip(*(batch.column(c).to_pylist() for c in ("target", "wav", "fault"))):
+                if wav is not None:
+                    try:
+                        _put(to, wav)
+                    except OSError as exc:
+                        fault = str(exc)
+                faults.append(None if wav is not None and fault is None else fault or "cannot be decoded")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(faults, pa.string())], names=["path", "fault"])
+
+    receipts = staged(made.mapInArrow(put, "path string, fault string"), "receipts")
+    written = made.select("path", "wav").join(receipts.where("fault IS NULL"), "path").select("path", audio_info("wav").alias("info"))
+    later, kept = F.col("path") != F.col("first"), F.coalesce("there", F.lit(False))
+    out = plan.join(receipts, "path", "left").join(written, "path", "left")
+    return staged(out.select(
+        "path", F.col("target").alias(target),
+        F.when(later, "failed").when(kept, "skipped_existing").when(F.col("fault").isNotNull(), "failed").otherwise("ok").alias("status"),
+        F.when(later, F.concat(F.lit("same target as "), F.col("first"))).otherwise(F.col("fault")).alias("reason"), "info",
+    ), "written")
+
+
+def list_targets(spark: SparkSession, plan: DataFrame) -> DataFrame:
+    """(target, there): whether a file exists, asked where the tasks run."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            there = []
+            for to in batch.column(0).to_pylist():
+                system, path = fs.FileSystem.from_uri(to if "://" in to or to.startswith("file:") else Path(to).absolute().as_uri())
+                there.append(system.get_file_info(path).type != fs.FileType.NotFound)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(there, pa.bool_())], names=["target", "there"])
+
+    return plan.select("target").distinct().mapInArrow(ask, "target string, there boolean")
 
 
 def _version(module: str) -> str | None:
