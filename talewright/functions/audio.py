@@ -1,4 +1,4 @@
-"""Waveforms: native array functions, and PCM files by the standard library and numpy."""
+"""Waveforms: native array functions, and WAV and FLAC files by the standard library and numpy."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import flac
+
 #: The canonical form, the longest file accepted, and the peak that is left alone.
 RATE, CHANNELS, SUBTYPE = 16_000, 1, "PCM_16"
 MAX_SECONDS = 600.0
@@ -61,12 +63,27 @@ def _chunks(raw: bytes) -> dict[bytes, tuple[int, int]]:
     return found
 
 
+def _checked(rate: int, channels: int, frames: int, form: str, subtype: str) -> AudioInfo:
+    seconds = frames / rate
+    if seconds <= 0:
+        raise AudioError("duration is not positive")
+    if seconds > MAX_SECONDS:
+        raise AudioError(f"duration ({seconds:.1f}s) exceeds {MAX_SECONDS}s")
+    return AudioInfo(rate, channels, frames, seconds, form, subtype)
+
+
 def inspect(raw: bytes | None) -> AudioInfo:
-    """Header facts of a WAV file; no samples are decoded."""
+    """Header facts of a WAV or FLAC file; no samples are decoded."""
     if raw is None:
         raise AudioError("file does not exist")
     if not raw:
         raise AudioError("file is empty (0 bytes)")
+    if raw[:4] == b"fLaC":
+        try:
+            rate, channels, bits, frames, *_ = flac.facts(raw)
+        except flac.FlacError as exc:
+            raise AudioError(f"cannot read header: {exc}") from exc
+        return _checked(rate, channels, frames, "FLAC", f"PCM_{bits}" if bits > 8 else "PCM_S8")
     chunks = _chunks(raw)
     if b"fmt " not in chunks or b"data" not in chunks or chunks[b"fmt "][1] < 16:
         raise AudioError("cannot read header: no format or data")
@@ -76,18 +93,18 @@ def inspect(raw: bytes | None) -> AudioInfo:
     subtype = {(1, 8): "PCM_U8", (1, 16): "PCM_16", (1, 24): "PCM_24", (1, 32): "PCM_32", (3, 32): "FLOAT", (3, 64): "DOUBLE"}.get((kind, bits))
     if subtype is None or not channels or not rate or not step:
         raise AudioError("cannot read header: unsupported sample format")
-    frames = chunks[b"data"][1] // step
-    seconds = frames / rate
-    if seconds <= 0:
-        raise AudioError("duration is not positive")
-    if seconds > MAX_SECONDS:
-        raise AudioError(f"duration ({seconds:.1f}s) exceeds {MAX_SECONDS}s")
-    return AudioInfo(rate, channels, frames, seconds, "WAV", subtype)
+    return _checked(rate, channels, chunks[b"data"][1] // step, "WAV", subtype)
 
 
 def decode(raw: bytes) -> tuple[np.ndarray, int]:
     """float32 samples in [-1, 1], frames x channels (one-dimensional if mono), and the rate."""
     info = inspect(raw)
+    if info.format == "FLAC":
+        try:
+            found = flac.samples(raw) / 2.0 ** (flac.facts(raw)[2] - 1)
+        except flac.FlacError as exc:
+            raise AudioError(f"cannot decode: {exc}") from exc
+        return found.astype(np.float32)[:, 0] if info.channels == 1 else found.astype(np.float32), info.sample_rate
     at, size = _chunks(raw)[b"data"]
     step = {"PCM_U8": 1, "PCM_16": 2, "PCM_24": 3, "PCM_32": 4, "FLOAT": 4, "DOUBLE": 8}[info.subtype]
     data = raw[at : at + info.frames * info.channels * step]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,7 +18,7 @@ from ..functions import types as _types
 from ..operators import requests, rules, split, summary
 from ..operators import terms as T
 from ..sources import readers, sinks
-from ..storage import staging_path, table
+from ..storage import staged, staging_path, table
 from . import views
 from .views import KEY
 
@@ -460,9 +463,11 @@ def sp1(spark, sf):
     return split.split_by_speaker(views.utterances(spark, sf)).select(*KEY, "speaker_id", "split")
 
 
-@query("sp4_no_leakage", "SELECT 0::BIGINT AS leaking")
+@query("sp4_no_leakage", f"{_SPLIT_SQL} SELECT split, count(DISTINCT speaker_id) AS speakers, (SELECT count(*) FROM (SELECT speaker_id FROM f WHERE r > 0 GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS leaking FROM f WHERE r > 0 GROUP BY split")
 def sp4(spark, sf):
-    return split.leaks(sp1(spark, sf)).agg(F.count(F.lit(1)).alias("leaking"))
+    dealt = sp1(spark, sf)
+    split.assert_no_leakage(dealt)
+    return dealt.groupBy("split").agg(F.countDistinct("speaker_id").alias("speakers")).crossJoin(F.broadcast(split.leaks(dealt).agg(F.count(F.lit(1)).alias("leaking"))))  # one row
 
 
 # ---------------------------------------------------------------- audio and inference
@@ -481,7 +486,16 @@ def au3(spark, sf):
     return views.waves(spark, sf).select("vec_id", F.transform(audio.guard_peak(F.col("wave")), lambda x: F.round(x, 9) + 0.0).alias("wave"))
 
 
-@query("au4_canonical_audio")
+_PCM = """w AS (SELECT vec_id, list_transform(embedding, lambda x: least(greatest(round_even(x::DOUBLE * (vec_id % 4) * 32768, 0), -32768), 32767)) AS w FROM embeddings),
+mono AS (SELECT vec_id, list_transform(range(1, len(w) // 2 + 1), lambda i: (w[2 * i - 1] + w[2 * i]) / 65536) AS x FROM w),
+sized AS (SELECT *, round_even(len(x) * 16000 / 44100::DOUBLE, 0)::BIGINT AS n FROM mono)"""
+_RESAMPLED = _PCM + """, part AS (SELECT vec_id, n, x, i, floor(i * 44100 / 16000::DOUBLE)::BIGINT AS base, i * 44100 / 16000::DOUBLE - floor(i * 44100 / 16000::DOUBLE) AS rest FROM (SELECT vec_id, n, x, unnest(range(n)) AS i FROM sized)),
+sample AS (SELECT vec_id, n, i, list_sum(list_transform(range(-88, 90), lambda o: CASE WHEN base + o < 0 OR base + o >= len(x) OR abs(o - rest) >= 89 THEN 0 ELSE
+  x[base + o + 1] * (16000 / 44100::DOUBLE) * (0.5::DOUBLE + 0.5::DOUBLE * cos(pi() * (o - rest) / 89)) * CASE WHEN o - rest = 0 THEN 1 ELSE sin(pi() * (16000 / 44100::DOUBLE) * (o - rest)) / (pi() * (16000 / 44100::DOUBLE) * (o - rest)) END END)) AS y FROM part),
+whole AS (SELECT vec_id, n, list(y ORDER BY i) AS y, max(abs(y)) AS top FROM sample GROUP BY ALL)"""
+
+
+@query("au4_canonical_audio", f"WITH {_PCM} SELECT vec_id, 16000 AS sample_rate, 1 AS channels, n AS frames, 'PCM_16' AS subtype, NULL::VARCHAR AS error FROM sized")
 def au4(spark, sf):
     """Embeddings as short WAV files, canonicalised and inspected again."""
     files = _clips(spark, sf)
@@ -489,32 +503,48 @@ def au4(spark, sf):
     return files.select("vec_id", info.alias("i")).select("vec_id", "i.sample_rate", "i.channels", "i.frames", "i.subtype", "i.error")
 
 
-@query("src9_smoke_clips")
+@query("src9_smoke_clips", "SELECT 'smoke_' || i || '.wav' AS audio, 'placeholder' AS text, 'id' AS language, 'spk_smoke_' || i AS speaker_id, ['general', 'cash_flow', 'reporting'][i % 3 + 1] AS domain, 'synthetic' AS source, true AS audible FROM range(5) t(i)")
 def src9(spark, sf):
-    return readers.smoke_entries(spark, 3).drop("content")
+    clips = readers.smoke_entries(spark, 5)
+    return clips.withColumn("audible", (F.col("duration_sec") >= 1) & (F.col("duration_sec") <= 3) & (F.octet_length("content") > 32_000)).drop("content", "duration_sec")
 
 
-@query("ud6_runner")
+@query("ud6_runner", """SELECT vec_id, vec_id % 5 > 1 AS ok, CASE vec_id % 5 WHEN 0 THEN 'file not found' WHEN 1 THEN 'transcription failed' END AS reason, CASE WHEN vec_id % 5 > 1 THEN 'placeholder' END AS hypothesis,
+CASE WHEN vec_id % 5 > 1 THEN 'deterministic-stub' END AS model_id, vec_id % 5 > 1 AS timed FROM embeddings""")
 def ud6(spark, sf):
-    """Smoke clips and one missing file through the stand-in model."""
-    clips = readers.smoke_entries(spark, 3)
-    entries = clips.unionByName(clips.limit(1).withColumn("audio", F.lit("missing.wav")).withColumn("content", F.lit(None).cast("binary")))
-    done = inference.transcribe(entries.select("audio", "speaker_id", "language", "duration_sec", "text", "content"), {"adapter": "deterministic", "text": "placeholder"}, warmup=1)
-    return done.select("audio", "ok", "reason", "hypothesis", "model_id", summary.spoken_seconds(F.col("model_ms"), F.col("duration_sec")).alias("seconds"))
+    """All embeddings as clips through the stand-in model; some files are missing and some are no audio."""
+    k = F.col("vec_id") % 5
+    clips = _clips(spark, sf).withColumn("content", F.when(k == 1, F.lit(b"no audio")).when(k > 1, F.col("content"))).withColumn("language", F.lit("id"))
+    done = inference.transcribe(clips, {"adapter": "deterministic", "text": "placeholder"}, warmup=1)
+    return done.select("vec_id", "ok", F.substring_index("reason", ":", 1).alias("reason"), "hypothesis", "model_id", (F.coalesce("latency_ms", F.lit(-1.0)) >= 0).alias("timed"))
 
 
-@query("sv4_transcription_batch")
+@query("sv4_transcription_batch", """WITH c AS (SELECT vec_id, CASE vec_id % 7 WHEN 0 THEN 415 WHEN 1 THEN 415 WHEN 2 THEN 400 WHEN 3 THEN 400 WHEN 4 THEN 413 ELSE 200 END AS status,
+CASE vec_id % 7 WHEN 0 THEN 'unsupported_format' WHEN 1 THEN 'unsupported_media_type' WHEN 2 THEN 'empty_upload' WHEN 3 THEN 'invalid_audio' WHEN 4 THEN 'payload_too_large' ELSE 'ok' END AS code, len(embedding) // 2 AS n FROM embeddings)
+SELECT vec_id, status, code, CASE WHEN status = 200 THEN 'placeholder' END AS text, CASE WHEN status = 200 THEN CASE WHEN vec_id % 2 = 0 THEN 'en' ELSE 'id' END END AS language, CASE WHEN status = 200 THEN floor(n / 44100::DOUBLE * 1000)::BIGINT END AS duration_ms,
+CASE WHEN status = 200 THEN 'deterministic-stub' END AS model, CASE WHEN status = 200 THEN NULL ELSE code END AS error FROM c""")
 def sv4(spark, sf):
-    clips = readers.smoke_entries(spark, 3).select(F.col("audio").alias("filename"), F.lit("audio/wav").alias("content_type"), F.lit("id").alias("language"), "content")
-    broken = clips.limit(1).withColumn("filename", F.lit("broken.wav")).withColumn("content", F.lit(b"no audio"))
-    return requests.answer(clips.unionByName(broken), {"adapter": "deterministic", "text": "placeholder"}, {}).drop("body")
-
-
-@query("snk3_report")
+    """Every embedding as a request: by its number of the wrong format, of another type, empty, broken, too large or good."""
+    k = F.col("vec_id") % 7
+    content = F.when(k == 2, F.lit(b"")).when(k == 3, F.lit(b"no audio")).when(k == 4, F.lit(bytes(2000))).otherwise(F.col("content"))
+    asked = _clips(spark, sf).select(
+        F.concat(F.col("vec_id").cast("string"), F.when(k == 0, ".txt").otherwise(".WAV")).alias("filename"), F.when(k == 1, "text/html").otherwise("audio/wav").alias("content_type"),
+        F.when(F.col("vec_id") % 2 == 0, "en").otherwise("").alias("language"), content.alias("content"),
+    )
+    done = requests.answer(asked, {"adapter": "deterministic", "text": "placeholder"}, {"max_upload_mb": 1000 / 1024 / 1024})
+    return done.select(F.substring_index("filename", ".", 1).cast("long").alias("vec_id"), "status", "code", "text", "language", "duration_ms", "model", F.get_json_object("body", "$.error.code").alias("error"))
+
+
+@query("snk3_report", f"WITH {RECORDS} SELECT domain, count(*) AS utterances, round(avg(wer), 4) AS mean_wer, round(avg(exact_match::INT), 4) AS phrase_accuracy, (SELECT count(*) FROM records) AS whole FROM records GROUP BY domain")
 def snk3(spark, sf):
-    """The report's text for all utterances, a line in a row."""
-    found = summary.summary(views.records(spark, sf), tm2(spark, sf), _events(spark, sf), model_id="disturbed")
-    return spark.createDataFrame(list(enumerate(sinks.markdown(found).split("\n"))), "line_no int, line string")
+    """The written report, read back: its table of domains and its number of utterances."""
+    records = staged(views.records(spark, sf), "records")
+    found = summary.summary(records, tm2(spark, sf), _events(spark, sf), model_id="disturbed")
+    lines = spark.createDataFrame([(x,) for x in sinks.markdown(found).split("\n")], "line string")
+    whole = lines.select(F.regexp_extract("line", r"^- Utterances: (\d+)", 1).alias("n")).where("n <> ''").select(F.col("n").cast("long").alias("whole"))
+    cell = lambda i: F.trim(F.get(F.split("line", r"\|"), F.lit(i)))
+    rows = lines.where(r"line RLIKE '^\\| [a-z_]+ \\| [0-9]'").select(cell(1).alias("domain"), cell(2).cast("long").alias("utterances"), F.round(cell(3).cast("double"), 4).alias("mean_wer"), F.round(cell(4).cast("double"), 4).alias("phrase_accuracy"))
+    return rows.crossJoin(F.broadcast(whole))  # one row
 
 
 # ---------------------------------------------------------------- the rest of the inventory, operator by operator
@@ -525,14 +555,27 @@ def _stereo_wav(wave: pd.Series) -> pd.Series:
     return wave.map(lambda w: audio.encode_wav(np.asarray(w, float).reshape(-1, 2), 44_100))
 
 
+def _name(path: str):
+    return F.regexp_extract(path, r"[^/]+/[^/]+$", 0)
+
+
+def _written(spark, sf) -> tuple[DataFrame, str]:
+    """Clips written as canonical files below a fresh folder, three folders of them, and that folder."""
+    root = staging_path(spark, "audio")
+    clips = _clips(spark, sf).withColumn("name", F.concat(F.lit("sub"), F.col("vec_id") % 3, F.lit("/clip_"), F.col("vec_id"), F.lit(".wav")))
+    return sinks.write_canonical(clips.select(F.concat(F.lit("in/"), "name").alias("path"), F.concat(F.lit(root + "/"), "name").alias("target"), "content")), root
+
+
 def _clips(spark, sf):
     return views.waves(spark, sf).select("vec_id", _stereo_wav("wave").alias("content"))
 
 
-@query("src3_probed_duration", f"WITH {UTT} SELECT audio, duration_sec FROM utt")
+@query("src3_probed_duration", f"WITH {UTT} SELECT audio, CASE WHEN pos % 3 = 0 THEN duration_sec + 1 WHEN pos % 3 = 1 THEN duration_sec END AS duration_sec FROM utt")
 def src3(spark, sf):
-    u = views.utterances(spark, sf)
-    return readers.with_probed_duration(u.select("audio", F.lit(None).cast("double").alias("duration_sec")), u.select("audio", "duration_sec")).select("audio", "duration_sec")
+    """Some entries say how long they are, some are looked up, some are unknown."""
+    u, k = views.utterances(spark, sf), F.col("pos") % 3
+    entries = u.select("audio", F.when(k == 0, F.col("duration_sec") + 1).alias("duration_sec"))
+    return readers.with_probed_duration(entries, u.where(k < 2).select("audio", "duration_sec")).select("audio", "duration_sec")
 
 
 @query("src6_audio_header", "SELECT vec_id, 44100 AS sample_rate, 2 AS channels, (len(embedding) // 2)::BIGINT AS frames, (len(embedding) // 2) / 44100.0::DOUBLE AS duration_sec, 'WAV' AS format, 'PCM_16' AS subtype, NULL::VARCHAR AS error FROM embeddings")
@@ -540,19 +583,25 @@ def src6(spark, sf):
     return _clips(spark, sf).select("vec_id", readers.audio_info("content").alias("i")).select("vec_id", "i.*")
 
 
-@query("src7_decode", "SELECT vec_id, 44100 AS rate, (len(embedding) // 2)::BIGINT AS n FROM embeddings")
+@query("src7_decode", f"WITH {_PCM} SELECT vec_id, 44100 AS rate, len(x)::BIGINT AS n, list_transform(x, lambda v: round(v * 65536)::BIGINT) AS samples FROM sized")
 def src7(spark, sf):
-    return _clips(spark, sf).select("vec_id", readers.decoded("content").alias("d")).select("vec_id", "d.rate", F.size("d.samples").cast("long").alias("n"))
+    """Samples as whole numbers: two channels of sixteen bits, averaged."""
+    d = _clips(spark, sf).select("vec_id", readers.decoded("content").alias("d"))
+    return d.select("vec_id", "d.rate", F.size("d.samples").cast("long").alias("n"), F.transform("d.samples", lambda x: F.round(x * 65536).cast("long")).alias("samples"))
 
 
-@query("src10_size_bound", "SELECT page_id FROM pages WHERE octet_length(encode(html)) <= 3000")
+@query("src10_size_bound", "SELECT page_id, octet_length(encode(coalesce(html, ''))) + 1 AS length FROM pages WHERE octet_length(encode(coalesce(html, ''))) + 1 <= 3000")
 def src10(spark, sf):
-    return table(spark, sf, "pages").where(F.octet_length("html") <= 3000).select("page_id")
+    """Pages as files, of which those within the bound are read."""
+    path = staging_path(spark, "files")
+    table(spark, sf, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value")).repartition("page_id").write.partitionBy("page_id").text(path)
+    found = readers.read_audio(spark, path, 3000).where(F.col("path").contains("/page_id="))
+    return found.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id"), F.octet_length("content").cast("long").alias("length"))
 
 
-@query("src11_environment")
+@query("src11_environment", "SELECT true AS complete, true AS versioned")
 def src11(spark, sf):
-    return sinks.environment(spark)
+    return sinks.environment(spark).select((F.col("system").isNotNull() & (F.col("cpus") > 0) & F.col("device").isin("cpu", "cuda") & F.col("gpus").isNotNull()).alias("complete"), F.col("versions")["pyspark"].isNotNull().alias("versioned"))
 
 
 @query("snk1_manifest_json", f"WITH {UTT} SELECT audio, 7::BIGINT AS n_keys FROM utt")
@@ -569,9 +618,12 @@ def snk2(spark, sf):
     return spark.read.schema("domain string").json(path).groupBy("domain").agg(F.count(F.lit(1)).alias("utterances"))
 
 
-@query("snk4_canonical_wav")
+@query("snk4_canonical_wav", f"WITH {_PCM} SELECT 'sub' || (vec_id % 3) || '/clip_' || vec_id || '.wav' AS name, 'ok' AS status, 16000 AS sample_rate, 1 AS channels, n AS frames, 'PCM_16' AS subtype, 44 + 2 * n AS length FROM sized")
 def snk4(spark, sf):
-    return _clips(spark, sf).select("vec_id", readers.audio_info(sinks.canonical_wav("content")).alias("i")).select("vec_id", "i.sample_rate", "i.channels", "i.subtype", "i.error")
+    """Clips written as canonical files, and what is then found in the folder."""
+    done, root = _written(spark, sf)
+    found = readers.list_audio(spark, root).select(_name("path").alias("name"), "length")
+    return done.select(_name("target").alias("name"), "status", "info.sample_rate", "info.channels", "info.frames", "info.subtype").join(found, "name")
 
 
 @query("snk6_log_columns", "SELECT unnest(['conv_id', 'turn', 'role']) AS name")
@@ -634,25 +686,27 @@ def sp2(spark, sf):
     return split.placed(s, "key").select("speaker_id", "place")
 
 
-@query("sp3_repair", "SELECT * FROM (VALUES ('test', 1::BIGINT), ('train', 3::BIGINT), ('validation', 1::BIGINT)) v(split, n)")
+@query("sp3_repair", """WITH s AS (SELECT 'spk_' || (user_id % 3) AS speaker_id, count(*) AS n FROM events GROUP BY 1), o AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || speaker_id)) AS r FROM s)
+SELECT CASE r WHEN 1 THEN 'validation' WHEN 2 THEN 'test' ELSE 'train' END AS split, speaker_id, n FROM o""")
 def sp3(spark, sf):
-    """Roles as speakers of which the shares leave two splits empty: each gets a speaker of the fullest."""
-    of = split.assign([("a", 5), ("b", 4), ("c", 3), ("d", 2), ("e", 1)], (1.0, 0.0, 0.0))
-    return spark.createDataFrame(list(of.items()), "speaker_id string, split string").groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    """Three speakers whose shares leave two splits empty: each gets the first speaker of the fullest."""
+    e = table(spark, sf, "events").select(F.concat(F.lit("spk_"), F.col("user_id") % 3).alias("speaker_id"))
+    return split.split_by_speaker(e, (1.0, 0.0, 0.0)).groupBy("split", "speaker_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("au2_resample")
+@query("au2_resample", f"WITH {_RESAMPLED} SELECT vec_id, n, list_transform(y, lambda v: round(CASE WHEN top > 0.95 THEN v * 0.95::DOUBLE / top ELSE v END, 2) + 0.0) AS samples FROM whole")
 def au2(spark, sf):
-    return _clips(spark, sf).select("vec_id", F.size(readers.canonical_samples("content")).alias("n"))
+    w = _clips(spark, sf).select("vec_id", readers.canonical_samples("content").alias("w"))
+    return w.select("vec_id", F.size("w").cast("long").alias("n"), F.transform("w", lambda x: F.round(x.cast("double"), 2) + 0.0).alias("samples"))
 
 
-@query("au5_model_waveform")
+@query("au5_model_waveform", f"WITH {_RESAMPLED} SELECT vec_id, round(least(top, 0.95::DOUBLE), 3) AS peak FROM whole")
 def au5(spark, sf):
     w = _clips(spark, sf).select("vec_id", readers.canonical_samples("content").alias("w"))
-    return w.select("vec_id", F.round(F.array_max(F.transform("w", lambda x: F.abs(x))), 3).alias("peak"))
+    return w.select("vec_id", F.round(F.array_max(F.transform("w", lambda x: F.abs(x.cast("double")))), 3).alias("peak"))
 
 
-@query("ud2_stand_in")
+@query("ud2_stand_in", "SELECT vec_id, true AS ok, 'x' AS hypothesis, floor(len(embedding) // 2 / 44100::DOUBLE * 1000)::BIGINT AS model_ms, 'deterministic-stub' AS model_id FROM embeddings")
 def ud2(spark, sf):
     done = inference.transcribe(_clips(spark, sf).withColumn("language", F.lit("id")), {"adapter": "deterministic", "text": "x"})
     return done.select("vec_id", "ok", "hypothesis", "model_ms", "model_id")
@@ -675,6 +729,86 @@ def sv2(spark, sf):
     return requests.ready(spark, {"adapter": "deterministic"})
 
 
-@query("sv3_model_info", "SELECT 'base' AS model_id, 'deterministic' AS adapter, 'cpu' AS device, 'int8' AS compute_type, 'id' AS default_language")
+@query("sv3_model_info", "SELECT 'base' AS model_id, 'deterministic' AS adapter, 'cpu' AS device, 'auto' AS compute_type, 'id' AS default_language")
 def sv3(spark, sf):
     return requests.model_info(spark, {"model_id": "base", "adapter": "deterministic", "device": "cpu"})
+
+
+@query("src5_settings", "SELECT n_name AS name, n_regionkey AS port, n_nationkey % 2 = 0 AS vad, 'base' AS model_id FROM nation")
+def src5(spark, sf):
+    """Settings files of all nations, each laid over a common one."""
+    out = []
+    with tempfile.TemporaryDirectory() as folder:  # the driver's own files, read by the driver
+        common = Path(folder, "common.yaml")
+        common.write_text(json.dumps({"model": {"model_id": "base", "vad": True}, "service": {"port": -1}}))
+        for n in table(spark, sf, "nation").collect():  # a dimension of 25 rows
+            own = Path(folder, f"{n['n_nationkey']}.yaml")
+            own.write_text(json.dumps({"model": {"vad": n["n_nationkey"] % 2 == 0}, "service": {"port": n["n_regionkey"], "name": n["n_name"]}}))
+            merged = readers.deep_merge(readers.load_yaml(str(common)), readers.load_yaml(str(own)))
+            out.append((merged["service"]["name"], merged["service"]["port"], merged["model"]["vad"], merged["model"]["model_id"]))
+        if readers.load_yaml(str(Path(folder, "none.yaml")), required=False):
+            raise AssertionError("a missing file holds settings")
+    return spark.createDataFrame(out, "name string, port long, vad boolean, model_id string")
+
+
+@query("src8_recursive_listing", "SELECT 'sub' || (vec_id % 3) || '/clip_' || vec_id || '.wav' AS name, row_number() OVER (ORDER BY 'sub' || (vec_id % 3) || '/clip_' || vec_id || '.wav') AS place FROM embeddings")
+def src8(spark, sf):
+    """All audio files below a folder, in order; a file of another kind is not listed."""
+    _, root = _written(spark, sf)
+    spark.range(1).select(F.lit("x").alias("value")).write.text(f"{root}/other")
+    return split.placed(readers.list_audio(spark, root).select(_name("path").alias("name")), "name")
+
+
+@query("snk5_environment_file", "SELECT unnest(['system', 'machine', 'python', 'spark', 'cpus', 'memory_bytes', 'device', 'compute_type', 'cuda_devices', 'gpus', 'versions']) AS field")
+def snk5(spark, sf):
+    with tempfile.TemporaryDirectory() as folder:  # the driver's own file
+        path = Path(folder, "sub", "environment.json")
+        sinks.write_environment(spark, str(path))
+        return spark.createDataFrame([(k,) for k in json.loads(path.read_text())], "field string")
+
+
+@query("ud1_engines", "SELECT vec_id, text, text = 'a' AS known FROM embeddings CROSS JOIN (SELECT unnest(['a', 'b']) AS text)")
+def ud1(spark, sf):
+    """The protocol: whatever opens to two functions can hear; two plans of one engine over all clips."""
+    clips, out = _clips(spark, sf).withColumn("language", F.lit("id")), None
+    for heard in ("a", "b"):
+        done = inference.transcribe(clips, {"adapter": "deterministic", "text": heard}).select("vec_id", F.col("hypothesis").alias("text"))
+        out = done if out is None else out.unionByName(done)
+    return out.withColumn("known", F.col("text") == "a")
+
+
+@query("ud3_missing_runtime", "SELECT vec_id, false AS ok, 'transcription failed: model tiny cannot be loaded' AS reason FROM embeddings")
+def ud3(spark, sf):
+    """The adapter of a package that is not there: each row says why, and none is lost."""
+    done = inference.transcribe(_clips(spark, sf).withColumn("language", F.lit("id")), {"adapter": "faster_whisper", "model_id": "tiny"})
+    return done.select("vec_id", "ok", F.regexp_extract("reason", "^(transcription failed: model tiny cannot be loaded):", 1).alias("reason"))
+
+
+@query("ud4_device_rules", """SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN CASE WHEN p_size % 2 = 0 THEN 'cuda' ELSE 'cpu' END WHEN 1 THEN 'cpu' ELSE 'cuda' END AS device,
+CASE WHEN p_size % 5 = 0 THEN 'float32' WHEN p_size % 3 = 2 OR (p_size % 3 = 0 AND p_size % 2 = 0) THEN 'float16' ELSE 'int8' END AS compute_type FROM part""")
+def ud4(spark, sf):
+    """Device and precision of all combinations of what is asked for and what there is, dealt to parts by their size."""
+    cases = [(size, *inference.placement({"device": ("auto", "cpu", "cuda")[size % 3], "compute_type": "auto" if size % 5 else "float32"}, lambda size=size: 1 - size % 2)) for size in range(30)]
+    rules_ = spark.createDataFrame(cases, "size int, device string, compute_type string")
+    return table(spark, sf, "part").select("p_partkey", (F.col("p_size") % 30).alias("size")).join(F.broadcast(rules_), "size").drop("size")
+
+
+@query("ud5_factory", "SELECT * FROM (VALUES ('deterministic', 'deterministic-stub', false), ('faster_whisper', 'small', false), ('other', NULL, true)) v(adapter, model_id, refused)")
+def ud5(spark, sf):
+    """What settings name is opened; a name that is not known is refused."""
+    out = []
+    for name in ("deterministic", "faster_whisper", "other"):
+        try:
+            out.append((name, inference.plan({"adapter": name})["model_id"], False))
+        except ValueError:
+            out.append((name, None, True))
+    return spark.createDataFrame(out, "adapter string, model_id string, refused boolean")
+
+
+@query("sv5_nothing_left", "SELECT status, n, 0::BIGINT AS files_left FROM (SELECT CASE vec_id % 7 WHEN 0 THEN 415 WHEN 1 THEN 415 WHEN 2 THEN 400 WHEN 3 THEN 400 WHEN 4 THEN 413 ELSE 200 END AS status, count(*) AS n FROM embeddings GROUP BY 1)")
+def sv5(spark, sf):
+    """Requests of every outcome leave no audio file behind in the folder for temporary files."""
+    of = lambda: {p for p in Path(tempfile.gettempdir()).iterdir() if p.suffix in (".wav", ".bin", ".txt")}
+    before = of()
+    found = staged(sv4(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("n")), "outcomes")
+    return found.withColumn("files_left", F.lit(len(of() - before)).cast("long"))

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 
@@ -100,3 +101,120 @@ def test_deep_merge():
     a = {"x": {"y": 1, "z": 2}, "k": 1}
     assert readers.deep_merge(a, {"x": {"y": 5}, "n": None}) == {"x": {"y": 5, "z": 2}, "k": 1, "n": None}
     assert a["x"]["y"] == 1
+
+
+class Flac:
+    """A small writer of FLAC streams, one kind of subframe for each channel and frame."""
+
+    def __init__(self):
+        self.bits = []
+
+    def put(self, value, n):
+        self.bits.append(format(value & (1 << n) - 1, f"0{n}b") if n else "")
+
+    def rice(self, values, k):
+        self.put(0, 2)
+        self.put(0, 4)
+        self.put(k, 4)
+        for v in values:
+            u = 2 * v if v >= 0 else -2 * v - 1
+            self.bits.append("0" * (u >> k) + "1")
+            self.put(u, k)
+
+    def subframe(self, x, bits, kind):
+        x = [int(v) for v in x]
+        self.put(0, 1)
+        if kind == "constant":
+            self.put(0, 7)
+            self.put(x[0], bits)
+        elif kind == "verbatim":
+            self.put(1, 6)
+            self.put(0, 1)
+            for v in x:
+                self.put(v, bits)
+        elif kind == "wasted":
+            self.put(1, 6)
+            self.bits.append("1001")  # three bits of each sample are zero
+            for v in x:
+                self.put(v >> 3, bits - 3)
+        elif kind == "lpc":
+            self.put(33, 6)
+            self.put(0, 1)
+            for v in x[:2]:
+                self.put(v, bits)
+            self.put(9, 4)
+            self.put(3, 5)
+            self.put(14, 10)
+            self.put(-6, 10)
+            self.rice([x[i] - (14 * x[i - 1] - 6 * x[i - 2] >> 3) for i in range(2, len(x))], 5)
+        else:
+            self.put(8 + kind, 6)
+            self.put(0, 1)
+            for v in x[:kind]:
+                self.put(v, bits)
+            self.rice(np.diff(np.array(x), kind).tolist(), 4)
+
+    def frame(self, number, columns, how, kinds, bits, wide):
+        self.put(0x3FFE, 14)
+        self.put(0, 2)
+        self.put(7, 4)
+        self.put(0, 4)
+        self.put(how, 4)
+        self.put(0, 3)
+        self.put(0, 1)
+        for b in chr(number).encode():
+            self.put(b, 8)
+        self.put(len(columns[0]) - 1, 16)
+        self.put(0, 8)
+        for x, kind, more in zip(columns, kinds, wide):
+            self.subframe(x, bits + more, kind)
+        self.put(0, -sum(map(len, self.bits)) % 8)
+        self.put(0, 16)
+
+    def stream(self, x, rate, bits):
+        packed = rate << 44 | x.shape[1] - 1 << 41 | bits - 1 << 36 | len(x)
+        plain = b"".join(int(v).to_bytes(bits // 8, "little", signed=True) for v in x.ravel())
+        info = bytes(10) + packed.to_bytes(8, "big") + hashlib.md5(plain).digest()
+        text = "".join(self.bits)
+        return b"fLaC" + b"\x80" + len(info).to_bytes(3, "big") + info + bytes(int(text[i : i + 8], 2) for i in range(0, len(text), 8))
+
+
+@pytest.mark.parametrize("bits", [16, 24])
+def test_flac(bits):
+    rng = np.random.default_rng(bits)
+    x = np.cumsum(rng.integers(-40, 41, (1200, 2)), axis=0)
+    x[200:400] = 77
+    x[400:600, 0] = x[400:600, 0] // 8 * 8
+    w, at = Flac(), 0
+    for number, (how, kinds) in enumerate([(1, (1, 2)), (1, ("constant", "constant")), (1, ("wasted", 0)), (8, (3, 4)), (9, ("lpc", "verbatim")), (10, (2, "lpc"))] * 1):
+        a, b = x[at : at + 200, 0], x[at : at + 200, 1]
+        columns = {1: (a, b), 8: (a, a - b), 9: (a - b, b), 10: (a + b >> 1, a - b)}[how]
+        w.frame(130 * number, columns, how, kinds, bits, {1: (0, 0), 8: (0, 1), 9: (1, 0), 10: (0, 1)}[how])
+        at += 200
+    raw = w.stream(x, 8000, bits)
+    info = audio.inspect(raw)
+    assert (info.format, info.subtype, info.frames, info.channels, info.sample_rate) == ("FLAC", f"PCM_{bits}", 1200, 2, 8000)
+    y, rate = audio.decode(raw)
+    assert rate == 8000 and np.array_equal(np.round(y * 2.0 ** (bits - 1)).astype(int), x)
+    assert len(audio.canonical(raw)) == 2400
+    for broken in (raw[:-40], raw[:200] + bytes([raw[200] ^ 1]) + raw[201:], raw[:30]):
+        with pytest.raises(audio.AudioError):
+            audio.decode(broken)
+
+
+def test_rows_with_a_null_side_stay(spark):
+    df = spark.createDataFrame([(1, ["a"], None), (2, None, None), (3, ["a"], ["b"]), (4, [f"w{i}" for i in range(3000)], [])], "i int, r array<string>, h array<string>")
+    assert {x["i"]: x["word_errors"] for x in align.with_errors(df, "r", "h").collect()} == {1: None, 2: None, 3: 1, 4: 3000}
+
+
+def test_long_alignment_in_bounded_memory():
+    """Twenty thousand tokens on either side; the table takes a quarter of a byte for each cell."""
+    import resource
+
+    rng = random.Random(7)
+    ref = [f"w{rng.randrange(500)}" for _ in range(20_000)]
+    hyp = [t if rng.random() > 0.05 else "x" for t in ref if rng.random() > 0.05]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    s, d, i, pairs = align.align_tokens(ref, hyp)
+    assert len(ref) - d == len(hyp) - i and len(pairs) == s and s + d + i < 2500
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20
