@@ -62,13 +62,13 @@ def validate(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
     Lines that are not JSON have the error bad_json. Unknown keys are dropped. A NaN duration is rejected.
     """
-    # rand() is never below 0; it keeps a filter on the outcome above this column, so that no line is parsed for each rule
-    df = lines.withColumn("_parsed", F.when(F.rand(0) >= 0, _parsed(F.col(line_col))))
+    df = lines.withColumn("_parsed", _parsed(F.col(line_col)))
     p = F.col("_parsed")
     found = [("bad_json", p["kind"].isNull()), *failures(p)]
-    df = df.withColumn("errors", F.array_compact(F.array(*(F.when(bad, F.lit(code)) for code, bad in found))))
-    df = df.withColumn("error", F.when(F.size("errors") > 0, F.get("errors", F.lit(0))))
-    df = df.withColumn("errors", F.when(F.col("error").isin("bad_json", "not_an_object"), F.slice("errors", 1, 1)).otherwise(F.col("errors")))
+    codes = [F.when(bad, F.lit(code)) for code, bad in found]
+    df = df.withColumn("error", F.coalesce(*codes))
+    first = F.col("error").isin("bad_json", "not_an_object")
+    df = df.withColumn("errors", F.when(first, F.array("error")).otherwise(F.array_compact(F.array(*codes))))
     good = F.col("error").isNull()
     fields = [F.when(good, p[n]["text"].try_cast("double") if n == "duration_sec" else p[n]["text"]).alias(n) for n in (*REQUIRED, *OPTIONAL)]
     return df.select(*lines.columns, *fields, "error", "errors")
