@@ -9,6 +9,7 @@ import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +22,20 @@ SALTS = 16
 _KEPT: dict = {}
 
 
+def give_back() -> None:
+    """Give a worker's free memory back to the machine, where its libraries can: workers wait for the next stage beside it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def kept_by_worker(key, make):
     """What a Python worker keeps from task to task: make(), for one key at a time. Workers are used again by later stages,
     and what an earlier operator remembered would only take their memory."""
     if key not in _KEPT:
         _KEPT.clear()
         gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # give free memory back where the C library can
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 

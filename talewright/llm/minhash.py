@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, join_hot, kept_by_worker, maybe_broadcast, shuffle_partitions, staged, table, text_or_empty
+from .common import Workspace, give_back, join_hot, kept_by_worker, maybe_broadcast, shuffle_partitions, staged, table, text_or_empty
 from .components import components
 
 #: Bands of minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40 = 1e-7.
@@ -30,7 +30,7 @@ SKETCH_BITS, SKETCH_LIMIT = 512, 140
 #: Members of a tile, and members that are verified against one representative at a time.
 TILE, MEMBERS = 256, 512
 #: Comparisons of sketches that a task makes, about, and those it holds at once.
-COMPARED, PAIRS = 100_000_000, 1 << 20
+COMPARED, PAIRS = 100_000_000, 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RANDOM = np.random.default_rng(20240607)
 _FACTORS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,6 +111,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     bands.append(None)
                     odd.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))], names=["id", "cls", "n", "bands", "odd"])
+        give_back()
 
     return docs.mapInArrow(run, _SIGNED.format(kind=docs.schema["id"].dataType.simpleString()))
 
@@ -122,6 +123,7 @@ def _with_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, width: int,
         for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
             found = [shingle_set(text.as_py(), width) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["c", "cls", "s"])
+        give_back()
 
     needed = work.staged(wanted.select("c").distinct(), name)
     texts = docs.join(maybe_broadcast(needed.withColumnRenamed("c", "id")), "id").dropDuplicates(["id", "text"])
@@ -262,6 +264,7 @@ def _verify_rest(members: DataFrame, sketch: DataFrame, docs: DataFrame, reps: D
                     side = [f"{c}:{int(t == ta)}" for c, t, ta in zip(*(own[x].to_pylist() for x in ("c", "t", "ta")))]
                     marks += [xxhash.xxh3_128_digest("\n".join(sorted(side)).encode())] * k
             yield from some.append_column("mark", pa.array(marks, pa.binary())).to_batches()
+        give_back()
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
         ta, tb = group["ta"].iloc[0], group["tb"].iloc[0]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept_by_worker, table, text_or_empty
+from .common import give_back, kept_by_worker, table, text_or_empty
 
 #: Labelled rows of each class that a fit takes at most, lowest hash of the id first, and characters of all of them at which
 #: it takes no more.
@@ -406,6 +406,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             p = scorer(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], names=["id", "score", "predicted"])
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
 
@@ -419,6 +420,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         scorer = _scorer_of(sent.value)
         for batch in batches:
             yield batch.filter(pa.array(scorer(batch.column(at)) < 0.5, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
