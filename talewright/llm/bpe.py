@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept_by_worker, table
+from .common import kept_by_worker, modest_batches, table
 
 #: Fixed value: the pattern that cuts a text into words before merging.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -204,6 +204,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     rows and null or repeated ids give a row each; other columns, whatever their names, are not read. No shuffle;
     whole texts, a batch at a time.
     """
+    modest_batches(docs.sparkSession)
     sent = _content(docs.sparkSession, path)
     kind = docs.schema[id_col].dataType.simpleString()
 

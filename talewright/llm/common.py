@@ -138,6 +138,14 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python workers and back in Arrow batches of `rows` rows, unless the session asks for a number of its own:
+    batches of Spark's default of 10,000 whole texts stand four times over beside an executor's heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == 10_000:
+        spark.conf.set(name, str(rows))
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

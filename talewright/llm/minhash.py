@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, give_back, join_hot, kept_by_worker, maybe_broadcast, shuffle_partitions, staged, table, text_or_empty
+from .common import Workspace, give_back, join_hot, kept_by_worker, maybe_broadcast, modest_batches, shuffle_partitions, staged, table, text_or_empty
 from .components import components
 
 #: Bands of minima: a pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 40 = 1e-7.
@@ -308,6 +308,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts; of them and of equal texts nothing is lost. Rows without an id are linked with nothing: component_id is
     null, kept true. Other columns, whatever their names, are not read. Ids may be of any type that can be ordered.
     """
+    modest_batches(docs.sparkSession)
     work = Workspace(docs.sparkSession, "near")
     base = docs.select(docs[id_col].alias("id"), text_or_empty(docs[text_col]).alias("text"))
     signed = work.staged(signatures(base, width), "signed")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, kept_by_worker, table, text_or_empty
+from .common import give_back, kept_by_worker, modest_batches, table, text_or_empty
 
 #: Labelled rows of each class that a fit takes at most, lowest hash of the id first, and characters of all of them at which
 #: it takes no more.
@@ -398,6 +398,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows and null or repeated ids give a row each; other columns, whatever their names, are not read. Texts are read
     whole; no shuffle.
     """
+    modest_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of _CODES numbers
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -413,6 +414,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that are not predicted toxic, all columns kept; the cases of score() hold."""
+    modest_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
