@@ -3,9 +3,9 @@
 Texts with the same shingle set are one class. Bands of minima put classes into buckets; each class of a bucket is
 held against the bucket's smallest. The minima are also folded into a parity bitmap (odd sketch), whose XOR with
 another's counts the minima that differ; pairs whose count is out of reach for the threshold go, the rest are held
-against each other on their full sets. A bucket whose classes are then still in several components is settled by itself:
-members of different components are held against each other, sketches first, so that no link is lost because a
-bucket's smallest class was not like the others, and work is spent only on pairs that a bucket proposes.
+against each other on their full sets. Buckets whose classes are then still in several components are settled, those
+with the same smallest class at once: members of different components are held against each other, sketches first, so
+that no link is lost because a bucket's smallest class was not like the others.
 """
 
 from __future__ import annotations
@@ -173,8 +173,18 @@ def _open_pairs(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> np.ndarray:
     return near & (_differing(np.stack(x["odd"].to_list()), np.stack(y["odd"].to_list())) <= SKETCH_LIMIT)
 
 
+def _open_stars(members: DataFrame, work: Workspace) -> DataFrame:
+    """Members (key, c, root, first) of the stars of buckets (key, rep, c, root) with more than one component; the new key is the
+    star's. Buckets with the same smallest class are settled as one, so that near texts, which share many of a text's bands,
+    stand there once and not once for each band."""
+    members = work.staged(members, "rooted")
+    several = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key")
+    stars = members.join(several, "key", "left_semi").select("rep", "c", "root").distinct()
+    return work.staged(stars.select(F.xxhash64("rep").alias("key"), "c", "root", (F.col("c") == F.col("rep")).alias("first")), "members")
+
+
 def _tiles(members: DataFrame, work: Workspace) -> tuple[DataFrame, int]:
-    """Members (key, c, root) of buckets with more than one component, dealt into tiles of about TILE members by a hash, a row
+    """Members (key, c, root) of stars with more than one component, dealt into tiles of about TILE members by a hash, a row
     for each pair of tiles (ta <= tb) that a member is in; and about how many comparisons that makes.
 
     A bucket of up to TILE members is one tile. In a larger one the largest component has tiles of its own, which are
@@ -325,7 +335,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     close = join_hot(close, work.staged(close.groupBy("rep").agg(F.count(F.lit(1)).alias("m")), "sizes"), "rep", "c")
     links = work.staged(_verify_stars(close, base, reps, width, percent, work), "links")
     first = work.staged(components(links, work).select(F.col("node").alias("c"), "root"), "first")
-    members = inside.join(maybe_broadcast(first), "c", "left").select("key", "c", F.coalesce("root", "c").alias("root"), (F.col("c") == F.col("rep")).alias("first"))
+    members = _open_stars(inside.join(maybe_broadcast(first), "c", "left").select("key", "rep", "c", F.coalesce("root", "c").alias("root")), work)
     more = work.staged(_verify_rest(members, sketch, base, reps, width, percent, work), "more")
     # rows that share an id tie their classes together
     tied = known.select("cls", F.col("id").alias("v")).join(reps.select("cls", F.col("c").alias("u")), "cls").where("u != v").select("u", "v").distinct()

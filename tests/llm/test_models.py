@@ -408,6 +408,24 @@ def test_near_duplicates(spark, monkeypatch, tile):
     assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted(i for i in ids if got[i][3]) and kept.columns == frame(spark, texts).columns
 
 
+def test_members_stand_once_in_a_star(spark, monkeypatch):
+    """Texts that are near, many of them under the threshold, share many bands; what is left open is no row for each band."""
+    rows, tiles = [], minhash._tiles
+    monkeypatch.setattr(minhash, "_tiles", lambda members, work: rows.append((members.count(), members.select("c").distinct().count())) or tiles(members, work))
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for at in rng.sample(range(120), rng.choice([2, 3, 4, 5])):
+            w[at] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    ids = rng.sample(range(1000), len(texts))
+    got = {r["doc_id"]: tuple(r) for r in minhash.near_duplicates(frame(spark, texts, ids), width=4).collect()}
+    assert [got[i] for i in ids] == near_of(texts, ids) and len({r[2] for r in got.values()}) > 5
+    assert rows[0][1] > 40 and rows[0][0] <= 8 * rows[0][1]
+
+
 def test_near_duplicates_odd_ids(spark):
     rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "p q r s t u"), (9, "p q r s t u"), (5, "a b c d e f")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
