@@ -10,9 +10,12 @@ step, one id of each at a time, with numpy; shares and weights are renewed at fi
 
 from __future__ import annotations
 
+import json
 import re
+import string
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -23,19 +26,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import _SAFE_SPACE, vocabulary_path
+from .bpe import _SAFE_SPACE, byte_letters, vocabulary_path
 from .common import kept_by_worker, shuffle_partitions, staging_path, table
 
 #: Id that ends a document.
 END_ID = 2
 #: Ids of a block, and of a section at least.
-BLOCK, SECTION = 4096, 4 << 20
+BLOCK, SECTION = 4096, 8 << 20
 #: Ids of at most two bytes are coded.
 MAX_ID = 0xFFFF
 MAGIC = b"TWTK2"
 _SPACE = re.compile(r"\s")
+#: Marks that may stand behind the letters of a word, and where the letters end that all versions of Unicode have as such.
+_MARKS, _LETTERS_END = string.punctuation, "\u0250"
+_LINE = re.compile(f"[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+[{re.escape(_MARKS)}]*")
+_MARK_LETTER = re.compile(f"[{re.escape(_MARKS)}][^\\W\\d_]")
 #: Words of a generation whose ids a worker remembers; a full one becomes the old one, from which words in use come back.
-MEMO = 400_000
+MEMO = 800_000
 #: A space between two characters that are not white space is where a text may be cut; this finds two of the latter in a row
 #: (a superset of them), in the syntax of Arrow's regular expressions.
 _WIDE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]{2}"
@@ -44,7 +51,11 @@ _WIDE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]{2}"
 _S2, _S1 = 2048, 2048
 _STRETCH = np.clip(np.round(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int64)
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, 4095).astype(np.int64)
-_ONE, _FULL = 1 << 16, 3 << 16  # of the confidence that stands above an entry's id
+_ONE, _FULL = np.uint32(1 << 16), np.uint32(3 << 16)  # of the confidence that stands above an entry's id
+#: Places of a cell: 24 for each step of the order-2 confidence, 6 of the order-1 confidence, 3 for agreement.
+_STEPS, _AGREE = np.array([[24], [6]], np.uint8), np.uint8(3)
+#: Factors and shift of the hash of two ids.
+_MIX = np.uint16(40503), np.uint16(30011), np.uint16(17 - _S2.bit_length())
 #: Bits of the shares of frequency classes.
 _SHARE = 10
 #: An interval is kept between _LOW and _TOP; its top bits leave it as words.
@@ -65,6 +76,10 @@ def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _CLASS, _FIRST, _BITS = _classes()
 
 
+#: Steps of a run at most, whose counts are taken together.
+_RUN = 128
+
+
 def _due(step: int) -> bool:
     """Whether shares and weights are renewed before this step."""
     return step >= 16 and (step % 512 == 0 or step & (step - 1) == 0)
@@ -77,16 +92,16 @@ class _Model:
         self.lanes, self.classes = lanes, len(prior)
         lane = np.arange(lanes)
         self.size1 = min(_S1, 1 << max(int(alphabet - 1).bit_length(), 1))
-        self.base2, self.base1, self.base0 = lane * _S2, lane * self.size1, lane * self.classes
-        self.t2, self.t1 = np.zeros(lanes * _S2, np.uint32), np.zeros(lanes * self.size1, np.uint32)
+        self.base0 = lane * self.classes
+        # both tables in one, order 2 first
+        self.base = np.stack([lane * _S2, lanes * _S2 + lane * self.size1])
+        self.table = np.zeros(lanes * (_S2 + self.size1), np.uint32)
         # (order-2 confidence, order-1 confidence, whether both say the same), three outcomes each
         self.cell = lane * 96
-        self.seen = np.zeros(lanes * 96, np.int32)
+        self.seen = np.zeros(lanes * 96, np.int64)
         self.weights = np.tile(np.array([[45000, 12000], [45000, 25000]]), (lanes, 1, 1))
         self.shares = np.tile(prior.astype(np.int64), (lanes, 1))
-        self.escaped = np.zeros(lanes * self.classes, np.int32)
-        self.a = np.zeros(lanes, np.uint16)
-        self.b = np.zeros(lanes, np.uint16)
+        self.escaped = np.zeros(lanes * self.classes, np.int64)
         self.lookup: np.ndarray | None = None
         self.renew()
 
@@ -127,24 +142,50 @@ class _Model:
         """Class at each of the 1 << _SHARE shares, for the decoder."""
         self.lookup = np.repeat(np.tile(np.arange(self.classes, dtype=np.uint8), self.lanes), self.width)
 
-    def predict(self, n: int) -> None:
-        """Candidates and cells of the first n lanes."""
-        a, b = self.a[:n], self.b[:n]
-        self.i2 = self.base2[:n] + (a * np.uint16(40503) + b * np.uint16(30011) >> np.uint16(17 - _S2.bit_length()))
-        self.i1 = self.base1[:n] + (b & np.uint16(self.size1 - 1))
-        self.e2, self.e1 = self.t2.take(self.i2), self.t1.take(self.i1)
-        self.p2, self.p1 = self.e2.astype(np.uint16), self.e1.astype(np.uint16)
-        # 24 for each step of the first confidence, 6 of the second, 3 for agreement
-        self.k = self.cell[:n] + ((self.e2 >> 16) * 24 + (self.e1 >> 16) * 6 + (self.p1 == self.p2) * np.uint32(3))
-
-    def update(self, n: int, x: np.ndarray, k: np.ndarray, right2: np.ndarray) -> None:
-        """x: the ids; k: the cells with their outcome; right2: whether the order-2 candidate was right."""
-        self.seen[k] = self.seen.take(k) + 1
-        for t, i, e, right in ((self.t2, self.i2, self.e2, right2), (self.t1, self.i1, self.e1, x == self.p1)):
-            missed = np.where(e >= _ONE, e - np.uint32(_ONE), x)
-            t[i] = np.where(right, np.minimum(e + np.uint32(_ONE), e | np.uint32(_FULL)), missed)
-        self.a[:n] = self.b[:n]
-        self.b[:n] = x
+    def keep(self, n: int) -> None:
+        """Go on with the first n lanes only."""
+        self.base, self.cell = self.base[:, :n].copy(), self.cell[:n]
+
+    def places(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places in the tables behind the ids a, b of all lanes, of one step or of many."""
+        out = np.empty((*a.shape[:-1], 2, a.shape[-1]), np.int64)
+        np.add(self.base[0], a * _MIX[0] + b * _MIX[1] >> _MIX[2], out=out[..., 0, :])
+        np.add(self.base[1], b & np.uint16(self.size1 - 1), out=out[..., 1, :])
+        return out
+
+    def predict(self, places: np.ndarray) -> None:
+        """Candidates and cells of all lanes."""
+        self.i = places
+        self.e = self.table.take(places, mode="clip")
+        self.p = self.e.astype(np.uint16)
+        sure = (self.e >> 16).astype(np.uint8)
+        sure *= _STEPS
+        sure[0] += sure[1]
+        sure[0] += (self.p[0] == self.p[1]).view(np.uint8) * _AGREE
+        self.k = self.cell + sure[0]
+
+    def update(self, x: np.ndarray, right: np.ndarray) -> None:
+        """x: the ids; right: whether the candidates of order 2 and 1 were."""
+        e = self.e
+        missed = np.where(e >= _ONE, e - _ONE, x)
+        self.table[self.i] = np.where(right, np.minimum(e + _ONE, e | _FULL), missed)
+
+    def count(self, cells: np.ndarray, escapes: np.ndarray) -> None:
+        """Take down the cells with their outcome and the places of escaped classes of some steps."""
+        self.seen += np.bincount(cells.ravel(), minlength=len(self.seen))
+        self.escaped += np.bincount(escapes, minlength=len(self.escaped))
+
+
+def _runs(sizes: list[int]) -> Iterator[tuple[int, int, int]]:
+    """Begin, end and number of lanes of runs of steps; shares and weights are renewed, and lanes end, between runs only."""
+    ends = set(sizes)
+    begin, n = 0, len(sizes)
+    for step in range(1, sizes[0] + 1 if sizes else 1):
+        if step in ends or _due(step) or step - begin == _RUN:
+            yield begin, step, n
+            while n and sizes[n - 1] <= step:
+                n -= 1
+            begin = step
 
 
 def _packed(words: np.ndarray) -> bytes:
@@ -165,67 +206,70 @@ def encode_blocks(ids: np.ndarray, alphabet: int, prior: np.ndarray) -> list[byt
     blocks = -(-len(ids) // BLOCK)
     grid = np.zeros((blocks, BLOCK), np.uint16)
     grid.reshape(-1)[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.T)
-    short = len(ids) - (blocks - 1) * BLOCK
+    # two steps of zeros come first
+    grid = np.pad(grid.T, ((2, 0), (0, 0)))
     model = _Model(blocks, alphabet, prior)
-    low, span = np.zeros(blocks, np.int64), np.full(blocks, _TOP - 1)
-    # the words of a lane are a column, so that lanes, which are about as far, write near each other
-    out, at = np.zeros((2 * BLOCK + 8) * blocks, np.int32), np.arange(blocks)
-
-    def shift(n: int, narrow: np.ndarray) -> None:
-        """Write the top bits of the first n lanes; only where the interval is narrow they leave it. A carry goes back to what is
-        written."""
-        word = low[:n] >> 40
-        out[at[:n]] = word
-        if len(carried := np.flatnonzero((word >> _WORD) & narrow)):
-            for i in at[carried]:
-                out[i] &= (1 << _WORD) - 1
-                i -= blocks
-                while out[i] == (1 << _WORD) - 1:
-                    out[i] = 0
-                    i -= blocks
-                out[i] += 1
-        at[:n] += narrow * blocks
-        by = narrow * np.int64(_WORD)
-        low[:n] = (low[:n] - (word << 40) * narrow) << by
-        span[:n] <<= by
-
-    for step in range(min(BLOCK, len(ids))):
-        n = blocks if step < short else blocks - 1
-        if _due(step):
+    whole = low = np.zeros(blocks, np.int64)
+    span = np.full(blocks, _TOP - 1)
+    # words that have left, carries still on them, and their lanes
+    words: list[np.ndarray] = []
+    lanes: list[np.ndarray] = []
+
+    def shift(of: np.ndarray) -> np.ndarray:
+        """The top bits of these lanes leave; their intervals after it."""
+        top = low[of]
+        words.append(top >> 40)
+        lanes.append(of.astype(np.uint16 if blocks <= 1 << 16 else np.int64))
+        low[of] = (top & (1 << 40) - 1) << _WORD
+        span[of] = wide = span[of] << _WORD
+        return wide
+
+    for begin, end, n in _runs([min(BLOCK, len(ids) - i * BLOCK) for i in range(blocks)]):
+        if n < len(span):
+            low, span = whole[:n], span[:n]
+            model.keep(n)
+        if _due(begin):
             model.renew()
-        x = grid[step, :n]
-        model.predict(n)
-        right2 = x == model.p2
-        outcome = (2 - (x == model.p1).view(np.uint8)) * ~right2
-        k = model.k + outcome
-        plan = model.plan.take(k)
-        part = span[:n] >> 12
-        more = part * (plan >> 16)
-        inside = part * (plan & 0xFFFF)
-        # the escape's interval is cut for all lanes and taken by those that escape
-        escape = outcome == 2
-        c = _CLASS.take(x)
-        j = model.base0[:n] + c
-        share = model.share.take(j)
-        part = inside >> _SHARE
-        begin = part * (share >> 16)
-        part *= share & 0xFFFF
-        part >>= _BITS.take(c)
-        begin += part * (x - _FIRST.take(c))
-        low[:n] += more + begin * escape
-        span[:n] = np.where(escape, part, inside)
-        model.escaped[j] = model.escaped.take(j) + escape
-        shift(n, span[:n] < _LOW)
-        while (narrow := span[:n] < _LOW).any():
-            shift(n, narrow)
-        model.update(n, x, k, right2)
+        # what does not hang on the models: place in the shares, bits of the class and place in the class
+        before2, before1, own = (grid[begin + i : end + i, :n] for i in range(3))
+        classes = _CLASS.take(own)
+        place, bits, rest = classes + model.base0[:n], _BITS.take(classes), (own - _FIRST.take(classes)).astype(np.int64)
+        cells, escapes = np.empty((end - begin, n), np.int64), np.empty((end - begin, n), bool)
+        for row, (x, places) in enumerate(zip(own, model.places(before2, before1))):
+            model.predict(places)
+            right = model.p == x
+            escape = np.logical_not(right[0] | right[1], out=escapes[row])
+            k = np.add(model.k, (~right[0]).view(np.uint8) + escape.view(np.uint8), out=cells[row])
+            plan = model.plan.take(k, mode="clip")
+            part = span >> 12
+            low += part * (plan >> 16)
+            inside = part * (plan & 0xFFFF)
+            # the escape's interval is cut for all lanes and taken by those that escape
+            share = model.share.take(place[row], mode="clip")
+            part = inside >> _SHARE
+            more = part * (share >> 16)
+            part *= share & 0xFFFF
+            part >>= bits[row]
+            more += part * rest[row]
+            more *= escape
+            low += more
+            span = np.where(escape, part, inside)
+            of = np.flatnonzero(span < _LOW)
+            while len(of):
+                of = of[shift(of) < _LOW]
+            model.update(x, right)
+        model.count(cells, place[escapes])
+    low, span = whole, np.zeros(blocks, np.int64)
     for _ in range(3):
-        shift(blocks, np.ones(blocks, bool))
-    rows = out.reshape(-1, blocks)
-    return [_packed(rows[: end // blocks, i].astype(np.int64)) for i, end in enumerate(at.tolist())]
-
-
+        shift(np.arange(blocks))
+    lane = np.concatenate(lanes)
+    left = np.concatenate(words)[np.argsort(lane, kind="stable")]
+    # a carry goes to the word before, in the same lane: no lane's first has one
+    while len(over := np.flatnonzero(left >> _WORD)):
+        left[over] -= 1 << _WORD
+        left[over - 1] += 1
+    ends = np.cumsum(np.bincount(lane, minlength=blocks)).tolist()
+    return [_packed(left[a:b]) for a, b in zip([0, *ends], ends)]
 def decode_blocks(parts: list[bytes], sizes: list[int], alphabet: int, prior: np.ndarray) -> list[np.ndarray]:
     """The ids of blocks, whose sizes must not grow."""
     blocks = len(parts)
@@ -239,47 +283,52 @@ def decode_blocks(parts: list[bytes], sizes: list[int], alphabet: int, prior: np
     model.make_lookup()
     span = np.full(blocks, _TOP - 1)
     grid = np.zeros((sizes[0], blocks), np.uint16)
-    lengths, base = np.array(sizes), np.arange(blocks) << _SHARE
-
-    def shift(n: int, narrow: np.ndarray) -> None:
-        by = narrow * np.int64(_WORD)
-        code[:n] = code[:n] << by | data.take(at[:n], mode="clip") * narrow
-        at[:n] += narrow
-        span[:n] <<= by
-
-    for step in range(sizes[0]):
-        n = blocks if step < sizes[-1] else int(np.searchsorted(-lengths, -step, side="left"))
-        if _due(step):
+    base = np.arange(blocks) << _SHARE
+    a = b = np.zeros(blocks, np.uint16)
+
+    for begin, end, n in _runs(sizes):
+        if n < len(span):
+            code, span, at, base, a, b = code[:n], span[:n], at[:n], base[:n], a[:n], b[:n]
+            model.keep(n)
+        if _due(begin):
             model.renew()
-        model.predict(n)
-        plan = model.plan.take(model.k + 1)  # start and width of an order-1 hit
-        part = span[:n] >> 12
-        begin = part * (plan >> 16)
-        middle = part * (plan & 0xFFFF)
-        end = begin + middle
-        right2, escape = code[:n] < begin, code[:n] >= end
-        outcome = (1 + escape.view(np.uint8)) * ~right2
-        own = code[:n] - np.where(escape, end, begin * ~right2)
-        inside = np.where(escape, (part << 12) - end, np.where(right2, begin, middle))
-        # every lane is read as an escape; those that do escape keep what comes of it
-        part = inside >> _SHARE
-        share = np.minimum(own.view(np.uint64) // part.view(np.uint64), np.uint64((1 << _SHARE) - 1)).view(np.int64)
-        c = model.lookup.take(base[:n] + share)
-        j = model.base0[:n] + c
-        of = model.share.take(j)
-        rest = own - part * (of >> 16)
-        part *= of & 0xFFFF
-        part >>= _BITS.take(c)
-        place = rest.view(np.uint64) // part.view(np.uint64)
-        code[:n] = np.where(escape, rest - part * place.view(np.int64), own)
-        span[:n] = np.where(escape, part, inside)
-        x = np.where(escape, place.astype(np.uint16) + _FIRST.take(c), np.where(right2, model.p2, model.p1))
-        model.escaped[j] = model.escaped.take(j) + escape
-        shift(n, span[:n] < _LOW)
-        while (narrow := span[:n] < _LOW).any():
-            shift(n, narrow)
-        grid[step, :n] = x
-        model.update(n, x, model.k + outcome, right2)
+        base0 = model.base0[:n]
+        cells, escapes, places = np.empty((end - begin, n), np.int64), np.empty((end - begin, n), bool), np.empty((end - begin, n), np.int64)
+        for row in range(end - begin):
+            model.predict(model.places(a, b))
+            plan = model.plan.take(model.k + 1, mode="clip")  # start and width of an order-1 hit
+            part = span >> 12
+            right2 = code < part * (plan >> 16)
+            escape = np.greater_equal(code, part * ((plan >> 16) + (plan & 0xFFFF)), out=escapes[row])
+            k = np.add(model.k, (~right2).view(np.uint8) + escape.view(np.uint8), out=cells[row])
+            plan = model.plan.take(k, mode="clip")
+            own = code - part * (plan >> 16)
+            inside = part * (plan & 0xFFFF)
+            # every lane is read as an escape; those that do escape keep what comes of it
+            part = inside >> _SHARE
+            share = np.minimum(own.view(np.uint64) // part.view(np.uint64), np.uint64((1 << _SHARE) - 1)).view(np.int64)
+            share += base
+            c = model.lookup.take(share, mode="clip")
+            j = np.add(base0, c, out=places[row])
+            of = model.share.take(j, mode="clip")
+            rest = own - part * (of >> 16)
+            part *= of & 0xFFFF
+            part >>= _BITS.take(c, mode="clip")
+            place = (rest.view(np.uint64) // part.view(np.uint64)).view(np.int64)
+            code = np.where(escape, rest - part * place, own)
+            span = np.where(escape, part, inside)
+            x = np.where(escape, place.astype(np.uint16) + _FIRST.take(c, mode="clip"), np.where(right2, model.p[0], model.p[1]))
+            narrow = np.flatnonzero(span < _LOW)
+            while len(narrow):
+                where = at[narrow]
+                code[narrow] = code[narrow] << _WORD | data.take(where, mode="clip")
+                at[narrow] = where + 1
+                span[narrow] = wide = span[narrow] << _WORD
+                narrow = narrow[wide < _LOW]
+            grid[begin + row, :n] = x
+            model.update(x, model.p == x)
+            a, b = b, x
+        model.count(cells, places[escapes])
     return [grid[:size, i] for i, size in enumerate(sizes)]
 
 
@@ -337,25 +386,76 @@ class LibraryEncoder:
         self.library.no_padding()
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {"": b""}
         size = self.library.get_vocab_size(with_added_tokens=True)
         if size > MAX_ID + 1:
             raise ValueError(f"ids above {MAX_ID} do not fit this format")
         self.begins = np.array([str(self.library.id_to_token(i)).startswith("\u0120") for i in range(size)])
         self.line_end = self.library.token_to_id("\u010a")
+        self.line = np.array([self.line_end or 0], "<u2").tobytes()
+        self.plain = self.line_end is not None and self._cuts_words(json.loads(content))
+        self.model, self.letters = self.library.model, dict(enumerate(byte_letters()))
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2")
+    @staticmethod
+    def _cuts_words(spec: dict) -> bool:
+        """Whether letters, with a space before them or not, and marks behind them are a word each to this vocabulary, whose bytes
+        go to the model as letters; no added token may stand inside."""
+        cut = spec.get("pre_tokenizer") or {}
+        bytewise = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        return bool(bytewise and spec["model"].get("type") == "BPE" and not spec.get("normalizer") and all(map(_MARK_LETTER.search, added)))
 
-    def _ask(self, parts: list[str]) -> list[bytes]:
-        """Ids of every part with a space before it. Parts are joined and cut again where a token begins with a space,
-        which within a part no token does; parts with a space inside or white space at an end are asked for one by one."""
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words by the library's model alone; each is one word to the library's cut and holds no line end."""
+        ask = self.model.tokenize
+        for at in range(0, len(words), 4096):
+            some = "\n".join(words[at : at + 4096]).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
+            yield from (array("H", [t.id for t in ask(w)]).tobytes() for w in some)
+
+    def _ask(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of every part with a space before it, and of words found in them. Lines of letters with marks behind them are cut
+        here, and the library's model is asked for letters and marks that are not known."""
         out: dict[str, bytes] = {}
+        if not self.plain:
+            return self._ask_whole(out, parts)
+        lines = {p: q for p in parts if "\n" in p and all(map(_LINE.fullmatch, q := p.split("\n")))}
+        known = self._known([q[0] for q in lines.values()])
+        asked = list({*parts, *(q[0] for q in lines.values())} - known.keys())
+        out.update(known)
+        stems = [p.rstrip(_MARKS) for p in asked]
+        alone = [s.isalpha() and (s.isascii() or max(s) < _LETTERS_END) for s in stems]
+        cut = [(p, s) for p, s, a in zip(asked, stems, alone) if a and len(s) < len(p)]
+        out.update(self._known([s for _, s in cut]))
+        words = list({s for s, a in zip(stems, alone) if a and s not in out})
+        out.update(zip(words, self._words([" " + w for w in words])))
+        # marks, and what begins a line, have no space before them
+        later = {p: [(s := x.rstrip(_MARKS), x[len(s) :]) for x in q[1:]] for p, q in lines.items()}
+        if len(self.bare) > MEMO:
+            self.bare = {"": b""}
+        bare = list(({p[len(s) :] for p, s in cut} | {w for q in later.values() for pair in q for w in pair}) - self.bare.keys())
+        self.bare.update(zip(bare, self._words(bare)))
+        ids = self.bare
+        out.update((p, out[s] + ids[p[len(s) :]]) for p, s in cut)
+        out.update((p, out[lines[p][0]] + b"".join([self.line + ids[s] + ids[m] for s, m in q])) for p, q in later.items())
+        return self._ask_whole(out, [p for p, a in zip(asked, alone) if not a and p not in lines])
+
+    def _known(self, parts: list[str]) -> dict[str, bytes]:
+        """Those parts that are remembered."""
+        return {p: i for p in parts if (i := self.memo.get(p) or self.old.get(p)) is not None}
+
+    def _ask_whole(self, out: dict[str, bytes], parts: list[str]) -> dict[str, bytes]:
+        """Parts are joined and cut again where a token begins with a space, which within a part no token does; parts with a space
+        inside or white space at an end are asked for one by one."""
         single = [p for p in parts if p and " " not in p and not p[0].isspace() and not p[-1].isspace()]
         for at in range(0, len(single), 4096):
             some = single[at : at + 4096]
             ids = self._ids(" " + " ".join(some))
             self._cut(out, some, ids, np.flatnonzero(self.begins[ids]), 0)
-        return [out[p] if p in out else self._ids(" " + p).tobytes() for p in parts]
+        out.update((p, self._ids(" " + p).tobytes()) for p in parts if p not in out)
+        return out
 
     def _heads(self, heads: list[str]) -> list[bytes]:
         """Ids of the first part of each text, asked for as lines."""
@@ -377,9 +477,8 @@ class LibraryEncoder:
         """Ids of distinct parts with a space before them."""
         known = list(map(self.memo.get, parts))
         if missing := [p for p, i in zip(parts, known) if i is None]:
-            new = {p: i for p in missing if (i := self.old.get(p)) is not None}
-            fresh = [p for p in missing if p not in new] if new else missing
-            new.update(zip(fresh, self._ask(fresh)))
+            new = {p: i for p, i in zip(missing, map(self.old.get, missing)) if i is not None}
+            new.update(self._ask([p for p in missing if p not in new] if new else missing))
             if len(self.memo) + len(new) > MEMO:
                 self.old, self.memo = self.memo, {}
             self.memo.update(new)
@@ -403,18 +502,16 @@ class LibraryEncoder:
         else:
             counts, words = pc.list_value_length(cut).to_numpy().astype(np.int64), cut.values
         coded = words.dictionary_encode()
-        distinct = self._remembered(coded.dictionary.to_pylist())
+        distinct = self._remembered(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         # the first part of a text has no space before it
         first = np.concatenate([[0], np.cumsum(counts)])[:-1]
         heads = self._heads(words.take(pa.array(first)).to_pylist())
         which = coded.indices.to_numpy().astype(np.int64)
         which[first] = len(distinct) + np.arange(len(heads))
         distinct += heads
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 2
-        flat, start = np.frombuffer(b"".join(distinct), "<u2"), np.cumsum(sizes) - sizes
-        each = sizes[which]
-        ends = np.cumsum(each)
-        ids = flat[np.repeat(start[which] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        found = pa.array(distinct, pa.large_binary()).take(pa.array(which))
+        each = pc.binary_length(found).to_numpy() // 2
+        ids = np.frombuffer(found.buffers()[2] or b"", "<u2", int(each.sum()))
         lengths = np.add.reduceat(each, first) if len(first) else each
         return ids, lengths
 

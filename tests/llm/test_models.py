@@ -168,6 +168,29 @@ def test_smaller_than_zlib(spark):
     assert (tokenfile.unpack_section(content, range(3, 5)) == ids[3 * tokenfile.BLOCK : 5 * tokenfile.BLOCK]).all()
 
 
+def test_known_words_are_not_asked_for_again(library):
+    """Marks behind a word and line ends inside a part cost no new look at letters that are known; ids stay the library's."""
+    encoder = tokenfile.LibraryEncoder(open(bpe.vocabulary_path(), "rb").read())
+    asked = []
+
+    class Model:
+        def tokenize(self, word, real=encoder.model):
+            asked.append(word)
+            return real.tokenize(word)
+
+    encoder.model = Model()
+    encoder.encode(pa.array(["a zebra été"]))
+    assert sorted(asked) == ["\u0120a", "\u0120zebra", "\u0120Ã©tÃ©"]
+    encoder.encode(pa.array(["a zebra, zebra!? été.\nThen"]))
+    assert sorted(asked[3:]) == ["!?", ",", ".", "Then"]
+    rng = random.Random(11)
+    letters = ["ab", "Zoë", "don", "t", "s", "'", "'s", ".", ",", "\n", "\n", " ", " ", " ", "7", "ß", "\u0250", "×", "ª", "\u00a0", "\t", "<|endoftext|>", "<|", "|>", "日本", "é"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(2000)]
+    ids, lengths = encoder.encode(pa.array(texts))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
 def test_token_files(spark, library):
     path = staging_path(spark, "tokens")
     texts = ODD + ["the same"] * 3
