@@ -43,7 +43,7 @@ def is_canonical(sample_rate: Column, channels: Column, subtype: Column) -> Colu
 
 def to_mono(frames: Column) -> Column:
     """array<double> of array<array<double>>: the mean over the channels of each frame."""
-    return F.transform(frames, lambda f: F.aggregate(f, F.lit(0.0), lambda a, x: a + x) / F.size(f))
+    return F.transform(frames, lambda f: F.aggregate(f, F.lit(-0.0), lambda a, x: a + x) / F.size(f))
 
 
 def guard_peak(wave_: Column, peak: float = PEAK) -> Column:

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import inference
@@ -89,6 +89,15 @@ def alignment_sql(source: str, key: str) -> str:
 ), aligned AS (SELECT key, len(ref_tokens) AS ref_len, len(hyp_tokens) AS hyp_len, cells[len(hyp_tokens) + 1] AS z FROM r WHERE i = len(ref_tokens))"""
 
 
+def _round(x: Column, digits: int) -> Column:
+    """round() as the SQL's engine computes it: the scaled double to a whole number, halves away from zero, and scaled back.
+    Spark's own goes by the decimal form, which differs by one in the last digit where scaling meets a half."""
+    scaled = x * 10.0**digits
+    near = F.rint(scaled)
+    out = F.when(F.abs(scaled - near) == 0.5, scaled + F.signum(scaled) * 0.5).otherwise(near) / 10.0**digits
+    return F.when(F.isnan(out) | (F.abs(out) == float("inf")), x).otherwise(out)
+
+
 # ---------------------------------------------------------------- text
 
 
@@ -380,7 +389,7 @@ _R9 = lambda c: f"round({c}, 9)"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select(*(F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    return df.select(*(_round(F.col(c), 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
 @query("ag1_headline", f"""WITH {RECORDS} SELECT count(*) AS utterances, round(avg(wer), 9) AS wer_macro, round(avg(cer), 9) AS cer_macro, round(avg(exact_match::INT), 9) AS phrase_accuracy_global, round(avg(latency_ms), 9) AS latency_mean,
@@ -443,7 +452,7 @@ def ag12(spark, sf):
 def ag13(spark, sf):
     e = table(spark, sf, "events")
     seconds = summary.spoken_seconds(F.lit(0), F.when(F.col("value") > 50, (F.col("event_id") % 3).cast("double")).otherwise(0.0))
-    return e.select("event_id", F.round(summary.real_time_factor(F.col("value"), seconds), 9).alias("rtf"))
+    return e.select("event_id", _round(summary.real_time_factor(F.col("value"), seconds), 9).alias("rtf"))
 
 
 # ---------------------------------------------------------------- splits
@@ -476,14 +485,16 @@ def sp4(spark, sf):
 @query("au1_to_mono", "SELECT vec_id, list_transform(range(1, len(embedding) // 2 + 1), lambda i: round((embedding[2 * i - 1]::DOUBLE + embedding[2 * i]::DOUBLE) / 2, 12)) AS mono FROM embeddings")
 def au1(spark, sf):
     e = table(spark, sf, "embeddings")
-    frames = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 2).cast("int") - 1), lambda i: F.array(F.get("embedding", i * 2).cast("double"), F.get("embedding", i * 2 + 1).cast("double")))
-    return e.select("vec_id", F.transform(audio.to_mono(frames), lambda x: F.round(x, 12)).alias("mono"))
+    n = F.floor(F.size("embedding") / 2).cast("int")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    frames = F.when(F.col("embedding").isNotNull(), F.transform(places, lambda i: F.array(F.get("embedding", i * 2).cast("double"), F.get("embedding", i * 2 + 1).cast("double"))))
+    return e.select("vec_id", F.transform(audio.to_mono(frames), lambda x: _round(x, 12)).alias("mono"))
 
 
 @query("au3_peak_guard", """WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * (vec_id % 4)) AS w FROM embeddings), p AS (SELECT *, list_max(list_transform(w, lambda x: abs(x))) AS top FROM w)
 SELECT vec_id, list_transform(w, lambda x: round(CASE WHEN top > 0.95 THEN x * (0.95::DOUBLE / top) ELSE x END, 9) + 0.0) AS wave FROM p""")
 def au3(spark, sf):
-    return views.waves(spark, sf).select("vec_id", F.transform(audio.guard_peak(F.col("wave")), lambda x: F.round(x, 9) + 0.0).alias("wave"))
+    return views.waves(spark, sf).select("vec_id", F.transform(audio.guard_peak(F.col("wave")), lambda x: _round(x, 9) + 0.0).alias("wave"))
 
 
 _PCM = """w AS (SELECT vec_id, list_transform(embedding, lambda x: least(greatest(round_even(x::DOUBLE * (vec_id % 4) * 32768, 0), -32768), 32767)) AS w FROM embeddings),
@@ -543,7 +554,7 @@ def snk3(spark, sf):
     lines = spark.createDataFrame([(x,) for x in sinks.markdown(found).split("\n")], "line string")
     whole = lines.select(F.regexp_extract("line", r"^- Utterances: (\d+)", 1).alias("n")).where("n <> ''").select(F.col("n").cast("long").alias("whole"))
     cell = lambda i: F.trim(F.get(F.split("line", r"\|"), F.lit(i)))
-    rows = lines.where(r"line RLIKE '^\\| [a-z_]+ \\| [0-9]'").select(cell(1).alias("domain"), cell(2).cast("long").alias("utterances"), F.round(cell(3).cast("double"), 4).alias("mean_wer"), F.round(cell(4).cast("double"), 4).alias("phrase_accuracy"))
+    rows = lines.where(r"line RLIKE '^\\| [a-z_]+ \\| [0-9]'").select(cell(1).alias("domain"), cell(2).cast("long").alias("utterances"), _round(cell(3).cast("double"), 4).alias("mean_wer"), _round(cell(4).cast("double"), 4).alias("phrase_accuracy"))
     return rows.crossJoin(F.broadcast(whole))  # one row
 
 
@@ -697,13 +708,13 @@ def sp3(spark, sf):
 @query("au2_resample", f"WITH {_RESAMPLED} SELECT vec_id, n, list_transform(y, lambda v: round(CASE WHEN top > 0.95 THEN v * 0.95::DOUBLE / top ELSE v END, 2) + 0.0) AS samples FROM whole")
 def au2(spark, sf):
     w = _clips(spark, sf).select("vec_id", readers.canonical_samples("content").alias("w"))
-    return w.select("vec_id", F.size("w").cast("long").alias("n"), F.transform("w", lambda x: F.round(x.cast("double"), 2) + 0.0).alias("samples"))
+    return w.select("vec_id", F.size("w").cast("long").alias("n"), F.transform("w", lambda x: _round(x.cast("double"), 2) + 0.0).alias("samples"))
 
 
 @query("au5_model_waveform", f"WITH {_RESAMPLED} SELECT vec_id, round(least(top, 0.95::DOUBLE), 3) AS peak FROM whole")
 def au5(spark, sf):
     w = _clips(spark, sf).select("vec_id", readers.canonical_samples("content").alias("w"))
-    return w.select("vec_id", F.round(F.array_max(F.transform("w", lambda x: F.abs(x.cast("double")))), 3).alias("peak"))
+    return w.select("vec_id", _round(F.array_max(F.transform("w", lambda x: F.abs(x.cast("double")))), 3).alias("peak"))
 
 
 @query("ud2_stand_in", "SELECT vec_id, true AS ok, 'x' AS hypothesis, floor(len(embedding) // 2 / 44100::DOUBLE * 1000)::BIGINT AS model_ms, 'deterministic-stub' AS model_id FROM embeddings")

@@ -1,3 +1,5 @@
+import duckdb
+import numpy as np
 import pytest
 
 from talewright.operators import summary
@@ -28,3 +30,16 @@ def test_entry():
 def test_flagship(spark):
     rows = summary.per_domain(views.records(spark, SF)).collect()
     assert rows and all(0 <= r["mean_wer"] <= 2 for r in rows)
+
+
+def test_mono_rounds_as_sql(spark, tmp_path):
+    """Halves of the twelfth digit after scaling, short and missing vectors, negative zeros, values that are no numbers."""
+    nan, inf = float("nan"), float("inf")
+    odd = [[0.40020206570625305, 0.97602862119674683], [-0.19171848893165588, -0.42840373516082764], [0.5], [], None, [-0.0, -0.0], [nan, 1.0], [inf, 1.0], [None, 1.0], [1e30, 1.0], [1.0, 2.0, 3.0], [2.0**-12, 0.0]]
+    rng = np.random.default_rng(3)
+    vectors = odd + [[float(x) for x in v] for v in (rng.standard_normal((20_000, 16)) * 8).astype(np.float32)]
+    spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = QUERIES["au1_to_mono"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted((r["vec_id"], repr(r["mono"])) for r in found) == sorted((i, repr(m)) for i, m in con.sql(SQL["au1_to_mono"]).fetchall())
