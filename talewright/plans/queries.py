@@ -603,11 +603,13 @@ def src7(spark, sf):
 
 @query("src10_size_bound", "SELECT page_id, octet_length(encode(coalesce(html, ''))) + 1 AS length FROM pages WHERE octet_length(encode(coalesce(html, ''))) + 1 <= 3000")
 def src10(spark, sf):
-    """Pages as files, of which those within the bound are read."""
+    """Pages as files, a thousand ids to a folder, of which those within the bound are read; each row is a file of its own."""
     path = staging_path(spark, "files")
-    table(spark, sf, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value")).repartition("page_id").write.partitionBy("page_id").text(path)
-    found = readers.read_audio(spark, path, 3000).where(F.col("path").contains("/page_id="))
-    return found.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id"), F.octet_length("content").cast("long").alias("length"))
+    rows = table(spark, sf, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row"))
+    name = F.concat(F.lit(f"{path}/"), F.coalesce(F.expr("page_id div 1000"), F.lit(0)).cast("string"), F.lit("/page_id="), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("."), F.col("row").cast("string"))
+    sinks.write_files(rows.select(name.alias("target"), F.concat("html", F.lit("\n")).cast("binary").alias("content")))
+    found = readers.read_audio(spark, path, 3000).where(F.col("path").rlike(r"/page_id=-?\d*\.\d+$"))
+    return found.select(F.nullif(F.regexp_extract("path", r"/page_id=(-?\d*)\.\d+$", 1), F.lit("")).cast("long").alias("page_id"), F.octet_length("content").cast("long").alias("length"))
 
 
 @query("src11_environment", "SELECT true AS complete, true AS versioned")

@@ -119,9 +119,16 @@ def list_audio(spark: SparkSession, root: str, extensions: tuple[str, ...] = AUD
 
 
 def read_audio(spark: SparkSession, root: str, max_bytes: int | None = None) -> DataFrame:
-    """(path, length, content) of all files below root; larger ones than max_bytes are left unread."""
+    """(path, length, content) of all files below root; larger ones than max_bytes are left unread.
+
+    A small file counts as megabytes when splits are made, so that a task would read a few of them only: splits are read
+    one after the other by fewer tasks, up to 32 splits by each.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
-    return files if max_bytes is None else files.where(F.col("length") <= max_bytes)
+    if max_bytes is not None:
+        files = files.where(F.col("length") <= max_bytes)
+    splits = files.rdd.getNumPartitions()
+    return files.coalesce(max(min(splits, 4 * spark.sparkContext.defaultParallelism), -(-splits // 32), 1))
 
 
 @F.pandas_udf(INFO)

@@ -98,6 +98,19 @@ def _put(target: str, content: bytes) -> None:
     system.move(f"{path}.part", path)
 
 
+def write_files(files: DataFrame, target: str = "target", content: str = "content") -> int:
+    """Write each row's bytes as a file at its `target` path, local or in a store, that executors reach; gives their number.
+    Files are put in place by the tasks, with no list of them on the driver; a task that runs again puts the same ones."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for to, raw in zip(batch.column(0), batch.column(1)):
+                _put(to.as_py(), raw.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return files.select(target, content).mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_canonical(files: DataFrame, target: str = "target", overwrite: bool = True) -> DataFrame:
     """Write each row's canonical WAV to its `target` path, local or in a store, that executors reach; gives (path, target, status,
     reason, info) with the written file's facts. Two inputs with one target are a failure of all but the first path.

@@ -43,3 +43,15 @@ def test_mono_rounds_as_sql(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
     assert sorted((r["vec_id"], repr(r["mono"])) for r in found) == sorted((i, repr(m)) for i, m in con.sql(SQL["au1_to_mono"]).fetchall())
+
+
+def test_pages_are_files_of_their_own(spark, tmp_path):
+    """Repeated, negative and null ids, null and non-ASCII texts, the bound; files are put in place by tasks, not by a folder for each."""
+    rows = [(5, "a"), (5, "bb"), (-7, None), (None, "é" * 3), (8, "x" * 2999), (9, "x" * 3000), (1234567, "two\nlines\n")]
+    spark.createDataFrame(rows, "page_id long, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["src10_size_bound"](spark, str(tmp_path))
+    folders = {f.rsplit("/", 2)[-2] for f in found.inputFiles()}
+    assert len(folders) < len(rows) and not any("=" in f for f in folders)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, con.sql(SQL["src10_size_bound"]).fetchall()))
