@@ -30,6 +30,8 @@ def ngrams(tokens: Column, lengths: list[int]) -> Column:
     """All runs of tokens of the given lengths, joined by spaces."""
 
     def of(k: int) -> Column:
+        if k == 1:
+            return F.coalesce(tokens, F.array().cast("array<string>"))
         starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - k + 1, F.lit(1)))
         return F.when(F.size(tokens) >= k, F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, k), " "))).otherwise(F.array().cast("array<string>"))
 
@@ -53,6 +55,16 @@ def term_counts(pairs: DataFrame, terms: DataFrame, key: list[str], ref: str = "
     return counted.select(*key, F.explode("of").alias("t"), "expected", "predicted").select(*key, "t.category", "t.term", "expected", "predicted")
 
 
+def term_totals(pairs: DataFrame, terms: DataFrame, tokens: str = "ref_tokens") -> DataFrame:
+    """(term, n): how often each term stands in all token arrays, 0 for one that is nowhere; a term listed twice counts twice."""
+    words = term_words(F.col("term"))
+    listed = staged(terms.select("term", F.array_join(words, " ").alias("gram"), F.size(words).alias("k")), "terms")
+    lengths = sorted(r[0] for r in listed.where("k > 0").select("k").distinct().collect())  # a few word counts
+    known = small(staged(listed.where("k > 0").select("gram").distinct(), "grams"))
+    found = pairs.select(F.explode(ngrams(F.col(tokens), lengths)).alias("gram")).join(known, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(found, "gram", "left").groupBy("term").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+
+
 def score_terms(counts: DataFrame, key: list[str]) -> DataFrame:
     """(key, category, expected, predicted, correct, accuracy): correct is the lesser of both counts, accuracy null
     without an expected term."""

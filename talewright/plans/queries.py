@@ -346,10 +346,7 @@ def al4(spark, sf):
 
 @query("tm1_occurrences", f"WITH {TERMS} SELECT term, sum({_OCC.format('ref_tokens', 'w')})::BIGINT AS n FROM pairs, terms GROUP BY term")
 def tm1(spark, sf):
-    p, t = views.pairs(spark, sf).select("ref_tokens"), views.terms(spark, sf)
-    lists = t.agg(F.collect_list(F.struct("term", T.term_words(F.col("term")).alias("w"))).alias("terms"))  # a vocabulary of fixed size
-    each = p.crossJoin(F.broadcast(lists)).select(F.explode(F.transform("terms", lambda x: F.struct(x["term"].alias("term"), T.occurrences(F.col("ref_tokens"), x["w"]).alias("n")))).alias("x"))
-    return each.groupBy("x.term").agg(F.sum("x.n").alias("n"))
+    return T.term_totals(views.pairs(spark, sf), views.terms(spark, sf))
 
 
 @query("jn2_term_counts", f"WITH {COUNTS} SELECT conv_id, turn, pos, category, term, expected, predicted FROM counts")

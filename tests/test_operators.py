@@ -7,6 +7,7 @@ from talewright import inference
 from talewright.functions import align, audio
 from talewright.operators import requests, rules, split, summary
 from talewright.operators import terms as T
+from talewright.plans import queries
 from talewright.sources import readers, sinks
 
 GOOD = {"audio": "a.wav", "text": "halo", "language": "id", "speaker_id": "spk_1", "duration_sec": 2, "domain": "general", "source": "recorded"}
@@ -165,3 +166,14 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.read.parquet(str(tmp_path / "out")).first()["code"] == "ok"
+
+
+def test_term_totals(spark):
+    """Overlaps, nulls, terms that are nowhere, listed twice or without words; each pair is not set against each term."""
+    words = ["a a a b", "", None, "b a", "c"]
+    pairs = spark.createDataFrame([(None if w is None else w.split(),) for w in words], "ref_tokens array<string>")
+    listed = spark.createDataFrame([("x", t) for t in ("a", "A a", "a a a", "z", "b  a", "c", "c", " ")], "category string, term string")
+    found = T.term_totals(pairs, listed)
+    assert dict(map(tuple, found.collect())) == {"a": 4, "A a": 2, "a a a": 1, "z": 0, "b  a": 1, "c": 2, " ": 0}
+    tm1 = queries.QUERIES["tm1_occurrences"](spark, "/root/testdata/sf0.001")
+    assert "NestedLoopJoin" not in tm1._jdf.queryExecution().toString()
