@@ -74,7 +74,8 @@ def score_terms(counts: DataFrame, key: list[str]) -> DataFrame:
 
 def critical_substitutions(aligned: DataFrame, confusions: DataFrame, key: list[str]) -> DataFrame:
     """(key, reference_term, hypothesis_term) of substituted pairs that the confusion list forbids; one row each."""
-    pairs = aligned.select(*key, F.explode("alignment.pairs").alias("p")).select(*key, F.col("p.ref").alias("reference_term"), F.col("p.hyp").alias("hypothesis_term"))
+    # the outer form: of the other, Spark infers a filter on the pairs, for which all alignments are made once more
+    pairs = aligned.select(*key, F.explode_outer("alignment.pairs").alias("p")).select(*key, F.col("p.ref").alias("reference_term"), F.col("p.hyp").alias("hypothesis_term"))
     listed = staged(confusions.select(F.col("reference").alias("reference_term"), F.col("forbidden").alias("hypothesis_term")).distinct(), "confusions")
     return pairs.join(small(listed), ["reference_term", "hypothesis_term"]).select(*key, "reference_term", "hypothesis_term")
 
