@@ -6,8 +6,14 @@ Alignments with their operations run in an Arrow UDF, which takes pairs of like
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +21,8 @@ from .types import array, of, struct
 
 #: Cells of the tables of pairs that are aligned together, and such pairs at most.
 CELLS, TOGETHER = 1 << 22, 4096
+#: Tokens of pairs that are Python's own at once.
+AT_ONCE = 1 << 17
 #: Distinct tokens of a pair up to which the native distance is used.
 ALPHABET = 2048
 ALIGNMENT = struct(substitutions="int", deletions="int", insertions="int", ref_len="int", hyp_len="int", pairs=array(struct(ref="string", hyp="string")))
@@ -139,12 +147,41 @@ def _lists(tokens: pd.Series) -> list[list[str]]:
     return [list(t) if t is not None else [] for t in tokens]
 
 
-@F.pandas_udf(ALIGNMENT)
-def align(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
-    """The alignment of each pair; a null side counts as empty."""
-    refs, hyps = _lists(ref), _lists(hyp)
-    rows = [(s, d, i, len(r), len(h), [{"ref": a, "hyp": b} for a, b in pairs]) for (s, d, i, pairs), r, h in zip(align_pairs(refs, hyps), refs, hyps)]
-    return pd.DataFrame(rows, columns=["substitutions", "deletions", "insertions", "ref_len", "hyp_len", "pairs"])
+def _give_back() -> None:
+    """Return what a batch took, or a worker that lives on keeps the most that it ever had."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not everywhere
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _slices(ref: pa.Array, hyp: pa.Array) -> Iterator[tuple[int, int]]:
+    """(begin, number) of rows that hold about AT_ONCE tokens together."""
+    tokens = np.zeros(len(ref) + 1, np.int64)
+    for side in (ref, hyp):
+        tokens[1:] += np.cumsum(pc.fill_null(pc.list_value_length(side), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ref):
+        stop = max(at + 1, int(np.searchsorted(tokens, tokens[at] + AT_ONCE, "right")) - 1)
+        yield at, stop - at
+        at = stop
+
+
+def _aligned(ref: pa.Array, hyp: pa.Array) -> pa.Array:
+    refs, hyps = ([t or [] for t in side.to_pylist()] for side in (ref, hyp))
+    found = align_pairs(refs, hyps)
+    changed = [p for f in found for p in f[3]]
+    text = lambda k: pa.array([p[k] for p in changed], pa.string())
+    pairs = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[3]) for f in found)]), pa.int32()), pa.StructArray.from_arrays([text(0), text(1)], ["ref", "hyp"]))
+    counts = [pa.array(c, pa.int32()) for c in ([f[0] for f in found], [f[1] for f in found], [f[2] for f in found], [len(r) for r in refs], [len(h) for h in hyps])]
+    return pa.StructArray.from_arrays([*counts, pairs], ["substitutions", "deletions", "insertions", "ref_len", "hyp_len", "pairs"])
+
+
+@F.arrow_udf(ALIGNMENT)
+def align(ref: pa.Array, hyp: pa.Array) -> pa.Array:
+    """The alignment of each pair; a null side counts as empty. Some tokens at a time become Python's, whatever a batch holds."""
+    out = [_aligned(ref.slice(at, n), hyp.slice(at, n)) for at, n in _slices(ref, hyp)] or [_aligned(ref, hyp)]
+    _give_back()
+    return pa.concat_arrays(out)
 
 
 @F.pandas_udf(of("int"))

@@ -1,5 +1,7 @@
 import json
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +179,19 @@ def test_term_totals(spark):
     assert dict(map(tuple, found.collect())) == {"a": 4, "A a": 2, "a a a": 1, "z": 0, "b  a": 1, "c": 2, " ": 0}
     tm1 = queries.QUERIES["tm1_occurrences"](spark, "/root/testdata/sf0.001")
     assert "NestedLoopJoin" not in tm1._jdf.queryExecution().toString()
+
+
+def test_alignments_are_made_once(spark):
+    """Nulls, empty sides and slices of few tokens; what is read of an alignment does not make it again."""
+    rows = [(i, None if i % 7 == 0 else [f"t{(i * k) % 5}" for k in range(i % 9)], None if i % 11 == 0 else [f"t{(i + k) % 4}" for k in range(i % 6)]) for i in range(300)]
+    own = spark.createDataFrame(rows, "id int, ref_tokens array<string>, hyp_tokens array<string>")
+    for r in own.select("id", align.align("ref_tokens", "hyp_tokens").alias("a")).collect():
+        ref, hyp = rows[r["id"]][1] or [], rows[r["id"]][2] or []
+        s, d, i, pairs = align.align_tokens(ref, hyp)
+        assert tuple(r["a"])[:5] == (s, d, i, len(ref), len(hyp)) and [tuple(p) for p in r["a"]["pairs"]] == pairs
+    a = pa.array([["a"] * 9, None, ["b"]] * 50, pa.list_(pa.string()))
+    parts = list(align._slices(a, a))
+    assert sum(n for _, n in parts) == len(a) and [at for at, _ in parts] == [0, *np.cumsum([n for _, n in parts])[:-1].tolist()]
+    for name in ("ce1_critical_substitutions", "ag9_confusions"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1, name
