@@ -38,9 +38,10 @@ def _as_text(tokens: Column, known: Column, letters: Column) -> Column:
 
 def word_errors(ref: Column, hyp: Column) -> Column:
     """Substitutions, deletions and insertions together; null for pairs of more than ALPHABET distinct tokens."""
-    known = F.array_distinct(F.concat(ref, hyp))
     letters = _letters()
-    return F.when(F.size(known) <= ALPHABET, F.levenshtein(_as_text(ref, known, letters), _as_text(hyp, known, letters)))
+    # bound as a lambda's variable: else the distinct tokens are gathered again for each token
+    found = F.transform(F.array(F.array_distinct(F.concat(ref, hyp))), lambda known: F.when(F.size(known) <= ALPHABET, F.levenshtein(_as_text(ref, known, letters), _as_text(hyp, known, letters))))
+    return F.get(found, F.lit(0))
 
 
 def char_errors(ref: Column, hyp: Column) -> Column:

@@ -218,3 +218,11 @@ def test_long_alignment_in_bounded_memory():
     s, d, i, pairs = align.align_tokens(ref, hyp)
     assert len(ref) - d == len(hyp) - i and len(pairs) == s and s + d + i < 2500
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20
+
+
+def test_distinct_tokens_are_gathered_once(spark):
+    """Not once more for each token, as inside a lambda."""
+    df = spark.createDataFrame([(["a", "b", "b"], ["b", "c"]), ([], []), (None, ["a"])], "r array<string>, h array<string>")
+    found = df.select(align.word_errors(df.r, df.h).alias("n"))
+    assert [x["n"] for x in found.collect()] == [2, 0, None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 1
