@@ -585,15 +585,17 @@ def decode_media(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's row for each document, from encode_media() and decode_media(), whose cases hold; `tensor` is the picture's
     RGB tensor of full size, as stored media columns carry it."""
+    return _read_back(spark, sf_dir).select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "tensor")
+
+
+def _read_back(spark: SparkSession, sf_dir: str, with_tensor: bool = True) -> DataFrame:
     stored = encode_media(table(spark, sf_dir, "documents"))
-    with_size = stored.select(F.struct("doc_id", "n_bytes").alias("key"), "media")
-    back = decode_media(with_size, id_col="key")
-    return back.select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "tensor")
+    return decode_media(stored.select(F.struct("doc_id", "n_bytes").alias("key"), "media"), id_col="key", with_tensor=with_tensor)
 
 
 def media_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of op6_media(), what SQL can tell: sizes and digest of the payload that is read back."""
-    return op6_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+    """Of op6_media(), what SQL can tell: sizes and digest of the payload that is read back; tensors stay in the worker."""
+    return _read_back(spark, sf_dir, with_tensor=False).select("key.doc_id", "key.n_bytes", "payload_bytes", "payload_sha256")
 
 
 MEDIA_PAYLOAD_SQL = """

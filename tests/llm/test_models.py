@@ -548,3 +548,11 @@ def test_pipeline(spark):
         seen = after
     assert p.run(spark, SF).count() == seen.count()
     assert [k for k, _ in p.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "bpe"]
+
+
+def test_payload_query_moves_no_tensors(spark):
+    from talewright.llm import jpeg
+
+    own, whole = (f(spark, "/root/testdata/sf0.001") for f in (jpeg.media_payload, jpeg.op6_media))
+    assert "tensor" not in own._jdf.queryExecution().analyzed().toString() and "tensor" in whole.columns
+    assert sorted(own.collect()) == sorted(whole.select(own.columns).collect())
